@@ -27,7 +27,8 @@ class Measure:
 
     ``rows`` counts rows (0 when none), ``hits`` counts rows but stays NULL when none,
     ``count`` counts non-NULL values. A sum without rows is NULL unless ``empty="zero"``.
-    ``name`` has no window suffix; the roll-up adds it.
+    ``name`` has no window suffix; the roll-up adds it. Expressions may be SQL text, which
+    lets measure lists be module constants (Columns need a running session).
     """
 
     name: str
@@ -65,7 +66,12 @@ class Measure:
 def slices(measure: Measure, conditions: Mapping[str, "Column | str"], where: str = "{name}_{slice}") -> list[Measure]:
     """The measure plus one copy per slice condition, named by the ``where`` template."""
     def both(cond):
-        return _c(cond) if measure.where is None else (_c(measure.where) & _c(cond))
+        if measure.where is None:
+            return cond
+        if isinstance(cond, str) and isinstance(measure.where, str):
+            return f"({measure.where}) AND ({cond})"
+        return _c(measure.where) & _c(cond)
+
     return [measure] + [
         replace(measure, name=where.format(name=measure.name, slice=s), where=both(cond),
                 agg="hits" if measure.agg == "rows" else measure.agg)
