@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from rollspan.catalog.roles import ROLES
-from rollspan.operators.fill import q
+from rollspan.functions.numeric import quoted
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -57,12 +57,12 @@ def _offset(digits: int) -> float:
 def rounded(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema.fields:
-        c = F.col(q(f.name))
+        c = quoted(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             d = digits_for(f.name)
-            c = F.round(c.cast("double") + F.lit(_offset(d)), d).alias(f.name)
+            c = f"round(CAST({c} AS DOUBLE) + CAST({_offset(d)!r} AS DOUBLE), {d}) AS {c}"
         out.append(c)
-    return df.select(*out)
+    return df.selectExpr(*out)
 
 
 def R(expr: str, name: str) -> str:

@@ -53,8 +53,8 @@ ROLES = {
     # data sessions
     "session": f"""
         SELECT {_id('l_suppkey')} AS msisdn, l_quantity * 20 AS duration,
-               CASE WHEN l_discount = 0 THEN 0.0E0 ELSE l_extendedprice * 1000 END AS data_volume_downlink,
-               l_extendedprice * l_tax * 1000 AS data_volume_uplink,
+               CASE WHEN l_discount = 0 THEN 0.0E0 ELSE l_extendedprice * 10 END AS data_volume_downlink,
+               l_extendedprice * l_tax * 10 AS data_volume_uplink,
                CAST(CAST(CAST(l_shipdate AS DATE) AS STRING) || ' ' || {_HOUR.format(k='l_orderkey')} || ':20:00' AS TIMESTAMP) AS record_opening_time,
                CAST(l_suppkey % 10 AS STRING) AS lac, CAST(l_suppkey % 25 AS STRING) AS cell_id,
                {_day('l_shipdate')} AS s3_file_date

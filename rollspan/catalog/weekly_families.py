@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rollspan.catalog.registry import I, R, query, role_sql
+from rollspan.catalog.registry import R, query, role_sql
 from rollspan.catalog.roles import EVENTS_D, HISTORY_D
 from rollspan.catalog.sqlgen import Windowed, both, nullable_sum, part_conditions, per_day
 from rollspan.functions.fixed_values import (
@@ -531,6 +531,3 @@ def _(t):
                                             ("bts_volte", VOLTE_KINDS, {})))
 def _(t):
     return cells.pn_volte(bts_volte(t))
-
-
-__all__ = ["I"]

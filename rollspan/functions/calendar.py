@@ -98,3 +98,23 @@ def period_calendar(spark: SparkSession, start: str, end: str, freq: str) -> Dat
         return spark.createDataFrame([], "run_date string")
     days = F.explode(F.sequence(F.lit(first), F.lit(last), F.expr(step)))
     return spark.range(1).select(F.date_format(days, YMD).alias("run_date"))
+
+
+def periods_of(df: DataFrame, day: str, freq: str) -> DataFrame:
+    """The same calendar over the date range a table covers (``day`` is ``yyyyMMdd``)."""
+    ends = df.agg(F.to_date(F.min(day), YMD).alias("a"), F.to_date(F.max(day), YMD).alias("b"))
+    if freq == "daily":
+        first, last, step = F.col("a"), F.date_sub("b", 1), "interval 1 day"
+    else:
+        first, last, step = F.next_day(F.date_sub("a", 1), "MON"), F.col("b"), "interval 7 days"
+    days = F.when(first <= last, F.sequence(first, last, F.expr(step)))
+    return ends.select(F.date_format(F.explode(days), YMD).alias("run_date"))
+
+
+def snapshot_bounds(df: DataFrame, day: str) -> DataFrame:
+    """``from`` bounds of every window and the complete billing month per snapshot row."""
+    d = F.to_date(day, YMD)
+    bounds = {f"l{n}w_from": F.date_format(F.date_sub(d, 7 * n), YMD) for n in (1, 4, 12, 24)}
+    bounds["month_from"] = F.date_format(F.date_add(F.add_months(d, -1), 1), YMD)
+    bounds["bill_month"] = F.date_format(F.add_months(d, F.when(F.dayofmonth(d) >= 15, -2).otherwise(-3)), "yyyyMM")
+    return df.withColumns(bounds)

@@ -18,6 +18,31 @@ def ratio(part: Column | str, whole: Column | str) -> Column:
     return F.try_divide(col(part).cast("double"), col(whole).cast("double"))
 
 
+def quoted(name: str) -> str:
+    """Column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+# Wide tables add hundreds of columns at once. As SQL text a whole batch is one call into
+# the JVM; built as Column objects each operator of each column is several calls, which for
+# such tables costs far more than planning and running the query.
+
+def ratio_text(part: str, whole: str) -> str:
+    """:func:`ratio` of two columns as SQL text."""
+    return f"try_divide(CAST({quoted(part)} AS DOUBLE), CAST({quoted(whole)} AS DOUBLE))"
+
+
+def total_text(cols: Sequence[str]) -> str:
+    """:func:`total` of columns as SQL text (NULL when all parts are NULL)."""
+    some = ", ".join(quoted(c) for c in cols)
+    return f"CASE WHEN coalesce({some}) IS NOT NULL THEN {' + '.join(f'coalesce({quoted(c)}, 0)' for c in cols)} END"
+
+
+def add_text(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
+    """Append computed columns given as SQL text in one projection."""
+    return df.selectExpr("*", *[f"{e} AS {quoted(n)}" for n, e in exprs.items()])
+
+
 def total(cols: Sequence[Column | str], null_if_all_null: bool = True) -> Column:
     """Sum treating NULL as 0; NULL only when every part is NULL."""
     parts = [col(c) for c in cols]
@@ -38,8 +63,8 @@ def shares(df: DataFrame, parts: dict[str, Column | str], whole: Column | str) -
 def pair_ratios(df: DataFrame, cols: dict[str, str], name: str) -> DataFrame:
     """Ratio of every unordered pair; ``name`` has ``{a}`` and ``{b}`` for the labels."""
     labels = list(cols)
-    return df.withColumns({
-        name.format(a=a, b=b): ratio(cols[a], cols[b])
+    return add_text(df, {
+        name.format(a=a, b=b): ratio_text(cols[a], cols[b])
         for i, a in enumerate(labels) for b in labels[i + 1:]
     })
 

@@ -7,14 +7,14 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rollspan.functions.numeric import ratio
+from rollspan.functions.numeric import quoted, ratio
 from rollspan.functions.text import merge_maps
 
 Expr = "Column | str"
 
 #: how a stored aggregate combines when several periods are rolled into one
-ROLL = {"sum": F.sum, "rows": F.sum, "count": F.sum, "hits": F.sum, "ndistinct": F.sum,
-        "sumsq": F.sum, "min": F.min, "max": F.max}
+ROLL = {"sum": "sum", "rows": "sum", "count": "sum", "hits": "sum", "ndistinct": "sum",
+        "sumsq": "sum", "min": "min", "max": "max"}
 
 
 def _c(x):
@@ -37,7 +37,28 @@ class Measure:
     where: "Column | str | None" = None
     empty: str = "null"
 
+    def text(self) -> str | None:
+        """The aggregate as SQL text, or None when it was given as Columns."""
+        parts = [p for p in (self.value, self.where) if p is not None]
+        if not all(isinstance(p, str) for p in parts):
+            return None
+        value = "1" if self.agg in ("rows", "hits") else f"({self.value})"
+        if self.where is not None:
+            value = f"CASE WHEN {self.where} THEN {value} END"
+        square = f"(CAST({value} AS DOUBLE) * CAST({value} AS DOUBLE))"
+        out = {
+            "rows": f"count({value})", "hits": f"sum({value})", "sum": f"sum({value})", "count": f"count({value})",
+            "min": f"min({value})", "max": f"max({value})", "avg": f"avg({value})", "std": f"stddev_samp({value})",
+            "ndistinct": f"count(DISTINCT {value})", "sumsq": f"sum({square})",
+        }[self.agg]
+        if self.empty == "zero":
+            out = f"coalesce({out}, 0)"
+        return f"{out} AS {quoted(self.name)}"
+
     def column(self) -> Column:
+        text = self.text()
+        if text is not None:
+            return F.expr(text)
         cond = None if self.where is None else _c(self.where)
 
         def kept(v):
@@ -58,8 +79,8 @@ class Measure:
         return out.alias(self.name)
 
     @property
-    def roll(self):
-        """Aggregate that merges this measure over periods; None for avg and std."""
+    def roll(self) -> str | None:
+        """Name of the aggregate that merges this measure over periods; None for avg and std."""
         return ROLL.get(self.agg)
 
 

@@ -8,9 +8,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-
-def q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+from rollspan.functions.numeric import quoted as q
 
 
 def fill(df: DataFrame, strategy: str | Mapping[str, object] = "by_type", text: str = "ukn",

@@ -12,7 +12,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollspan.functions.calendar import YMD, as_date, ymd
-from rollspan.functions.numeric import ratio
+from rollspan.functions.numeric import add_text, quoted, ratio, ratio_text
 from rollspan.operators.aggregates import Measure, sliced_stats
 
 WEEKS = (1, 4, 12, 24)
@@ -48,10 +48,10 @@ def daily_to_weekly(daily: DataFrame, keys: Sequence[str], day: str, snapshot: s
     ``{"usage_total_cost_sum": "usage_total_cost_{op}"}`` gives ``..._dmin`` and ``..._dmax``.
     Also returns the measures that :func:`widen` needs.
     """
-    measures = [Measure(c, "sum", F.col(c)) for c in sums]
+    measures = [Measure(c, "sum", quoted(c)) for c in sums]
     for c, template in extremes.items():
-        measures += [Measure(template.format(op="dmin"), "min", F.col(c)),
-                     Measure(template.format(op="dmax"), "max", F.col(c))]
+        measures += [Measure(template.format(op="dmin"), "min", quoted(c)),
+                     Measure(template.format(op="dmax"), "max", quoted(c))]
     return weekly(daily, keys, day, snapshot, measures, weeks), measures
 
 
@@ -64,7 +64,7 @@ def widen(weeks_df: DataFrame, keys: Sequence[str], measures: Sequence[Measure],
     rows in a window has NULL there.
     """
     aggs = [
-        m.roll(F.when(F.col("week_back") < n, F.col(m.name))).alias(name.format(stem=m.name, n=n))
+        F.expr(f"{m.roll}(CASE WHEN week_back < {n} THEN {quoted(m.name)} END) AS {quoted(name.format(stem=m.name, n=n))}")
         for n in windows for m in measures
     ]
     return weeks_df.where(F.col("week_back") < max(windows)).groupBy(*keys).agg(*aggs)
@@ -75,7 +75,7 @@ def window_stats(df: DataFrame, keys: Sequence[str], day: str, snapshot: str,
     """Statistics taken straight from daily rows for each window: ``stem: (agg, value)``."""
     rows = lookback(df, day, snapshot, max(windows))
     return sliced_stats(rows, keys, [
-        Measure(f"{stem}_l{n}w", agg, value, F.col("week_back") < n)
+        Measure(f"{stem}_l{n}w", agg, value, f"week_back < {n}")
         for n in windows for stem, (agg, value) in aggs.items()
     ])
 
@@ -83,16 +83,16 @@ def window_stats(df: DataFrame, keys: Sequence[str], day: str, snapshot: str,
 def add_weighted_avg(df: DataFrame, averages: Mapping[str, tuple[str, str]],
                      windows: Sequence[int] = WEEKS, unit: str = "w") -> DataFrame:
     """``stem: (sum stem, count stem)`` -> re-weighted average per window."""
-    return df.withColumns({
-        f"{stem}_l{n}{unit}": ratio(f"{s}_l{n}{unit}", f"{c}_l{n}{unit}")
+    return add_text(df, {
+        f"{stem}_l{n}{unit}": ratio_text(f"{s}_l{n}{unit}", f"{c}_l{n}{unit}")
         for stem, (s, c) in averages.items() for n in windows
     })
 
 
 def add_per_day(df: DataFrame, stems: Mapping[str, str], windows: Sequence[int] = WEEKS) -> DataFrame:
     """``new stem: sum stem`` -> window sum divided by the days of the window."""
-    return df.withColumns({
-        f"{new}_l{n}w": F.col(f"{stem}_l{n}w").cast("double") / F.lit(7.0 * n)
+    return add_text(df, {
+        f"{new}_l{n}w": f"CAST({quoted(f'{stem}_l{n}w')} AS DOUBLE) / {7 * n}"
         for new, stem in stems.items() for n in windows
     })
 
@@ -107,8 +107,8 @@ def trend_ratios(df: DataFrame, stems: Sequence[str], windows: Sequence[int] = W
                  pairs: str = "all", unit: str = "w") -> DataFrame:
     """``stem_lXw_vs_lYw`` for each pair of windows; ``skip1`` leaves out neighbours."""
     gap = {"all": 1, "skip1": 2}[pairs]
-    return df.withColumns({
-        f"{stem}_l{x}{unit}_vs_l{y}{unit}": ratio(f"{stem}_l{x}{unit}", f"{stem}_l{y}{unit}")
+    return add_text(df, {
+        f"{stem}_l{x}{unit}_vs_l{y}{unit}": ratio_text(f"{stem}_l{x}{unit}", f"{stem}_l{y}{unit}")
         for stem in stems for i, x in enumerate(windows) for y in windows[i + gap:]
     })
 
@@ -118,15 +118,15 @@ def month_steps_rollup(monthly: DataFrame, keys: Sequence[str], step: str, stems
     """k-month sum/min/max/avg of monthly sums; ``step`` is 0 for the newest snapshot."""
     aggs = []
     for k in (1, *months):
-        ops = {"sum": F.sum} if k == 1 else {"sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg}
-        for op, fn in ops.items():
-            aggs += [fn(F.when(F.col(step) < k, F.col(s))).alias(f"{s.removesuffix('_sum')}_{op}_l{k}m") for s in stems]
+        for op in ("sum",) if k == 1 else ("sum", "min", "max", "avg"):
+            aggs += [F.expr(f"{op}(CASE WHEN {step} < {k} THEN {quoted(s)} END) AS {quoted(s.removesuffix('_sum') + f'_{op}_l{k}m')}")
+                     for s in stems]
     return monthly.groupBy(*keys).agg(*aggs)
 
 
 def collapse(df: DataFrame, keys: Sequence[str], stems: Sequence[str], prefix: str = "pn_") -> DataFrame:
     """Sum finer-grained features up to ``keys`` (cell level to subscriber level)."""
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(prefix + c) for c in stems])
+    return df.groupBy(*keys).agg(*[F.expr(f"sum({quoted(c)}) AS {quoted(prefix + c)}") for c in stems])
 
 
 def monthly_from_daily(daily: DataFrame, keys: Sequence[str], stems: Sequence[str],
@@ -177,26 +177,20 @@ def cumulative_months(df: DataFrame, keys: Sequence[str], idx: str, stems: Seque
     aggs = []
     for s in stems:
         for t in ts:
-            def upto(c, t=t):
-                return F.when(F.col(idx) <= t, F.col(c))
-            aggs += [
-                F.coalesce(F.sum(upto(f"sum_{s}")), F.lit(0.0)).alias(f"sum_{s}_T-{t}"),
-                F.coalesce(F.sum(upto(f"count_{s}")), F.lit(0)).alias(f"count_{s}_T-{t}"),
-                F.min(upto(f"min_{s}")).alias(f"min_{s}_T-{t}"),
-                F.max(upto(f"max_{s}")).alias(f"max_{s}_T-{t}"),
-                F.coalesce(F.sum(upto(f"sumsq_{s}")), F.lit(0.0)).alias(f"sumsq_{s}_T-{t}"),
-            ]
+            for part, fn, empty in (("sum", "sum", "0D"), ("count", "sum", "0"), ("min", "min", None),
+                                    ("max", "max", None), ("sumsq", "sum", "0D")):
+                e = f"{fn}(CASE WHEN {idx} <= {t} THEN {quoted(f'{part}_{s}')} END)"
+                aggs.append(F.expr(f"{f'coalesce({e}, {empty})' if empty else e} AS {quoted(f'{part}_{s}_T-{t}')}"))
     wide = df.where(F.col(idx) <= months).groupBy(*keys).agg(*aggs)
     derived = {}
     for s in stems:
         for t in ts:
-            total, n, sq = F.col(f"`sum_{s}_T-{t}`"), F.col(f"`count_{s}_T-{t}`"), F.col(f"`sumsq_{s}_T-{t}`")
-            avg = ratio(total, n)
+            avg = ratio_text(f"sum_{s}_T-{t}", f"count_{s}_T-{t}")
             derived[f"avg_{s}_T-{t}"] = avg
-            derived[f"std_{s}_T-{t}"] = F.sqrt(F.greatest(ratio(sq, n) - avg * avg, F.lit(0.0)))
+            derived[f"std_{s}_T-{t}"] = f"sqrt(greatest({ratio_text(f'sumsq_{s}_T-{t}', f'count_{s}_T-{t}')} - {avg} * {avg}, 0D))"
             if t > start:
-                derived[f"ratio_{s}_T-{t}"] = ratio(total, F.col(f"`sum_{s}_T-{start}`"))
-    return wide.withColumns(derived)
+                derived[f"ratio_{s}_T-{t}"] = ratio_text(f"sum_{s}_T-{t}", f"sum_{s}_T-{start}")
+    return add_text(wide, derived)
 
 
 def cumulative_delta(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:

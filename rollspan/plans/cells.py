@@ -65,9 +65,9 @@ def bts_usage(raw: DataFrame, snapshot: str, windows: Sequence[int] = WEEKS) ->
     daily = family.daily(raw)
     names = [m.name for m in BTS_USAGE_MEASURES]
     rows = lookback(daily, "s3_file_date", snapshot, max(windows))
-    aggs = [F.sum(F.when(F.col("week_back") < n, F.col(c))).alias(f"{c}_l{n}w") for n in windows for c in names]
-    aggs += [F.avg(F.when(F.col("week_back") < 1, F.col(c))).alias(
-        c.replace("count", "count_davg").replace("sum", "sum_davg") + "_l1w") for c in names]
+    aggs = [F.expr(f"sum(CASE WHEN week_back < {n} THEN {c} END) AS {c}_l{n}w") for n in windows for c in names]
+    aggs += [F.expr(f"avg(CASE WHEN week_back < 1 THEN {c} END) AS " + c.replace("count", "count_davg").replace("sum", "sum_davg") + "_l1w")
+             for c in names]
     return rows.groupBy(*KEYS).agg(*aggs)
 
 

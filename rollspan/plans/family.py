@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from rollspan.operators.aggregates import Measure, sliced_stats
 from rollspan.operators.rollups import WEEKS, daily_to_weekly, weekly, widen
@@ -33,8 +33,8 @@ class Family:
     def stored(self) -> list[Measure]:
         out = list(self.measures)
         for source, template in self.extremes.items():
-            out += [Measure(template.format(op="dmin"), "min", F.col(source)),
-                    Measure(template.format(op="dmax"), "max", F.col(source))]
+            out += [Measure(template.format(op="dmin"), "min", source),
+                    Measure(template.format(op="dmax"), "max", source)]
         return out
 
     def daily(self, raw: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from rollspan.functions.fixed_values import (
     ACCOUNT_UNIT, CALL_KINDS, LAST_ACTION, PACKAGE_PURPOSE, SENDER_CATEGORIES, SENDER_CATEGORY, SMS_KINDS,
     TENURE, TENURE_LAST, USAGE_SERVICES, VAS_CATEGORIES, VAS_CATEGORY, VOLTE_KINDS,
 )
-from rollspan.functions.numeric import pair_ratios, ratio, share_entropy, total
+from rollspan.functions.numeric import add_text, pair_ratios, share_entropy, total_text
 from rollspan.functions.text import like_rules, map_ids, regex_rules, threshold_rules, tidy
 from rollspan.operators.aggregates import Measure, slices, two_party_features
 from rollspan.operators.rollups import WEEKS, add_per_day, add_ratios, trend_ratios, weekly, widen
@@ -286,12 +286,12 @@ def add_call_totals(wide: DataFrame, prefix: str, kinds: Sequence[str], sms: Seq
             groups[f"{prefix}_total_sms{slot}_count"] = [f"{prefix}_{k}_count{suffix}" for k in sms]
     if not_answered:
         groups[f"{prefix}_total_call_not_answered_count"] = [f"{prefix}_{k}_not_answered_count" for k in kinds]
-    out = wide.withColumns({f"{name}_l{n}w": total([f"{p}_l{n}w" for p in parts])
-                            for name, parts in groups.items() for n in windows})
+    out = add_text(wide, {f"{name}_l{n}w": total_text([f"{p}_l{n}w" for p in parts])
+                          for name, parts in groups.items() for n in windows})
     stems = list(groups)
     if sms:
         stems.append(f"{prefix}_total_count")
-        out = out.withColumns({f"{prefix}_total_count_l{n}w": total(
+        out = add_text(out, {f"{prefix}_total_count_l{n}w": total_text(
             [f"{prefix}_total_call_count_l{n}w", f"{prefix}_total_sms_count_l{n}w"]) for n in windows})
     return out, stems
 
@@ -341,8 +341,8 @@ def money_transfer(raw: DataFrame, snapshot: str, windows: Sequence[int] = WEEKS
     """Both roles of every transfer in one exploded pass."""
     rows, measures = two_party_features(raw, "sender", "receiver", "amount", "s3_file_date")
     wide = widen(weekly(rows, ["msisdn"], "s3_file_date", snapshot, measures, max(windows)), ["msisdn"], measures, windows)
-    out = wide.withColumns({
-        f"money_transfer_amount_sum_l{n}w": total([f"money_transfer_{r}_amount_sum_l{n}w" for r in ("sender", "receiver")])
+    out = add_text(wide, {
+        f"money_transfer_amount_sum_l{n}w": total_text([f"money_transfer_{r}_amount_sum_l{n}w" for r in ("sender", "receiver")])
         for n in windows})
     averages = {f"money_transfer_{r}_amount_avg": (f"money_transfer_{r}_amount_sum", f"money_transfer_{r}_count")
                 for r in ("sender", "receiver")}

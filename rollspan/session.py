@@ -8,17 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def make_session(app: str = "rollspan", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the settings the operators assume; anything passed in ``conf`` wins.
-
-    ``spark.sql.codegen.maxFields`` is raised because feature tables are hundreds of
-    columns wide and the default of 100 would drop them out of whole-stage codegen.
-    """
+    """Session with the settings the operators assume; anything passed in ``conf`` wins."""
     defaults = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.sql.codegen.maxFields": "400",
     }
     builder = SparkSession.builder.appName(app)
     if master:
