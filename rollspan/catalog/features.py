@@ -239,9 +239,10 @@ def _(t):
 def _(t):
     rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     ms = [m for f in "ANR" for m in (
-        Measure(f"items_{f}", "ndistinct", "l_partkey", f"l_returnflag = '{f}'"), Measure(f"price_std_{f}", "std", "l_extendedprice", f"l_returnflag = '{f}'"),
+        Measure(f"price_std_{f}", "std", "l_extendedprice", f"l_returnflag = '{f}'"),
         Measure(f"price_max_{f}", "max", "l_extendedprice", f"l_returnflag = '{f}'"))]
-    return ag.sliced_stats(rows, ["o_custkey"], ms)
+    items = ag.distinct_stats(rows, ["o_custkey"], "l_partkey", {f"items_{f}": f"l_returnflag = '{f}'" for f in "ANR"})
+    return ag.sliced_stats(rows, ["o_custkey"], ms).join(items, "o_custkey")
 
 
 @query("rollup_daily_to_week", f"""WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, sum(value) AS s FROM events GROUP BY 1, 2)

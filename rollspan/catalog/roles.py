@@ -176,7 +176,7 @@ ROLES = {
     # labelled observations with two numeric features and a text one
     "labelled": """
         SELECT l.doc_id AS doc_id, l.quality AS y, l.toxic AS toxic, CAST(d.n_chars AS DOUBLE) AS n_chars,
-               CAST(length(d.text) AS DOUBLE) AS n_text, CAST(d.doc_id % 7 AS DOUBLE) AS noise,
+               CAST(length(d.text) + 10 * (d.doc_id % 11) AS DOUBLE) AS n_text, CAST(d.doc_id % 7 AS DOUBLE) AS noise,
                CAST(CASE WHEN d.doc_id % 5 = 0 THEN NULL ELSE d.n_chars % 100 END AS DOUBLE) AS gappy,
                CAST(1 AS DOUBLE) AS constant, d.lang AS lang, d.source AS source
         FROM {labels} l JOIN {documents} d ON l.doc_id = d.doc_id""",

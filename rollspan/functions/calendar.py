@@ -96,8 +96,8 @@ def period_calendar(spark: SparkSession, start: str, end: str, freq: str) -> Dat
         raise ValueError(f"unknown frequency {freq!r}")
     if first > last:
         return spark.createDataFrame([], "run_date string")
-    days = F.explode(F.sequence(F.lit(first), F.lit(last), F.expr(step)))
-    return spark.range(1).select(F.date_format(days, YMD).alias("run_date"))
+    days = spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last), F.expr(step))).alias("d"))
+    return days.select(F.date_format("d", YMD).alias("run_date"))
 
 
 def periods_of(df: DataFrame, day: str, freq: str) -> DataFrame:
@@ -107,8 +107,8 @@ def periods_of(df: DataFrame, day: str, freq: str) -> DataFrame:
         first, last, step = F.col("a"), F.date_sub("b", 1), "interval 1 day"
     else:
         first, last, step = F.next_day(F.date_sub("a", 1), "MON"), F.col("b"), "interval 7 days"
-    days = F.when(first <= last, F.sequence(first, last, F.expr(step)))
-    return ends.select(F.date_format(F.explode(days), YMD).alias("run_date"))
+    days = ends.select(F.explode(F.when(first <= last, F.sequence(first, last, F.expr(step)))).alias("d"))
+    return days.select(F.date_format("d", YMD).alias("run_date"))
 
 
 def snapshot_bounds(df: DataFrame, day: str) -> DataFrame:

@@ -18,6 +18,10 @@ from rollspan.operators.aggregates import Measure, sliced_stats
 WEEKS = (1, 4, 12, 24)
 
 
+def lookback_start(snapshot: str, weeks: int) -> str:
+    return ymd(as_date(snapshot) - timedelta(days=7 * weeks))
+
+
 def lookback(df: DataFrame, day: str, snapshot: str, weeks: int = 24, back: str = "week_back") -> DataFrame:
     """Rows of the last ``weeks`` weeks with the number of whole weeks before the snapshot.
 
@@ -25,7 +29,7 @@ def lookback(df: DataFrame, day: str, snapshot: str, weeks: int = 24, back: str
     literals so that partition pruning or parquet push-down applies.
     """
     d = as_date(snapshot)
-    start = ymd(d - timedelta(days=7 * weeks))
+    start = lookback_start(snapshot, weeks)
     age = F.datediff(F.lit(d), F.to_date(day, YMD)) - 1
     return (df.where((F.col(day) >= start) & (F.col(day) < snapshot))
               .withColumn(back, F.floor(age / 7).cast("int")))

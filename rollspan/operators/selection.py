@@ -84,7 +84,8 @@ def correlation_filter(df: DataFrame, iv: DataFrame, features: Sequence[str], th
     pairs = correlation_long(df, features).where(F.abs("corr") > threshold)
     scored = (pairs.join(iv.select(F.col("feature").alias("f1"), F.col("iv").alias("iv1")), "f1")
               .join(iv.select(F.col("feature").alias("f2"), F.col("iv").alias("iv2")), "f2"))
-    losers = scored.where(F.col("iv1") != F.col("iv2")).select(
+    # identical columns differ by summation order only
+    losers = scored.where(F.abs(F.col("iv1") - F.col("iv2")) > 1e-12).select(
         F.when(F.col("iv1") < F.col("iv2"), F.col("f1")).otherwise(F.col("f2")).alias("feature")).distinct()
     all_features = iv.where(F.col("feature").isin(list(features))).select("feature", "iv")
     return all_features.join(losers.withColumn("_lost", F.lit(True)), "feature", "left").select(

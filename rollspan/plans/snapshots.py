@@ -14,7 +14,7 @@ from rollspan.functions.fixed_values import (
 )
 from rollspan.functions.numeric import band_flags, ratio
 from rollspan.functions.text import any_of, first_match, like_rules, map_ids, multivalue_bucket, prefix_key
-from rollspan.operators.aggregates import Measure, sliced_stats
+from rollspan.operators.aggregates import Measure, distinct_stats, sliced_stats
 from rollspan.operators.joins import enrich, outer_merge
 from rollspan.operators.rollups import WEEKS, lookback, month_steps_rollup, trend_ratios, window_stats
 from rollspan.operators.windows import latest_per_key, top1_by_count
@@ -221,14 +221,15 @@ def billing(raw: DataFrame, snapshot: str, prefix: str, item: str, debt: str, ta
         "msisdn", F.col(item).alias("item"), F.col(debt).alias("debt"), F.col(tax).alias("tax"),
         (F.col(debt) + F.col(tax)).alias("amount"), map_ids(item, FEE_GROUPS, "other").alias("fee_cate"))
     values = ("debt", "tax", "amount")
-    measures = [Measure(f"{prefix}_total_items_count_distinct_l1m", "ndistinct", "item"),
-                *[Measure(f"{prefix}_total_{v}_sum_l1m", "sum", v) for v in values]]
+    measures = [Measure(f"{prefix}_total_{v}_sum_l1m", "sum", v) for v in values]
     groups = [*FEE_GROUPS, "other"]
     for g in groups:
         cond = f"fee_cate = '{g}'"
-        measures.append(Measure(f"{prefix}_{g}_items_count_distinct_l1m", "ndistinct", "item", cond))
         measures += [Measure(f"{prefix}_{g}_{v}_{a}_l1m", a, v, cond) for v in values for a in ("sum", "max", "std")]
-    out = sliced_stats(rows, ["msisdn"], measures)
+    items = distinct_stats(rows, ["msisdn"], "item", {
+        f"{prefix}_total_items_count_distinct_l1m": None,
+        **{f"{prefix}_{g}_items_count_distinct_l1m": f"fee_cate = '{g}'" for g in groups}})
+    out = outer_merge([sliced_stats(rows, ["msisdn"], measures), items], ["msisdn"])
     return out.withColumns({
         f"{prefix}_{g}_{v}_ratio_l1m": ratio(f"{prefix}_{g}_{v}_sum_l1m", f"{prefix}_total_{v}_sum_l1m")
         for g in groups for v in ("debt", "amount")})

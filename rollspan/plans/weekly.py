@@ -14,7 +14,7 @@ from rollspan.functions.fixed_values import (
 from rollspan.functions.numeric import add_text, pair_ratios, share_entropy, total_text
 from rollspan.functions.text import like_rules, map_ids, regex_rules, threshold_rules, tidy
 from rollspan.operators.aggregates import Measure, slices, two_party_features
-from rollspan.operators.rollups import WEEKS, add_per_day, add_ratios, trend_ratios, weekly, widen
+from rollspan.operators.rollups import WEEKS, add_per_day, add_ratios, lookback_start, trend_ratios, weekly, widen
 from rollspan.plans.family import Family
 
 STAMP = "yyyyMMddHHmmss"
@@ -339,7 +339,8 @@ VOLTE = Family("volte", _by_day, VOLTE_MEASURES,
 
 def money_transfer(raw: DataFrame, snapshot: str, windows: Sequence[int] = WEEKS) -> DataFrame:
     """Both roles of every transfer in one exploded pass."""
-    rows, measures = two_party_features(raw, "sender", "receiver", "amount", "s3_file_date")
+    recent = raw.where((F.col("s3_file_date") >= lookback_start(snapshot, max(windows))) & (F.col("s3_file_date") < snapshot))
+    rows, measures = two_party_features(recent, "sender", "receiver", "amount", "s3_file_date")
     wide = widen(weekly(rows, ["msisdn"], "s3_file_date", snapshot, measures, max(windows)), ["msisdn"], measures, windows)
     out = add_text(wide, {
         f"money_transfer_amount_sum_l{n}w": total_text([f"money_transfer_{r}_amount_sum_l{n}w" for r in ("sender", "receiver")])

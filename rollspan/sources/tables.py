@@ -11,9 +11,19 @@ from rollspan.functions.calendar import as_date, shift_months, ymd
 
 
 def scan(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """Parquet directory; partition values stay strings so that date filters prune."""
-    return (spark.read.option("mergeSchema", str(merge_schema).lower())
-            .option("partitionColumnTypeInference.enabled", "false").parquet(path))
+    """Parquet directory whose partition values stay strings.
+
+    Inferred integers would lose leading zeros and would be compared with ``yyyyMMdd``
+    literals through casts. Inference happens while the frame is created and can only be
+    switched per session, so the setting is put back right after.
+    """
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    finally:
+        spark.conf.set(key, before)
 
 
 def scan_query(spark: SparkSession, query: str, options: Mapping[str, str] | None = None,
