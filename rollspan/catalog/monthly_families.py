@@ -26,7 +26,7 @@ FROM t JOIN e USING (msisdn) JOIN b USING (msisdn)"""
 
 @query("family_location", LOCATION_SQL)
 def _(t):
-    return snapshots.location(t.ping, HISTORY_D)
+    return snapshots.location(t.back(HISTORY_D).ping, HISTORY_D)
 
 
 TAC_SQL = f"""
@@ -38,7 +38,7 @@ SELECT msisdn, tac FROM (SELECT *, row_number() OVER (PARTITION BY msisdn ORDER
 
 @query("family_tac_mapping", TAC_SQL)
 def _(t):
-    return snapshots.tac_mapping(t.usage, HISTORY_D)
+    return snapshots.tac_mapping(t.back(HISTORY_D).usage, HISTORY_D)
 
 
 def ids(group, c):
@@ -96,7 +96,7 @@ FROM n LEFT JOIN d ON left(imei, 8) = d.tac"""
 
 @query("family_gsma", GSMA_SQL)
 def _(t):
-    return snapshots.latest_device(t.usage, t.catalogue, MONTH_D,
+    return snapshots.latest_device(t.back(MONTH_D, 27).usage, t.catalogue, MONTH_D,
                                    {"os_name": "null", "year_released": "0", "total_ram": "0"}, 2001)
 
 
@@ -149,7 +149,7 @@ def _sub_sql():
 
 @query("family_sub", _sub_sql)
 def _(t):
-    return snapshots.sub(t.balance, HISTORY_D)
+    return snapshots.sub(t.back(HISTORY_D).balance, HISTORY_D)
 
 
 # --- billing ---------------------------------------------------------------------------------------------
@@ -210,7 +210,7 @@ def _smrs_sql():
 
 @query("family_smrs", _smrs_sql)
 def _(t):
-    return snapshots.smrs(t.revenue, HISTORY_D, REVENUE, group_size=3)
+    return snapshots.smrs(t.back(HISTORY_D).revenue, HISTORY_D, REVENUE, group_size=3)
 
 
 # --- monthly numeric ---------------------------------------------------------------------------------------------
@@ -249,13 +249,13 @@ RECHARGE_FACTS = {"reillamount_full": ("reillamount", None), "reillamount_refill
 
 @query("family_monthly_air", lambda: cumulative_sql(monthly_rows("recharge"), RECHARGE_FACTS))
 def _(t):
-    return monthly.recharge_monthly(t.recharge, MONTH_D)
+    return monthly.recharge_monthly(t.back(MONTH_D, 27).recharge, MONTH_D)
 
 
 @query("family_monthly_ggsn", lambda: cumulative_sql(monthly_rows("session"), {
     f"{v}_full": (v, None) for v in ("duration", "data_volume_downlink", "data_volume_uplink")}))
 def _(t):
-    return monthly.numeric_monthly_daily(t.session, MONTH_D, {v: v for v in ("duration", "data_volume_downlink", "data_volume_uplink")})
+    return monthly.numeric_monthly_daily(t.back(MONTH_D, 27).session, MONTH_D, {v: v for v in ("duration", "data_volume_downlink", "data_volume_uplink")})
 
 
 SERVICES = {"voice": "servicename = 'Voice'", "sms": "servicename = 'SMS'", "data": "servicename IN ('MBC', 'Data')"}
@@ -264,14 +264,14 @@ SERVICES = {"voice": "servicename = 'Voice'", "sms": "servicename = 'SMS'", "dat
 @query("family_monthly_usage", lambda: cumulative_sql(monthly_rows("usage"), {
     f"totalcost_{k}": ("totalcost", c) for k, c in {"full": None, **SERVICES}.items()}))
 def _(t):
-    return monthly.numeric_monthly(t.usage, MONTH_D, {"totalcost": "totalcost"}, {"full": None, **SERVICES})
+    return monthly.numeric_monthly(t.back(MONTH_D, 27).usage, MONTH_D, {"totalcost": "totalcost"}, {"full": None, **SERVICES})
 
 
 @query("family_monthly_vascloud", lambda: cumulative_sql(
     f"SELECT *, CASE WHEN s3_file_date > '20240115' AND s3_file_date <= '20240215' THEN 1 WHEN s3_file_date > '20231215' AND s3_file_date <= '20240115' THEN 2 END AS m FROM ({role_sql('vas')})",
     {"value_full": ("value", None)}))
 def _(t):
-    return monthly.numeric_monthly(t.vas, "20240215", {"value": "value"})
+    return monthly.numeric_monthly(t.back("20240215").vas, "20240215", {"value": "value"})
 
 
 def _calls_sql(members: bool):
@@ -287,13 +287,13 @@ def _calls_sql(members: bool):
 
 @query("family_monthly_voice_msc", lambda: _calls_sql(True))
 def _(t):
-    return monthly.calls_monthly(t.call, MONTH_D, t.call.where("imsi LIKE '45202%'").select("msisdn").distinct())
+    return monthly.calls_monthly(t.back(MONTH_D, 27).call, MONTH_D, t.call.where("imsi LIKE '45202%'").select("msisdn").distinct())
 
 
 @query("family_monthly_voice_volte", lambda: _calls_sql(False))
 def _(t):
     from rollspan.sources.tables import cutover_union
-    return monthly.calls_monthly(cutover_union(t.call, t.call, "s3_file_date", "20010501"), MONTH_D)
+    return monthly.calls_monthly(cutover_union(t.back(MONTH_D, 27).call, t.back(MONTH_D, 27).call, "s3_file_date", "20010501"), MONTH_D)
 
 
 @query("family_monthly_2friend", lambda: cumulative_sql(
@@ -301,17 +301,17 @@ def _(t):
     f"SELECT receiver, 'receiver', amount, {month_case()} FROM ({role_sql('transfer')})",
     {f"amount_{r}": ("amount", f"role = '{r}'") for r in ("sender", "receiver")}))
 def _(t):
-    return monthly.transfers_monthly(t.transfer, MONTH_D)
+    return monthly.transfers_monthly(t.back(MONTH_D, 27).transfer, MONTH_D)
 
 
 @query("family_monthly_udv", lambda: cumulative_sql(monthly_rows("credit"), {"amount_full": ("amount", None)}))
 def _(t):
-    return monthly.numeric_monthly(t.credit, MONTH_D, {"amount": "amount"})
+    return monthly.numeric_monthly(t.back(MONTH_D, 27).credit, MONTH_D, {"amount": "amount"})
 
 
 @query("family_monthly_utn", lambda: cumulative_sql(monthly_rows("credit"), {"credit_amount_full": ("credit_amount", None)}))
 def _(t):
-    return monthly.numeric_monthly_daily(t.credit, MONTH_D, {"credit_amount": "credit_amount"})
+    return monthly.numeric_monthly_daily(t.back(MONTH_D, 27).credit, MONTH_D, {"credit_amount": "credit_amount"})
 
 
 _BILL_MONTH = "SELECT ma_tb AS msisdn, *, CASE s3_file_date WHEN '200104' THEN 3 WHEN '200103' THEN 4 WHEN '200102' THEN 5 WHEN '200101' THEN 6 END AS m FROM ({})"
@@ -338,7 +338,7 @@ def _revenue_sql():
 
 @query("family_monthly_smrs", _revenue_sql)
 def _(t):
-    return monthly.revenue_monthly(t.revenue, MONTH_D, ["tot_rvn_amt", "voice_usg"], group_size=1)
+    return monthly.revenue_monthly(t.back(MONTH_D, 27).revenue, MONTH_D, ["tot_rvn_amt", "voice_usg"], group_size=1)
 
 
 # --- monthly categorical --------------------------------------------------------------------------------------------
@@ -365,7 +365,7 @@ def frequency_sql(rows: str, prefix: str, months=6) -> str:
 
 @query("family_monthly_cv207", lambda: frequency_sql(f"SELECT msisdn, province AS item, {month_case()} AS m FROM ({role_sql('ping')})", "province"))
 def _(t):
-    return monthly.province_monthly(t.ping, MONTH_D)
+    return monthly.province_monthly(t.back(MONTH_D, 27).ping, MONTH_D)
 
 
 def _package_monthly_sql():
@@ -378,7 +378,7 @@ def _package_monthly_sql():
 
 @query("family_monthly_3g_subs", _package_monthly_sql)
 def _(t):
-    return monthly.package_monthly(t.package, MONTH_D)
+    return monthly.package_monthly(t.back(MONTH_D, 27).package, MONTH_D)
 
 
 def _sender_monthly_sql():
@@ -389,7 +389,7 @@ def _sender_monthly_sql():
 
 @query("family_monthly_brandname", _sender_monthly_sql)
 def _(t):
-    return monthly.sender_monthly(t.brand, MONTH_D)
+    return monthly.sender_monthly(t.back(MONTH_D, 27).brand, MONTH_D)
 
 
 # --- wide merge ------------------------------------------------------------------------------------------------------
@@ -409,6 +409,6 @@ FROM air FULL OUTER JOIN loc USING (msisdn) FULL OUTER JOIN udv USING (msisdn) F
 
 @query("family_merge", lambda: MERGE_SQL.format(sub=_sub_sql()))
 def _(t):
-    tables = {"air": weekly.AIR.features(t.recharge, HISTORY_D), "location": snapshots.location(t.ping, HISTORY_D),
-              "udv": weekly.UDV.features(t.credit, HISTORY_D), "sub": snapshots.sub(t.balance, HISTORY_D)}
+    tables = {"air": weekly.AIR.features(t.back(HISTORY_D).recharge, HISTORY_D), "location": snapshots.location(t.back(HISTORY_D).ping, HISTORY_D),
+              "udv": weekly.UDV.features(t.back(HISTORY_D).credit, HISTORY_D), "sub": snapshots.sub(t.back(HISTORY_D).balance, HISTORY_D)}
     return merge.model_table(tables, MERGE_FEATURES)

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rollspan.catalog.roles import ROLES
+from rollspan.functions.calendar import as_date
 from rollspan.functions.numeric import quoted
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
+EVENT_TIME = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
@@ -20,12 +24,26 @@ _SQL: dict[str, str] = {}
 class Data:
     """Test tables and the roles they stand in for, as lazy frames."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self._dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, bounds: tuple[str, str] | None = None):
+        self.spark, self._dir, self._bounds = spark, sf_dir, bounds
+
+    def back(self, snapshot: str, weeks: int = 24) -> "Data":
+        """The same data with event tables cut to the look-back of a snapshot (inclusive).
+
+        Roles compute their ``yyyyMMdd`` partition column from a timestamp, so this states
+        the window on the stored column, where the scan can use it; a table that is
+        partitioned by the date string needs no such help.
+        """
+        d = as_date(snapshot)
+        return Data(self.spark, self._dir, (str(d - timedelta(days=7 * weeks)), str(d + timedelta(days=1))))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+            if self._bounds and name in EVENT_TIME:
+                lo, hi = (F.lit(b).cast("timestamp_ntz") for b in self._bounds)
+                df = df.where((F.col(EVENT_TIME[name]) >= lo) & (F.col(EVENT_TIME[name]) < hi))
+            return df
         if name in ROLES:
             return self.role(name)
         raise AttributeError(name)

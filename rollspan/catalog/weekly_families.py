@@ -64,7 +64,7 @@ def _air_sql():
 
 @query("family_air", _air_sql)
 def _(t):
-    return weekly.AIR.features(t.recharge, HISTORY_D)
+    return weekly.AIR.features(t.back(HISTORY_D).recharge, HISTORY_D)
 
 
 # --- packages ----------------------------------------------------------------------------------
@@ -101,7 +101,7 @@ def _package_sql():
 
 @query("family_3gsub", _package_sql)
 def _(t):
-    return weekly.PACKAGES.features(t.package, HISTORY_D)
+    return weekly.PACKAGES.features(t.back(HISTORY_D).package, HISTORY_D)
 
 
 # --- branded messages ------------------------------------------------------------------------------
@@ -129,7 +129,7 @@ def _brand_sql():
 
 @query("family_brandname", _brand_sql)
 def _(t):
-    return weekly.BRANDS.features(t.brand, HISTORY_D)
+    return weekly.BRANDS.features(t.back(HISTORY_D).brand, HISTORY_D)
 
 
 # --- data sessions -----------------------------------------------------------------------------------
@@ -167,7 +167,7 @@ def _session_sql():
 
 @query("family_ggsn", _session_sql)
 def _(t):
-    return weekly.SESSIONS.features(t.session, HISTORY_D)
+    return weekly.SESSIONS.features(t.back(HISTORY_D).session, HISTORY_D)
 
 
 # --- usage -------------------------------------------------------------------------------------------------
@@ -214,7 +214,7 @@ def _usage_sql():
 
 @query("family_usage", _usage_sql)
 def _(t):
-    return weekly.USAGE.features(t.usage, HISTORY_D)
+    return weekly.USAGE.features(t.back(HISTORY_D).usage, HISTORY_D)
 
 
 def _account_sql():
@@ -231,7 +231,7 @@ def _account_sql():
 
 @query("family_usageda", _account_sql)
 def _(t):
-    return weekly.ACCOUNTS.features(t.account_usage, HISTORY_D)
+    return weekly.ACCOUNTS.features(t.back(HISTORY_D).account_usage, HISTORY_D)
 
 
 # --- value-added services ------------------------------------------------------------------------------------
@@ -251,7 +251,7 @@ def _vas_sql():
 
 @query("family_vascloud", _vas_sql)
 def _(t):
-    return weekly.VAS.features(t.vas, EVENTS_D)
+    return weekly.VAS.features(t.back(EVENTS_D).vas, EVENTS_D)
 
 
 # --- calls ---------------------------------------------------------------------------------------------------------
@@ -299,13 +299,13 @@ def talk_sql(prefix, kinds, sms, not_answered, ratios, role, source=None):
 
 @query("family_voice", lambda: talk_sql("voice", CALL_KINDS, SMS_KINDS, True, weekly.call_ratios("voice"), "call"))
 def _(t):
-    return weekly.VOICE.features(t.call, HISTORY_D)
+    return weekly.VOICE.features(t.back(HISTORY_D).call, HISTORY_D)
 
 
 @query("family_volte", lambda: talk_sql("volte", VOLTE_KINDS, {}, False, weekly.volte_ratios("volte"), "call"))
 def _(t):
     from rollspan.sources.tables import cutover_union
-    return weekly.VOLTE.features(cutover_union(t.call, t.call, "s3_file_date", "20010601"), HISTORY_D)
+    return weekly.VOLTE.features(cutover_union(t.back(HISTORY_D).call, t.back(HISTORY_D).call, "s3_file_date", "20010601"), HISTORY_D)
 
 
 # --- transfers and credit --------------------------------------------------------------------------------------------
@@ -333,7 +333,7 @@ def _transfer_sql():
 
 @query("family_money_transfer", _transfer_sql)
 def _(t):
-    return weekly.money_transfer(t.transfer, HISTORY_D)
+    return weekly.money_transfer(t.back(HISTORY_D).transfer, HISTORY_D)
 
 
 def credit_sql(prefix, amount, pack):
@@ -353,12 +353,12 @@ def credit_sql(prefix, amount, pack):
 
 @query("family_udv", lambda: credit_sql("udv", "amount", "pack_id"))
 def _(t):
-    return weekly.UDV.features(t.credit, HISTORY_D)
+    return weekly.UDV.features(t.back(HISTORY_D).credit, HISTORY_D)
 
 
 @query("family_utn", lambda: credit_sql("utn", "credit_amount", None))
 def _(t):
-    return weekly.UTN.features(t.credit, HISTORY_D)
+    return weekly.UTN.features(t.back(HISTORY_D).credit, HISTORY_D)
 
 
 # --- cells ------------------------------------------------------------------------------------------------------------
@@ -396,7 +396,7 @@ def bts_air_oracle() -> Windowed:
 
 
 def bts_air(t):
-    return cells.BTS_AIR.features(cells.at_cells(cells.with_cell_parts(t.recharge, "cell"), mapping(t)), HISTORY_D)
+    return cells.BTS_AIR.features(cells.at_cells(cells.with_cell_parts(t.back(HISTORY_D).recharge, "cell"), mapping(t)), HISTORY_D)
 
 
 @query("family_bts_air", lambda: bts_air_oracle().sql())
@@ -411,7 +411,7 @@ def bts_ggsn_oracle() -> Windowed:
 
 
 def bts_ggsn(t):
-    return cells.BTS_GGSN.features(cells.at_cells(t.session, mapping(t)), HISTORY_D)
+    return cells.BTS_GGSN.features(cells.at_cells(t.back(HISTORY_D).session, mapping(t)), HISTORY_D)
 
 
 @query("family_bts_ggsn", lambda: bts_ggsn_oracle().sql())
@@ -439,7 +439,7 @@ def _bts_usage_sql():
 
 
 def bts_usage(t):
-    return cells.bts_usage(cells.at_cells(cells.with_cell_parts(t.usage, "originatingcellid"), mapping(t)), HISTORY_D)
+    return cells.bts_usage(cells.at_cells(cells.with_cell_parts(t.back(HISTORY_D).usage, "originatingcellid"), mapping(t)), HISTORY_D)
 
 
 @query("family_bts_usage", _bts_usage_sql)
@@ -464,11 +464,11 @@ def _bts_talk_sql(*args):
 
 
 def bts_voice(t):
-    return cells.BTS_VOICE.features(cells.at_cells(t.call, mapping(t)), HISTORY_D)
+    return cells.BTS_VOICE.features(cells.at_cells(t.back(HISTORY_D).call, mapping(t)), HISTORY_D)
 
 
 def bts_volte(t):
-    return cells.BTS_VOLTE.features(cells.at_cells(t.call, mapping(t)), HISTORY_D)
+    return cells.BTS_VOLTE.features(cells.at_cells(t.back(HISTORY_D).call, mapping(t)), HISTORY_D)
 
 
 @query("family_bts_voice", lambda: _bts_talk_sql("bts_voice", CALL_KINDS, SMS_KINDS, {}))

@@ -51,18 +51,27 @@ def daily_to_weekly(daily: DataFrame, keys: Sequence[str], day: str, snapshot: s
     ``extremes`` maps a daily column to the template of its extreme, e.g.
     ``{"usage_total_cost_sum": "usage_total_cost_{op}"}`` gives ``..._dmin`` and ``..._dmax``.
     Also returns the measures that :func:`widen` needs.
+
+    Daily rows are placed by key once; the weekly aggregate and :func:`widen` (with
+    ``placed=True``) then run inside those partitions without another shuffle.
     """
     measures = [Measure(c, "sum", quoted(c)) for c in sums]
     for c, template in extremes.items():
         measures += [Measure(template.format(op="dmin"), "min", quoted(c)),
                      Measure(template.format(op="dmax"), "max", quoted(c))]
-    return weekly(daily, keys, day, snapshot, measures, weeks), measures
+    placed = lookback(daily, day, snapshot, weeks).repartition(*keys)
+    return sliced_stats(placed, [*keys, "week_back"], measures), measures
 
 
 def widen(weeks_df: DataFrame, keys: Sequence[str], measures: Sequence[Measure],
-          windows: Sequence[int] = WEEKS, name: str = "{stem}_l{n}w") -> DataFrame:
+          windows: Sequence[int] = WEEKS, name: str = "{stem}_l{n}w", placed: bool = False) -> DataFrame:
     """All windows of all measures from weekly rows in one shuffle.
 
+    The narrow weekly rows are what is shuffled. Left to itself the aggregate would widen
+    each week's row to all windows map-side, where weeks of one key rarely meet, and
+    shuffle that. ``placed=True`` says that rows are already partitioned by key. A key has
+    at most one row per week here, so no key can be hot.
+
     The longest window holds every key of the shorter ones, so what a full outer join of
     per-window tables would give comes out of one conditional aggregate: a key without
     rows in a window has NULL there.
@@ -71,7 +80,8 @@ def widen(weeks_df: DataFrame, keys: Sequence[str], measures: Sequence[Measure],
         F.expr(f"{m.roll}(CASE WHEN week_back < {n} THEN {quoted(m.name)} END) AS {quoted(name.format(stem=m.name, n=n))}")
         for n in windows for m in measures
     ]
-    return weeks_df.where(F.col("week_back") < max(windows)).groupBy(*keys).agg(*aggs)
+    rows = weeks_df.where(F.col("week_back") < max(windows))
+    return (rows if placed else rows.repartition(*keys)).groupBy(*keys).agg(*aggs)
 
 
 def window_stats(df: DataFrame, keys: Sequence[str], day: str, snapshot: str,

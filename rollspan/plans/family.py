@@ -46,8 +46,8 @@ class Family:
         sums = [m.name for m in self.measures]
         return daily_to_weekly(self.daily(raw), self.keys, self.day, snapshot, sums, self.extremes, weeks)[0]
 
-    def from_weekly(self, weeks_df: DataFrame, windows: Sequence[int] = WEEKS) -> DataFrame:
-        return self.finish(widen(weeks_df, self.keys, self.stored, windows), windows)
+    def from_weekly(self, weeks_df: DataFrame, windows: Sequence[int] = WEEKS, placed: bool = False) -> DataFrame:
+        return self.finish(widen(weeks_df, self.keys, self.stored, windows, placed=placed), windows)
 
     def features(self, raw: DataFrame, snapshot: str, windows: Sequence[int] = WEEKS) -> DataFrame:
-        return self.from_weekly(self.weekly(raw, snapshot, max(windows)), windows)
+        return self.from_weekly(self.weekly(raw, snapshot, max(windows)), windows, placed=bool(self.extremes))
