@@ -70,7 +70,7 @@ _DEG = ["l_quantity", "qty_copy", "one", "l_tax"]
 _DEG_ROWS = "SELECT l_quantity, l_quantity AS qty_copy, CAST(1 AS DOUBLE) AS one, l_tax FROM lineitem"
 
 
-@query("degenerate_columns", " UNION ALL ".join(f"""SELECT '{c}' AS feature, {R('max(n) / sum(n)', 'mode_share')}, (SELECT {R(f'var_samp({c})', 'variance')} FROM ({_DEG_ROWS})) AS variance,
+@query("degenerate_columns", " UNION ALL ".join(f"""SELECT '{c}' AS feature, {R('CASE WHEN max(n) / sum(n) > 0.5 THEN max(n) / sum(n) END', 'majority_share')}, (SELECT {R(f'var_samp({c})', 'variance')} FROM ({_DEG_ROWS})) AS variance,
     {"'l_quantity'" if c == 'qty_copy' else 'NULL::VARCHAR'} AS duplicate_of, max(n) / sum(n) >= 0.98 AS quasi_constant, (SELECT var_samp({c}) FROM ({_DEG_ROWS})) < 0.01 AS low_variance
     FROM (SELECT {c}, count(*) AS n FROM ({_DEG_ROWS}) GROUP BY 1)""" for c in _DEG))
 def _(t):

@@ -167,9 +167,36 @@ def map_stats(freq: Column, prefix: str) -> dict[str, Column]:
     }
 
 
+def count_stats(counts: DataFrame, keys: Sequence[str], windows: Mapping[str, str], item: str = "item") -> DataFrame:
+    """The statistics of :func:`map_stats` straight from ``(keys, item, count)`` rows.
+
+    ``windows`` maps an output prefix to a count column (several cumulative windows are
+    served at once; an item with count 0 does not belong to the window). Only extremes,
+    a count and a sum are kept per key, so nothing grows with the number of items.
+    """
+    aggs = []
+    for i, n in enumerate(windows.values()):
+        pair = F.when(F.col(n) > 0, F.struct((-F.col(n)).alias("neg"), F.col(item).alias("item")))
+        aggs += [F.min(pair).alias(f"_top{i}"), F.max(pair).alias(f"_low{i}"),
+                 F.count_if(F.col(n) > 0).cast("int").alias(f"_cnt{i}"), F.sum(n).alias(f"_sum{i}")]
+    reduced = counts.groupBy(*keys).agg(*aggs)
+    cols = []
+    for i, prefix in enumerate(windows):
+        several = F.col(f"_cnt{i}") > 1
+        top_n, low_n = -F.col(f"_top{i}.neg"), F.when(several, -F.col(f"_low{i}.neg"))
+        stats = {
+            "most_item": F.col(f"_top{i}.item"), "least_item": F.when(several, F.col(f"_low{i}.item")),
+            "unique": F.col(f"_cnt{i}"),
+            "most_value": F.coalesce(top_n, F.lit(0)), "least_value": F.coalesce(low_n, F.lit(0)),
+            "most_percent": F.coalesce(ratio(top_n, f"_sum{i}"), F.lit(0.0)),
+            "least_percent": F.coalesce(ratio(low_n, f"_sum{i}"), F.lit(0.0)),
+        }
+        cols += [c.alias(f"{prefix}{s}") for s, c in stats.items()]
+    return reduced.select(*keys, *cols)
+
+
 def frequency_stats(df: DataFrame, keys: Sequence[str], col: str, prefix: str = "") -> DataFrame:
-    freq = frequency_map(df, keys, col, "_freq")
-    return freq.select(*keys, *[c.alias(n) for n, c in map_stats(F.col("_freq"), prefix).items()])
+    return count_stats(frequency_counts(df, keys, col), keys, {prefix: "n"})
 
 
 def merge_frequency(left: DataFrame, right: DataFrame, keys: Sequence[str], name: str = "freq") -> DataFrame:

@@ -106,7 +106,7 @@ def row_digest(columns: Sequence[str]) -> Column:
 
 def row_duplicates(df: DataFrame) -> DataFrame:
     """One row: digests seen more than once; only the digest is shuffled, not the row."""
-    return pk_duplicates(df.select(row_digest(df.columns).alias("_d")), ["_d"])
+    return pk_duplicates(df.select(F.unhex(row_digest(df.columns)).alias("_d")), ["_d"])
 
 
 def validity(df: DataFrame, rules: Mapping[str, tuple[str, object]]) -> DataFrame:

@@ -144,14 +144,15 @@ def collapse(df: DataFrame, keys: Sequence[str], stems: Sequence[str], prefix: s
 
 
 def monthly_from_daily(daily: DataFrame, keys: Sequence[str], stems: Sequence[str],
-                       zero_fill: bool = False, days: int | None = None) -> DataFrame:
+                       zero_fill: bool = False, days: int | str | None = None) -> DataFrame:
     """Month totals from daily partials ``sum_/count_/min_/max_/sumsq_`` of each stem.
 
     ``zero_fill=True`` gives what densifying the key x day grid with zeros would give (a
     key missing on any of ``days`` days has min 0 at most and max 0 at least) without
-    building that grid.
+    building that grid. ``days`` is a number or the column that holds it.
     """
-    absent = (F.count(F.lit(1)) < F.lit(days)) if zero_fill and days else F.lit(False)
+    expected = F.max(days) if isinstance(days, str) else F.lit(days)
+    absent = (F.count(F.lit(1)) < expected) if zero_fill and days else F.lit(False)
     aggs = []
     for s in stems:
         lo, hi = F.min(f"min_{s}"), F.max(f"max_{s}")

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rollspan.functions.numeric import ratio
@@ -69,8 +71,48 @@ def iv_table(bins: DataFrame, threshold: float | None = None) -> DataFrame:
     return out if threshold is None else out.withColumn("kept", F.col("iv") >= threshold)
 
 
+def moments_of_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``f1, f2, corr`` of a wide frame in one scan.
+
+    Arrow batches are turned into co-moment matrices inside the tasks (a few matrix products
+    per batch, summed per partition), and the cells are added up by Spark. Values are
+    centred on the feature mean first so that the sums keep their digits; pairs with a NULL
+    are left out pair by pair.
+    """
+    names = list(features)
+    means = df.agg(*[F.avg(F.col(q(f)).cast("double")).alias(f"m{i}") for i, f in enumerate(names)])
+    centred = with_scalars(df.select(*[F.col(q(f)).cast("double").alias(f"x{i}") for i, f in enumerate(names)]), means)
+    centred = centred.select(*[(F.col(f"x{i}") - F.col(f"m{i}")).alias(f"x{i}") for i in range(len(names))])
+
+    def partial(batches):
+        acc = None
+        for pdf in batches:
+            x = pdf.to_numpy(dtype="float64")
+            seen = (~np.isnan(x)).astype("float64")
+            x = np.nan_to_num(x)
+            part = np.stack([seen.T @ seen, x.T @ seen, seen.T @ x, (x * x).T @ seen, seen.T @ (x * x), x.T @ x])
+            acc = part if acc is None else acc + part
+        if acc is not None:
+            i, j = np.triu_indices(len(names), 1)
+            yield pd.DataFrame({"i": i, "j": j, **{c: acc[k, i, j] for k, c in enumerate(("n", "sx", "sy", "sxx", "syy", "sxy"))}})
+
+    cells = centred.mapInPandas(partial, "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double")
+    s = cells.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    cov = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    dev = F.sqrt(F.greatest(F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"), F.lit(0.0))) * F.sqrt(
+        F.greatest(F.col("n") * F.col("syy") - F.col("sy") * F.col("sy"), F.lit(0.0)))
+    label = F.array(*map(F.lit, names))
+    return s.select(label[F.col("i")].alias("f1"), label[F.col("j")].alias("f2"), F.try_divide(cov, dev).alias("corr"))
+
+
+#: up to this many features all pairs fit one ordinary aggregate
+NARROW = 15
+
+
 def correlation_long(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``f1, f2, corr`` for every unordered pair from one aggregate of the frame."""
+    """``f1, f2, corr`` for every unordered pair of features in one scan."""
+    if len(features) > NARROW:
+        return moments_of_pairs(df, features)
     pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
     row = df.agg(*[F.corr(F.col(q(a)).cast("double"), F.col(q(b)).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     cells = F.explode(F.array(*[
@@ -112,7 +154,12 @@ def psi(ref: DataFrame, cur: DataFrame, features: Sequence[str], bins: int = 10,
 
 
 def degenerate_columns(df: DataFrame, features: Sequence[str], tol: float = 0.98, min_variance: float = 0.01) -> DataFrame:
-    """``feature, mode_share, variance, duplicate_of`` and the verdict flags.
+    """``feature, majority_share, variance, duplicate_of`` and the verdict flags.
+
+    ``majority_share`` is the share of the value (NULL counts as one) that more than half of
+    the rows hold, and NULL where there is none. Such a value is the median, so a quantile
+    sketch names the only candidate and a second scan counts it: no value counts of
+    continuous features are shuffled. ``tol`` must therefore be above one half.
 
     Two columns are duplicates when every row holds equal values: each value is hashed
     together with the digest of its row and the hashes are summed, so equal columns have
@@ -128,12 +175,18 @@ def degenerate_columns(df: DataFrame, features: Sequence[str], tol: float = 0.98
         for i, f in enumerate(features)])).alias("_s")).select("_s.*")
     first = Window.partitionBy("digest")  # one row per feature
     rows = rows.withColumn("_first", F.min(F.struct("pos", "feature")).over(first))
-    counts = long_features(df, features).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    share = counts.groupBy("feature").agg(ratio(F.max("n"), F.sum("n")).alias("mode_share"))
+    medians = df.agg(*[F.percentile_approx(F.col(q(f)).cast("double"), 0.5, ACCURACY).alias(f"m{i}") for i, f in enumerate(features)])
+    tested = with_scalars(df.select(*[F.col(q(f)).cast("double").alias(f"x{i}") for i, f in enumerate(features)]), medians)
+    held = tested.agg(F.count(F.lit(1)).alias("_all"), *[
+        F.greatest(F.count_if(F.col(f"x{i}") == F.col(f"m{i}")), F.count_if(F.col(f"x{i}").isNull())).alias(f"n{i}")
+        for i in range(len(features))])
+    cells = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), ratio(f"n{i}", "_all").alias("s")) for i, f in enumerate(features)]))
+    share = held.select(cells.alias("_c")).select(
+        F.col("_c.feature").alias("feature"), F.when(F.col("_c.s") > 0.5, F.col("_c.s")).alias("majority_share"))
     return rows.join(share, "feature").select(
-        "feature", "mode_share", "variance",
+        "feature", "majority_share", "variance",
         F.when(F.col("_first.pos") < F.col("pos"), F.col("_first.feature")).alias("duplicate_of"),
-        (F.col("mode_share") >= tol).alias("quasi_constant"),
+        F.coalesce(F.col("majority_share") >= tol, F.lit(False)).alias("quasi_constant"),
         (F.col("variance") < min_variance).alias("low_variance"))
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from rollspan.operators.aggregates import Measure, sliced_stats
-from rollspan.operators.rollups import WEEKS, daily_to_weekly, weekly, widen
+from rollspan.operators.rollups import WEEKS, daily_to_weekly, lookback, weekly, widen
 
 
 @dataclass(frozen=True)
@@ -16,7 +16,9 @@ class Family:
     """prepare raw rows -> weekly snapshot rows -> all windows -> ratios and trends.
 
     With ``extremes`` the weekly rows come from daily sums so that minima and maxima of
-    daily sums exist. ``weekly()`` is what a scheduled job stores once per week;
+    daily sums exist. ``reduced`` says that ``prepare`` already leaves only a few rows per
+    key and day: they are placed by key once and everything after runs in place, also the
+    distinct counts. ``weekly()`` is what a scheduled job stores once per week;
     ``from_weekly()`` turns stored weeks into the wide table, ``features()`` does both in
     one plan.
     """
@@ -28,6 +30,7 @@ class Family:
     keys: Sequence[str] = ("msisdn",)
     day: str = "s3_file_date"
     extremes: Mapping[str, str] = field(default_factory=dict)
+    reduced: bool = False
 
     @property
     def stored(self) -> list[Measure]:
@@ -41,6 +44,9 @@ class Family:
         return sliced_stats(self.prepare(raw), [*self.keys, self.day], self.measures)
 
     def weekly(self, raw: DataFrame, snapshot: str, weeks: int = 24) -> DataFrame:
+        if self.reduced:
+            placed = lookback(self.prepare(raw), self.day, snapshot, weeks).repartition(*self.keys)
+            return sliced_stats(placed, [*self.keys, "week_back"], self.measures)
         if not self.extremes:
             return weekly(self.prepare(raw), self.keys, self.day, snapshot, self.measures, weeks)
         sums = [m.name for m in self.measures]
@@ -50,4 +56,4 @@ class Family:
         return self.finish(widen(weeks_df, self.keys, self.stored, windows, placed=placed), windows)
 
     def features(self, raw: DataFrame, snapshot: str, windows: Sequence[int] = WEEKS) -> DataFrame:
-        return self.from_weekly(self.weekly(raw, snapshot, max(windows)), windows, placed=bool(self.extremes))
+        return self.from_weekly(self.weekly(raw, snapshot, max(windows)), windows, placed=bool(self.extremes) or self.reduced)

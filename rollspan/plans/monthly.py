@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rollspan.functions.calendar import YMD, as_date, shift_months, ymd
 from rollspan.functions.fixed_values import FINANCE_SENDERS
 from rollspan.functions.text import sanitize
-from rollspan.operators.aggregates import Measure, map_stats, role_swap_stats, sliced_stats
+from rollspan.operators.aggregates import Measure, count_stats, role_swap_stats, sliced_stats
 from rollspan.operators.joins import outer_merge, restrict
 from rollspan.operators.rollups import cumulative_delta, cumulative_months, month_index, monthly_from_daily
 
+from rollspan.session import with_scalars
+
 PARTS = ("sum", "count", "min", "max", "sumsq")
 
 
@@ -61,16 +63,11 @@ def numeric_monthly_daily(raw: DataFrame, snapshot: str, values, where=None, mon
     daily, stems = daily_partials(rows, values, where)
     if not zero_fill:
         return cumulative_months(monthly_from_daily(daily, ["msisdn", "m"], stems), ["msisdn"], "m", stems, months)
-    days = daily.groupBy("m").agg(F.count_distinct("s3_file_date").alias("_days"))
-    sized = daily.join(days, "m")
-    grouped = monthly_from_daily(sized, ["msisdn", "m", "_days"], stems)
-    active = sized.groupBy("msisdn", "m").agg(F.count(F.lit(1)).alias("_active"))
-    both = grouped.join(active, ["msisdn", "m"])
-    missing = F.col("_active") < F.col("_days")
-    fixed = both.withColumns({
-        c: F.when(missing, fn(F.col(c), F.lit(0.0))).otherwise(F.col(c))
-        for s in stems for c, fn in ((f"min_{s}", F.least), (f"max_{s}", F.greatest))})
-    return cumulative_months(fixed, ["msisdn"], "m", stems, months)
+    # one row: month -> number of dates present in it
+    present = rows.select("m", "s3_file_date").distinct().groupBy("m").agg(F.count(F.lit(1)).alias("n"))
+    dates = present.agg(F.map_from_entries(F.collect_list(F.struct("m", "n"))).alias("_dates"))
+    sized = with_scalars(daily, dates).withColumn("_days", F.col("_dates")[F.col("m")]).drop("_dates")
+    return cumulative_months(monthly_from_daily(sized, ["msisdn", "m"], stems, True, "_days"), ["msisdn"], "m", stems, months)
 
 
 def recharge_monthly(raw: DataFrame, snapshot: str) -> DataFrame:
@@ -132,19 +129,13 @@ def revenue_monthly(raw: DataFrame, snapshot: str, measures: Sequence[str], mont
 def categorical_monthly(raw: DataFrame, snapshot: str, col: "Column | str", prefix: str, months: int = 6) -> DataFrame:
     """Most/least frequent item statistics over T-1 .. T-n.
 
-    Counts per (subscriber, item) of every cumulative window come from one aggregate; the
-    maps are assembled from those reduced rows, so no map is merged row by row.
+    Counts per (subscriber, item) of every cumulative window come from one aggregate, the
+    statistics of all windows from a second one over those reduced rows.
     """
     rows = month_rows(raw, snapshot, months).withColumn("item", (F.col(col) if isinstance(col, str) else col).cast("string"))
     counts = rows.where(F.col("item").isNotNull()).groupBy("msisdn", "item").agg(
         *[F.count(F.when(F.col("m") <= t, 1)).alias(f"n{t}") for t in range(1, months + 1)])
-    maps = counts.groupBy("msisdn").agg(*[
-        F.map_from_entries(F.collect_list(F.when(F.col(f"n{t}") > 0, F.struct("item", f"n{t}")))).alias(f"map{t}")
-        for t in range(1, months + 1)])
-    cols = {}
-    for t in range(1, months + 1):
-        cols |= map_stats(F.col(f"map{t}"), f"{prefix}_T-{t}_")
-    return maps.select("msisdn", *[c.alias(n) for n, c in cols.items()])
+    return count_stats(counts, ["msisdn"], {f"{prefix}_T-{t}_": f"n{t}" for t in range(1, months + 1)})
 
 
 def province_monthly(raw: DataFrame, snapshot: str) -> DataFrame:

@@ -261,8 +261,9 @@ def smrs(raw: DataFrame, snapshot: str, measures: Mapping[str, str] = REVENUE_ME
     keys = [int(ymd(shift_months(as_date(s), -1))[:6]) for s in steps]
     last = latest_per_period(raw, "s3_file_date", "mo_key", sorted(set(keys)))
     # a month can serve two steps (D and D-4w inside one month)
-    step = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(i).alias("step")) for i, k in enumerate(keys)]))
-    rows = last.select("*", step.alias("_s")).where(F.col("_s.k") == F.col("mo_key")).withColumn("step", F.col("_s.step"))
+    served = {k: [i for i, other in enumerate(keys) if other == k] for k in keys}
+    steps_of = F.create_map(*[x for k, s in served.items() for x in (F.lit(k), F.array(*map(F.lit, s)))])
+    rows = last.select("*", F.explode(steps_of[F.col("mo_key")]).alias("step"))
     names = list(measures.items())
     parts = []
     for i in range(0, len(names), group_size):

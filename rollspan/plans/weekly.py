@@ -356,15 +356,19 @@ def money_transfer(raw: DataFrame, snapshot: str, windows: Sequence[int] = WEEKS
 def credit_family(prefix: str, amount: str, pack: str | None = None) -> Family:
     """Advances per subscriber. Longer windows add up weekly distinct counts: exact for
     days (weeks are disjoint), an upper bound for packs."""
-    measures = [Measure(f"{prefix}_credit_count", "rows"), Measure(f"{prefix}_count_days", "ndistinct", "s3_file_date")]
+    measures = [Measure(f"{prefix}_credit_count", "sum", "n"), Measure(f"{prefix}_count_days", "ndistinct", "s3_file_date")]
     if pack:
         measures.append(Measure(f"{prefix}_pack_count", "ndistinct", pack))
-    measures += [Measure(f"{prefix}_amount_sum", "sum", amount), Measure(f"{prefix}_amount_max", "max", amount)]
+    measures += [Measure(f"{prefix}_amount_sum", "sum", "total"), Measure(f"{prefix}_amount_max", "max", "top")]
+
+    def reduce_days(raw: DataFrame) -> DataFrame:
+        by = ["msisdn", "s3_file_date", *([pack] if pack else [])]
+        return raw.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(amount).alias("total"), F.max(amount).alias("top"))
 
     def finish(wide: DataFrame, windows: Sequence[int]) -> DataFrame:
         out = add_ratios(wide, {f"{prefix}_amount_avg": (f"{prefix}_amount_sum", f"{prefix}_credit_count")}, windows)
         return trend_ratios(out, [*[m.name for m in measures], f"{prefix}_amount_avg"], windows, "skip1")
-    return Family(prefix, lambda raw: raw, measures, finish)
+    return Family(prefix, reduce_days, measures, finish, reduced=True)
 
 
 UDV = credit_family("udv", "amount", "pack_id")

@@ -69,6 +69,19 @@ def test_correlation_filter_drops_weaker_copy(spark):
     assert kept == {"x": True, "x2": False, "z": True}
 
 
+def test_wide_correlations_match_pandas_pairwise(spark):
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame(rng.normal(size=(500, 20)) + 1e4, columns=[f"c{i}" for i in range(20)])
+    pdf["c1"] = pdf["c0"] * 3 + rng.normal(size=500)
+    pdf.loc[::7, "c2"] = np.nan
+    df = spark.createDataFrame(pdf).replace(float("nan"), None).repartition(3)
+    want = pdf.corr()
+    got = se.correlation_long(df, list(pdf.columns)).collect()
+    assert len(got) == 190
+    for r in got:
+        assert r["corr"] == pytest.approx(want.loc[r["f1"], r["f2"]], abs=1e-9)
+
+
 def test_psi_zero_for_same_and_large_for_shifted(spark):
     df, _ = labelled(spark)
     assert se.psi(df, df, ["x"]).first()["psi"] == pytest.approx(0.0, abs=1e-9)
