@@ -22,30 +22,40 @@ def lookback_start(snapshot: str, weeks: int) -> str:
     return ymd(as_date(snapshot) - timedelta(days=7 * weeks))
 
 
-def lookback(df: DataFrame, day: str, snapshot: str, weeks: int = 24, back: str = "week_back") -> DataFrame:
+def lookback(df: DataFrame, day: str, snapshot: str, weeks: int = 24, back: str = "week_back",
+             bands: Sequence[int] | None = None) -> DataFrame:
     """Rows of the last ``weeks`` weeks with the number of whole weeks before the snapshot.
 
     ``day`` is the ``yyyyMMdd`` string the table is partitioned by; the bounds are string
-    literals so that partition pruning or parquet push-down applies.
+    literals so that partition pruning or parquet push-down applies. With ``bands`` (window
+    lengths) the week is moved to the oldest one that lies in the same windows, so a
+    grouping by it yields one row per window ring instead of one per week. That serves
+    features computed in one go; stored weekly snapshots need real weeks.
     """
     d = as_date(snapshot)
     start = lookback_start(snapshot, weeks)
     age = F.datediff(F.lit(d), F.to_date(day, YMD)) - 1
-    return (df.where((F.col(day) >= start) & (F.col(day) < snapshot))
-              .withColumn(back, F.floor(age / 7).cast("int")))
+    week = F.floor(age / 7).cast("int")
+    if bands:
+        ring = F.when(week < min(bands), min(bands) - 1)
+        for n in sorted(bands)[1:]:
+            ring = ring.when(week < n, n - 1)
+        week = ring
+    return df.where((F.col(day) >= start) & (F.col(day) < snapshot)).withColumn(back, week)
 
 
 def weekly(df: DataFrame, keys: Sequence[str], day: str, snapshot: str,
-           measures: Sequence[Measure], weeks: int = 24) -> DataFrame:
+           measures: Sequence[Measure], weeks: int = 24, bands: Sequence[int] | None = None) -> DataFrame:
     """One row per key and weekly snapshot (``week_back`` 0 is the newest week).
 
     This is the table to store per week: later snapshots only add one week to it.
     """
-    return sliced_stats(lookback(df, day, snapshot, weeks), [*keys, "week_back"], measures)
+    return sliced_stats(lookback(df, day, snapshot, weeks, bands=bands), [*keys, "week_back"], measures)
 
 
 def daily_to_weekly(daily: DataFrame, keys: Sequence[str], day: str, snapshot: str,
-                    sums: Sequence[str], extremes: Mapping[str, str], weeks: int = 24) -> tuple[DataFrame, list[Measure]]:
+                    sums: Sequence[str], extremes: Mapping[str, str], weeks: int = 24,
+                    bands: Sequence[int] | None = None) -> tuple[DataFrame, list[Measure]]:
     """Weekly rows from daily rows: sums, plus min/max of the daily sums.
 
     ``extremes`` maps a daily column to the template of its extreme, e.g.
@@ -59,7 +69,7 @@ def daily_to_weekly(daily: DataFrame, keys: Sequence[str], day: str, snapshot: s
     for c, template in extremes.items():
         measures += [Measure(template.format(op="dmin"), "min", quoted(c)),
                      Measure(template.format(op="dmax"), "max", quoted(c))]
-    placed = lookback(daily, day, snapshot, weeks).repartition(*keys)
+    placed = lookback(daily, day, snapshot, weeks, bands=bands).repartition(*keys)
     return sliced_stats(placed, [*keys, "week_back"], measures), measures
 
 
@@ -135,7 +145,7 @@ def month_steps_rollup(monthly: DataFrame, keys: Sequence[str], step: str, stems
         for op in ("sum",) if k == 1 else ("sum", "min", "max", "avg"):
             aggs += [F.expr(f"{op}(CASE WHEN {step} < {k} THEN {quoted(s)} END) AS {quoted(s.removesuffix('_sum') + f'_{op}_l{k}m')}")
                      for s in stems]
-    return monthly.groupBy(*keys).agg(*aggs)
+    return monthly.repartition(*keys).groupBy(*keys).agg(*aggs)
 
 
 def collapse(df: DataFrame, keys: Sequence[str], stems: Sequence[str], prefix: str = "pn_") -> DataFrame:
@@ -196,7 +206,8 @@ def cumulative_months(df: DataFrame, keys: Sequence[str], idx: str, stems: Seque
                                     ("max", "max", None), ("sumsq", "sum", "0D")):
                 e = f"{fn}(CASE WHEN {idx} <= {t} THEN {quoted(f'{part}_{s}')} END)"
                 aggs.append(F.expr(f"{f'coalesce({e}, {empty})' if empty else e} AS {quoted(f'{part}_{s}_T-{t}')}"))
-    wide = df.where(F.col(idx) <= months).groupBy(*keys).agg(*aggs)
+    # at most ``months`` narrow rows per key travel; see widen()
+    wide = df.where(F.col(idx) <= months).repartition(*keys).groupBy(*keys).agg(*aggs)
     derived = {}
     for s in stems:
         for t in ts:

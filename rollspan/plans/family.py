@@ -43,17 +43,21 @@ class Family:
     def daily(self, raw: DataFrame) -> DataFrame:
         return sliced_stats(self.prepare(raw), [*self.keys, self.day], self.measures)
 
-    def weekly(self, raw: DataFrame, snapshot: str, weeks: int = 24) -> DataFrame:
+    def weekly(self, raw: DataFrame, snapshot: str, weeks: int = 24, bands: Sequence[int] | None = None) -> DataFrame:
         if self.reduced:
             placed = lookback(self.prepare(raw), self.day, snapshot, weeks).repartition(*self.keys)
             return sliced_stats(placed, [*self.keys, "week_back"], self.measures)
         if not self.extremes:
-            return weekly(self.prepare(raw), self.keys, self.day, snapshot, self.measures, weeks)
+            return weekly(self.prepare(raw), self.keys, self.day, snapshot, self.measures, weeks, bands)
         sums = [m.name for m in self.measures]
-        return daily_to_weekly(self.daily(raw), self.keys, self.day, snapshot, sums, self.extremes, weeks)[0]
+        return daily_to_weekly(self.daily(raw), self.keys, self.day, snapshot, sums, self.extremes, weeks, bands)[0]
 
     def from_weekly(self, weeks_df: DataFrame, windows: Sequence[int] = WEEKS, placed: bool = False) -> DataFrame:
         return self.finish(widen(weeks_df, self.keys, self.stored, windows, placed=placed), windows)
 
     def features(self, raw: DataFrame, snapshot: str, windows: Sequence[int] = WEEKS) -> DataFrame:
-        return self.from_weekly(self.weekly(raw, snapshot, max(windows)), windows, placed=bool(self.extremes) or self.reduced)
+        # sums, minima and maxima of a ring of weeks equal those of its weeks; distinct counts
+        # are defined per week
+        weekly_only = any(m.agg == "ndistinct" for m in self.measures)
+        rolled = self.weekly(raw, snapshot, max(windows), None if weekly_only else windows)
+        return self.from_weekly(rolled, windows, placed=bool(self.extremes) or self.reduced)

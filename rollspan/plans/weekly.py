@@ -341,7 +341,7 @@ def money_transfer(raw: DataFrame, snapshot: str, windows: Sequence[int] = WEEKS
     """Both roles of every transfer in one exploded pass."""
     recent = raw.where((F.col("s3_file_date") >= lookback_start(snapshot, max(windows))) & (F.col("s3_file_date") < snapshot))
     rows, measures = two_party_features(recent, "sender", "receiver", "amount", "s3_file_date")
-    wide = widen(weekly(rows, ["msisdn"], "s3_file_date", snapshot, measures, max(windows)), ["msisdn"], measures, windows)
+    wide = widen(weekly(rows, ["msisdn"], "s3_file_date", snapshot, measures, max(windows), windows), ["msisdn"], measures, windows)
     out = add_text(wide, {
         f"money_transfer_amount_sum_l{n}w": total_text([f"money_transfer_{r}_amount_sum_l{n}w" for r in ("sender", "receiver")])
         for n in windows})

@@ -14,6 +14,7 @@ def make_session(app: str = "rollspan", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     builder = SparkSession.builder.appName(app)
     if master:

@@ -86,3 +86,16 @@ def test_zero_fill_equals_densified_grid(spark):
 def test_cumulative_delta_resets_and_same_day(spark, as_rows):
     df = spark.createDataFrame([("k", "1", 4.0), ("k", "1", 6.0), ("k", "2", 10.0), ("k", "3", 2.0)], "k string, d string, v double")
     assert [r["v"] for r in as_rows(ru.cumulative_delta(df, ["k"], "d", ["v"]), "d")] == [10.0, None, 8.0]
+
+
+def test_rings_give_the_same_windows_as_weeks(spark):
+    from rollspan.plans.weekly import VOICE
+    calls = spark.range(3000).select(
+        (F.col("id") % 11).cast("string").alias("msisdn"), (F.col("id") % 23).cast("double").alias("call_duration"),
+        F.element_at(F.array(*[F.lit(k) for k in ("MOC", "MTC", "ROA", "CF", "SMO", "SMT")]), (F.col("id") % 6 + 1).cast("int")).alias("call_type"),
+        F.date_format(F.date_sub(F.lit(date(2024, 1, 29)), (F.col("id") % 190).cast("int")), "yyyyMMdd").alias("s3_file_date"))
+    direct = VOICE.features(calls, D)
+    stored = VOICE.from_weekly(VOICE.weekly(calls, D))
+    assert direct.columns == stored.columns
+    a, b = direct.toPandas().set_index("msisdn").sort_index(), stored.toPandas().set_index("msisdn").sort_index()
+    assert ((a - b).abs().fillna(0) < 1e-9).all().all() and (a.isna() == b.isna()).all().all()
