@@ -188,7 +188,7 @@ RUNS_SQL = "SELECT replace(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), '-', '')
 
 def runs(t):
     status = F.when(F.col("o_orderstatus") == "F", "DONE").when(F.col("o_orderstatus") == "O", "FAIL").otherwise("RUNNING")
-    return t.orders.select(F.lit("orders").alias("feature_dir"), F.timestamp_seconds("o_orderkey").alias("update_time"), F.date_format("o_orderdate", "yyyyMMdd").alias("run_date"),
+    return t.orders.select(F.lit("orders").alias("feature_dir"), F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, o_orderkey)").alias("update_time"), F.date_format("o_orderdate", "yyyyMMdd").alias("run_date"),
                            status.alias("status"), F.col("o_orderkey").cast("float").alias("duration"), F.col("o_orderkey").alias("seq"))
 
 
