@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -24,22 +26,54 @@ def make_session(app: str = "rollspan", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint directory.
+_SHIPPED: set[str] = set()
+_LOCAL: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application.
+
+    Functions travel to the workers by module name, so the workers must be able to import
+    the package wherever the driver was started.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="rollspan-package-"), "rollspan_package.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(root):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        sc.addPyFile(path)
+        _SHIPPED.add(sc.applicationId)
+    return spark
 
-    The directory comes from ``spark.checkpoint.dir`` (or an earlier
-    ``setCheckpointDir``). Only a local master may fall back to a temporary folder: on a
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that the driver and all executors reach: ``spark.checkpoint.dir``.
+
+    Only a local master may fall back to a temporary folder (one per application): on a
     cluster a machine-local path would be lost with its executor.
     """
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        if sc.applicationId not in _LOCAL:
+            _LOCAL[sc.applicationId] = tempfile.mkdtemp(prefix="rollspan-shared-")
+        configured = _LOCAL[sc.applicationId]
+    return configured
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the reliable checkpoint directory (see :func:`shared_folder`)."""
     spark = df.sparkSession
     sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            configured = tempfile.mkdtemp(prefix="rollspan-checkpoint-")
-        sc.setCheckpointDir(configured)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 
