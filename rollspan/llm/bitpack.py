@@ -21,7 +21,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from rollspan.llm.encoding import encoder, ids_crc
 
@@ -124,9 +124,8 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """
     blocks = spark.read.parquet(folder)
     parts = blocks.groupBy("shard").agg(F.max(F.col("first") + F.col("n_ids")).alias("_n"))
-    earlier = parts.select(F.col("shard").alias("_s"), F.col("_n"))
-    starts = (parts.select("shard").join(F.broadcast(earlier), F.col("_s") < F.col("shard"), "left")
-                   .groupBy("shard").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_before")))
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     found = blocks.select("shard", "first", "n_ids", "width", "doc_ids", "offsets", "bits").mapInArrow(_documents, DOC_SCHEMA)
     return (found.join(F.broadcast(starts), "shard")
                  .select("doc_id", (F.col("_before") + F.col("first")).alias("start"), "n_tokens", "ids_crc32"))

@@ -17,7 +17,7 @@ import numpy as np
 from rollspan.llm.frames import slices
 
 #: White space beyond blanks, tabs and line ends; a text with any of it is encoded undivided.
-RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: A blank goes with the word after it; other white space before a word stays with the word.
 LEADING_BLANK = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+?(?= [^ \t\n\r])|[ \t\n\r]+[^ \t\n\r]+|[ \t\n\r]+")
 #: White space is dropped by the vocabulary, so only the words between count.

@@ -86,10 +86,9 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, keeps_blanks: bool, en
                     seq, offset, took = packer.new(), 0, length
                     done.append((doc, pos, took, ids_crc(ids[at + pos:at + pos + took]), n, seq, 0, False))
                 else:
-                    was = len(done)
                     seq, offset, took = packer.place(n - pos, gap)
                     piece = (doc, pos, took, ids_crc(ids[at + pos:at + pos + took]), n, seq, offset)
-                    if len(done) > was and done[-1][5] == seq or offset + took == length:
+                    if offset + took == length:
                         done.append((*piece, False))
                     else:
                         held.setdefault(seq, []).append(piece)
