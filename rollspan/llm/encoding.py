@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import islice
 from zlib import crc32
 
 import numpy as np
@@ -18,12 +19,24 @@ from rollspan.llm.frames import slices
 
 #: White space beyond blanks, tabs and line ends; a text with any of it is encoded undivided.
 RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: A blank goes with the word after it; other white space before a word stays with the word.
-LEADING_BLANK = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+?(?= [^ \t\n\r])|[ \t\n\r]+[^ \t\n\r]+|[ \t\n\r]+")
+#: Letters after which a full stop or comma begins a new word in both vocabularies.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+#: A blank goes with the word after it; a line end before a word stands alone.
+LEADING_BLANK = re.compile(
+    rf" ?[{LETTERS}]+(?=[.,])| ?[^ \t\n\r]+|\n(?=[^ \t\n\r])|[ \t\n\r]+?(?= [^ \t\n\r]|\n[^ \t\n\r])"
+    r"|[ \t\n\r]+[^ \t\n\r]+|[ \t\n\r]+")
 #: White space is dropped by the vocabulary, so only the words between count.
-NO_BLANK = re.compile(r"[^ \t\n\r]+")
+NO_BLANK = re.compile(rf"[{LETTERS}]+(?=[.,])|[^ \t\n\r]+")
 #: Pieces kept by a worker, and characters encoded at a time.
-KEEP, AT_ONCE = 400_000, 2_000_000
+KEEP, AT_ONCE = 1_200_000, 2_000_000
+
+
+class _Index(dict):
+    """Numbers pieces in the order in which they are first seen."""
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = len(self)
+        return n
 
 
 class PieceEncoder:
@@ -40,24 +53,28 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = _Index()
+        self.known = 0
         self.start, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.pool, self.used = np.zeros(4096, np.uint32), 0
 
-    def _learn(self, new: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        n, first = np.fromiter(map(len, found), np.int64, len(found)), len(self.index)
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(n.sum()))
-        while self.used + len(flat) > len(self.pool):
+    def _learn(self) -> None:
+        """Encode the pieces numbered since the last call, each as a word of its own."""
+        first, total = self.known, len(self.index)
+        new = list(islice(reversed(self.index), total - first))[::-1]
+        found = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
+        n = np.bincount(np.array(found.word_ids, np.int64), minlength=len(new))
+        while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        while first + len(new) > len(self.start):
+        while total > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        self.pool[self.used:self.used + len(flat)] = flat
-        self.start[first:first + len(new)] = self.used + np.cumsum(n) - n
-        self.length[first:first + len(new)] = n
-        self.used += len(flat)
-        self.index.update(zip(new, range(first, first + len(new))))
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.start[first:total] = self.used + np.cumsum(n) - n
+        self.length[first:total] = n
+        self.used += len(ids)
+        self.known = total
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         flat, counts = [], []
@@ -65,17 +82,14 @@ class PieceEncoder:
             p = [t] if RARE_SPACE.search(t) else self.pieces.findall(t)
             counts.append(len(p))
             flat += p
-        distinct = set(flat)
-        if len(self.index) + len(distinct) > self.keep:
+        if len(self.index) > self.keep:
             self._forget()
-        new = [p for p in distinct if p not in self.index]
-        if new:
-            self._learn(new)
         at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
+        if len(self.index) > self.known:
+            self._learn()
         n = self.length[at]
-        ends = np.cumsum(n)
-        ids = self.pool[np.repeat(self.start[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-        ends = np.concatenate([[0], ends])
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = self.pool[np.repeat(self.start[at] - ends[:-1], n) + np.arange(ends[-1])]
         return ids, np.diff(ends[np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])])
 
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
