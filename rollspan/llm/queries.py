@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollspan.llm import bitpack, packing
+from rollspan.llm import bitpack, kneser_ney, packing, simhash, toxicity
 from rollspan.llm.frames import prepare, scratch_path, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,24 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op2_kneser_ney_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_simhash_bktree")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, radius=4)
+
+
+@query("op8_lexicon_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query("op9_bit_packed_ids")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "token-files")
