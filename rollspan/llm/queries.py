@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollspan.llm import bitpack, kneser_ney, packing, simhash, toxicity
+from rollspan.llm import bitpack, kneser_ney, mixing, packing, simhash, toxicity
 from rollspan.llm.frames import prepare, scratch_path, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_pfair_mixing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.schedule(docs, ["doc_id"], F.xxhash64("doc_id"), F.col("source"))
+
+
 @query("op2_kneser_ney_quality")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
