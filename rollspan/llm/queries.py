@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollspan.llm import bitpack, kneser_ney, mixing, packing, simhash, toxicity
+from rollspan.llm import bitpack, kneser_ney, license_templates, mixing, mtree, packing, preferences, simhash, syncmers, toxicity
 from rollspan.llm.frames import prepare, scratch_path, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,35 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, radius=4)
 
 
+@query("op4_template_licenses")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_templates.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op5_mtree_top_k", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS w FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(mtree.integer_vectors(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
+
+
+@query("op6_closed_syncmers")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compare_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op7_preference_pairs")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = preferences.turns_of(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    return preferences.format_pairs(chosen, preferences.swapped_replies(chosen))
+
+
 @query("op8_lexicon_toxicity")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
