@@ -28,7 +28,7 @@ LEADING_BLANK = re.compile(
 #: White space is dropped by the vocabulary, so only the words between count.
 NO_BLANK = re.compile(rf"[{LETTERS}]+(?=[.,])|[^ \t\n\r]+")
 #: Pieces kept by a worker, and characters encoded at a time.
-KEEP, AT_ONCE = 1_200_000, 2_000_000
+KEEP, AT_ONCE = 500_000, 1_000_000
 
 
 class _Index(dict):

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rollspan.session import shared_folder, ship_package
 
 #: Bounds of one Arrow batch, so that very long texts don't add up in a Python worker.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -63,7 +63,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(SYMBOLS ** 3, np.int64)
     for batch in batches:
         texts = [t for t in batch.column(0).to_pylist() if t]
-        for a, b in slices(texts, 2_000_000):
+        for a, b in slices(texts, 1_000_000):
             grams, real, _ = trigrams(texts[a:b])
             grams = grams[real]
             if len(grams) > len(total) // 4:
@@ -117,7 +117,7 @@ class Model:
     def score(self, texts: list[str]) -> np.ndarray:
         """Mean negative log-likelihood of each text; NaN for an empty one."""
         out = []
-        for a, b in slices(texts, 2_000_000):
+        for a, b in slices(texts, 1_000_000):
             grams, real, starts = trigrams(texts[a:b])
             n = np.array([len(t) for t in texts[a:b]])
             total = np.add.reduceat(np.where(real, self.nll[grams], 0).astype(np.float64), starts)

@@ -50,7 +50,7 @@ def shingle_hashes(text: bytes, size: int, seed: int = SEED) -> list[int]:
 
 def hash_slices(texts: list[bytes], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(hashes of all shingles one after another, number of each text), some texts at a time."""
-    for a, b in slices(texts, 2_000_000):
+    for a, b in slices(texts, 1_000_000):
         found = [shingle_hashes(t, size) for t in texts[a:b]]
         yield np.fromiter((h for f in found for h in f), np.uint64, sum(map(len, found))), np.array(list(map(len, found)), np.int64)
 

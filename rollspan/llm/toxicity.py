@@ -44,8 +44,8 @@ EDIT_WEIGHT, QUOTED_WEIGHT = (1.0, 0.6, 0.5), 0.3
 LENGTH_CHARGE, MOST_CHARGE, FORMS = 0.003, 8.0, 2
 #: Lengths of word beginnings that are tried as terms.
 STEMS = (4, 5, 6, 7, 8)
-#: Words on each side of a hit that are looked at, and distinct words that a worker remembers.
-WINDOW, KEEP = 6, 1_000_000
+#: Words on each side of a hit that are looked at, and distinct words (or steps) that a task remembers.
+WINDOW, KEEP = 6, 200_000
 
 
 def held_out(doc_id) -> F.Column:
@@ -123,6 +123,9 @@ class TermAutomaton:
             key = (state, c if c in self.letters else "")
             state = self.next.get(key)
             if state is None:
+                if len(self.next) > KEEP:
+                    self.next.clear()
+                    self.accepts.clear()
                 state = self.next[key] = self._step(*key)
             if not state:
                 return None
