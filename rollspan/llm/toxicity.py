@@ -284,7 +284,7 @@ def select_terms(found: list[tuple[str, int]]) -> list[str]:
 def _scores(batches: Iterator[pa.RecordBatch], weights: dict) -> Iterator[pa.RecordBatch]:
     scorer = Scorer(weights)
     for batch in batches:
-        found = [scorer.score(t) if t else 0.0 for t in batch.column(1).to_pylist()]
+        found = [scorer.score(t or "") for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=["doc_id", "score"])
 
 
