@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F, types as T
@@ -14,15 +13,15 @@ from rollspan.operators import fill as fl, joins as jo, rollups as ru, windows a
 from rollspan.operators.aggregates import sliced_stats, two_party_features
 from rollspan.operators.quality import schema_table
 from rollspan.plans import cells
+from rollspan.session import shared_folder
 from rollspan.sources import tables as src
 
 _ODAY = "replace(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), '-', '')"
 
 
 def scratch(spark) -> str:
-    """A new folder in the shared checkpoint folder (a temporary one only where none is set)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rollspan-")
-    return f"{base}/{uuid.uuid4().hex}"
+    """A new folder in the folder that the cluster shares."""
+    return f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def dated(t):

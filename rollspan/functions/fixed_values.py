@@ -167,20 +167,25 @@ CONTINENT = {
 }
 
 # --- fixed values: senders counted as finance in the monthly sender features -----------
-FINANCE_SENDERS = """
-BACABANK|LOTTE_FIN|BVBank|Sacombank|SHB_FINANCE|infina|AGRIBANK-KT|FINVIET|HDBank|EVNFinance|BANKPLUS|Techcombank
-Citibank VN|Co-opBank|LPBank|VietinBank|BAOVIETBank|MeeyFinance|Vietcombank|VietABank|AGRIBANK|Liobank|CBBank|SeABank
-PGBank|MBBANK|MBBANKPLUS|ShinhanBank|DongA Bank|SFIN|PVcomBank|SHBFinance|PublicBank|OCEANBANK|NamABank|Eximbank
-FinInterAMC|FinMart|FinWorld|CIMB BANK|VIETBANK|SaiGonBank|GPBANK|TNEXFinance|ABBANK|KBank HCMC|Agribank_LD|VPBank
-TPBank|KSFinance|CITIBANK|VPBank|GFIN VN|KB FINA|FINBOX|FINPATH|AGRIBANK_HD|BANKTCKCB|FINHAY_VN|BIFIN|Gembank VN
-AGRIBANK_NX|EduFin|DBS Bank|EUPFIN VN|ONEFIN|INFINIQVN|Affina|BanVietBank|Bifin.vn|BankSinoPac|SCB|HVB|UOB|LPB|SHB|OCB
-ACB|VRB|IVB|MSB|VIB|TVB|VLB|HDB|CTY 9PAY|Papaya.asia|ZaloPay|myCityPay|ECOFARMPAY|VI VNPAY|PAYOO|SMARTPAY|VNPAY-QR
-PayME|ShopeePay|VNPAY-TAXI|VTPAY|VNPAY|SENPAY|GPAY|OMIPAY.VN|M-PAY|Galaxy Pay|IPay.vn|WEPAY|DIGIPAY|VNPT EPAY
-VITAPAY.VN|YOPAYMENT|VNPAY-POS|VIETTELPAY|PAYPAL|EPAYJSC|UnionPay|PAYTRIP|ONEPAY|MOMO|HomeCredit|MCREDIT|VietCredit
-VNDCREDIT|EASY CREDIT|FE CREDIT|FECREDIT|Fundiin|MicroFund|AnBinh_Fund|DSGFund|HATA INVEST|DIGI INVEST|SmartInvest
-KITA INVEST|ICEinvest|CenInvest|HUD INVEST|H9BC_INVEST|FICO INVEST|VinaCapital|MB Capital|PVCBCAPITAL|CAPITALAND
-VW Capital|HDCAPITAL|VTBCAPITAL|LHCapital|VOI CAPITAL|CILC-LEASE|VCBLEASING|GM Holdings|TNRHoldings|PNHOLDING|Seaholdings
-""".strip().replace("\n", "|").split("|")
+FINANCE_SENDERS = [
+    "BACABANK", "LOTTE_FIN", "BVBank", "Sacombank", "SHB_FINANCE", "infina", "AGRIBANK-KT", "FINVIET", "HDBank",
+    "EVNFinance", "BANKPLUS", "Techcombank", "Citibank VN", "Co-opBank", "LPBank", "VietinBank", "BAOVIETBank",
+    "MeeyFinance", "Vietcombank", "VietABank", "AGRIBANK", "Liobank", "CBBank", "SeABank", "PGBank", "MBBANK",
+    "MBBANKPLUS", "ShinhanBank", "DongA Bank", "SFIN", "PVcomBank", "SHBFinance", "PublicBank", "OCEANBANK", "NamABank",
+    "Eximbank", "FinInterAMC", "FinMart", "FinWorld", "CIMB BANK", "VIETBANK", "SaiGonBank", "GPBANK", "TNEXFinance",
+    "ABBANK", "KBank HCMC", "Agribank_LD", "VPBank", "TPBank", "KSFinance", "CITIBANK", "VPBank", "GFIN VN", "KB FINA",
+    "FINBOX", "FINPATH", "AGRIBANK_HD", "BANKTCKCB", "FINHAY_VN", "BIFIN", "Gembank VN", "AGRIBANK_NX", "EduFin",
+    "DBS Bank", "EUPFIN VN", "ONEFIN", "INFINIQVN", "Affina", "BanVietBank", "Bifin.vn", "BankSinoPac", "SCB", "HVB",
+    "UOB", "LPB", "SHB", "OCB", "ACB", "VRB", "IVB", "MSB", "VIB", "TVB", "VLB", "HDB", "CTY 9PAY", "Papaya.asia",
+    "ZaloPay", "myCityPay", "ECOFARMPAY", "VI VNPAY", "PAYOO", "SMARTPAY", "VNPAY-QR", "PayME", "ShopeePay",
+    "VNPAY-TAXI", "VTPAY", "VNPAY", "SENPAY", "GPAY", "OMIPAY.VN", "M-PAY", "Galaxy Pay", "IPay.vn", "WEPAY", "DIGIPAY",
+    "VNPT EPAY", "VITAPAY.VN", "YOPAYMENT", "VNPAY-POS", "VIETTELPAY", "PAYPAL", "EPAYJSC", "UnionPay", "PAYTRIP",
+    "ONEPAY", "MOMO", "HomeCredit", "MCREDIT", "VietCredit", "VNDCREDIT", "EASY CREDIT", "FE CREDIT", "FECREDIT",
+    "Fundiin", "MicroFund", "AnBinh_Fund", "DSGFund", "HATA INVEST", "DIGI INVEST", "SmartInvest", "KITA INVEST",
+    "ICEinvest", "CenInvest", "HUD INVEST", "H9BC_INVEST", "FICO INVEST", "VinaCapital", "MB Capital", "PVCBCAPITAL",
+    "CAPITALAND", "VW Capital", "HDCAPITAL", "VTBCAPITAL", "LHCapital", "VOI CAPITAL", "CILC-LEASE", "VCBLEASING",
+    "GM Holdings", "TNRHoldings", "PNHOLDING", "Seaholdings",
+]
 
 # --- fixed values: revenue measures, source column -> feature name ----------------------
 REVENUE_MEASURES = {

@@ -71,17 +71,18 @@ def iv_table(bins: DataFrame, threshold: float | None = None) -> DataFrame:
     return out if threshold is None else out.withColumn("kept", F.col("iv") >= threshold)
 
 
-def moments_of_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``f1, f2, corr`` of a wide frame in one scan.
+def correlation_long(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``f1, f2, corr`` for every unordered pair of features, for any number of them.
 
     Arrow batches are turned into co-moment matrices inside the tasks (a few matrix products
     per batch, summed per partition), and the cells are added up by Spark. Values are
-    centred on the feature mean first so that the sums keep their digits; pairs with a NULL
-    are left out pair by pair.
+    centred on the feature mean first so that the sums keep their digits; pairs with a NULL or
+    NaN are left out pair by pair.
     """
     names = list(features)
-    means = df.agg(*[F.avg(F.col(q(f)).cast("double")).alias(f"m{i}") for i, f in enumerate(names)])
-    centred = with_scalars(df.select(*[F.col(q(f)).cast("double").alias(f"x{i}") for i, f in enumerate(names)]), means)
+    values = df.select(*[F.nanvl(F.col(q(f)).cast("double"), F.lit(None)).alias(f"x{i}") for i, f in enumerate(names)])
+    means = values.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(len(names))])
+    centred = with_scalars(values, means)
     centred = centred.select(*[(F.col(f"x{i}") - F.col(f"m{i}")).alias(f"x{i}") for i in range(len(names))])
 
     def partial(batches):
@@ -105,21 +106,6 @@ def moments_of_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return s.select(label[F.col("i")].alias("f1"), label[F.col("j")].alias("f2"), F.try_divide(cov, dev).alias("corr"))
 
 
-#: up to this many features all pairs fit one ordinary aggregate
-NARROW = 15
-
-
-def correlation_long(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``f1, f2, corr`` for every unordered pair of features in one scan."""
-    if len(features) > NARROW:
-        return moments_of_pairs(df, features)
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
-    row = df.agg(*[F.corr(F.col(q(a)).cast("double"), F.col(q(b)).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)]))
-    return row.select(cells.alias("_c")).select("_c.f1", "_c.f2", "_c.corr")
-
-
 def correlation_filter(df: DataFrame, iv: DataFrame, features: Sequence[str], threshold: float = 0.85) -> DataFrame:
     """``feature, kept``: of each pair above the threshold the feature with less
     information value goes (equal values: both stay)."""
@@ -165,6 +151,8 @@ def degenerate_columns(df: DataFrame, features: Sequence[str], tol: float = 0.98
     together with the digest of its row and the hashes are summed, so equal columns have
     equal sums whatever the order in which rows are read.
     """
+    if tol <= 0.5:
+        raise ValueError("tol must be above one half: only the share of a majority is known")
     digest = F.xxhash64(*[F.col(q(f)).cast("double") for f in features])
     stats = df.agg(*[
         a for i, f in enumerate(features) for a in (

@@ -142,3 +142,13 @@ def test_stacked_score_bounds(spark):
     df = spark.range(200).selectExpr("cast(id AS string) AS msisdn", "cast(id AS double) AS a", "cast(null AS double) AS b")
     out = sc.stacked_score(df, {"m1": ({"a": 0.01}, 0.0), "m2": ({"b": 1.0}, 0.0)}, ({"m1": 1e-4, "m2": 1e-4}, 0.0), bounds={"m1": {"a": (10, 100)}}).toPandas()
     assert out["m2"].eq(5000).all() and out["m1"].nunique() == 91 and set(out["lg_perct"]) == set(range(1, 101))
+
+
+def test_correlations_do_not_depend_on_the_number_of_features(spark):
+    from rollspan.operators.selection import correlation_long
+    cols = [f"c{i}" for i in range(16)]
+    rows = [tuple(float((r * (i + 3)) % 7) for i in range(16)) for r in range(30)] + [(float("nan"), *[1.0] * 15)]
+    df = spark.createDataFrame(rows, cols)
+    few, many = ({(r.f1, r.f2): r.corr for r in correlation_long(df, cols[:n]).collect()} for n in (15, 16))
+    assert all(abs(v - many[k]) < 1e-12 if v is not None else many[k] is None for k, v in few.items())
+    assert few["c0", "c1"] is not None and few["c0", "c1"] == few["c0", "c1"]
