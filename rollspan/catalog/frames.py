@@ -33,9 +33,9 @@ DATED_SQL = f"SELECT o_orderkey, o_custkey, o_totalprice, {_ODAY} AS date FROM o
 
 # --- A: scans and sinks ----------------------------------------------------------------------
 
-@query("scan_query", f"SELECT o_custkey, count(*) AS n, {R('sum(o_totalprice)', 'price_sum')} FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01' GROUP BY 1")
+@query("scan_query", f"SELECT o_custkey, count(*) AS n, {R('sum(o_totalprice)', 'price_sum')} FROM orders GROUP BY 1")
 def _(t):
-    return src.scan_query(t.spark, "SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS price_sum FROM {orders} WHERE o_orderdate >= '1999-01-01' GROUP BY 1",
+    return src.scan_query(t.spark, "SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS price_sum FROM {orders} GROUP BY 1",
                           views={"orders": t.orders})
 
 
@@ -187,29 +187,36 @@ def _(t):
 
 # --- C: joins -------------------------------------------------------------------------------------
 
-def _year(t, y):
-    return t.orders.where(F.year("o_orderdate") == y).groupBy("o_custkey", "o_orderstatus").agg(F.count("*").alias(f"n{y}"))
+_KEYS = ("o_custkey", "o_orderstatus")
 
 
-def _year_sql(y, keys="o_custkey, o_orderstatus"):
-    return f"(SELECT {keys}, count(*) AS n{y} FROM orders WHERE year(o_orderdate) = {y} GROUP BY ALL)"
+def _span(t, name, test, keys=_KEYS):
+    return t.orders.where(f"year(o_orderdate) {test}").groupBy(*keys).agg(F.count("*").alias(name))
 
 
-@query("outer_join_windows", f"SELECT * FROM {_year_sql(1998, 'o_custkey')} a FULL OUTER JOIN {_year_sql(1999, 'o_custkey')} b USING (o_custkey) FULL OUTER JOIN {_year_sql(2000, 'o_custkey')} c USING (o_custkey)")
+def _span_sql(name, test, keys=_KEYS):
+    return f"(SELECT {', '.join(keys)}, count(*) AS {name} FROM orders WHERE year(o_orderdate) {test} GROUP BY ALL)"
+
+
+#: Spans of years that cover the table.
+SPANS = {"n_before": "< 1999", "n1999": "= 1999", "n_after": "> 1999"}
+HALVES = {"n_early": "< 1999", "n_late": ">= 1999"}
+
+
+@query("outer_join_windows", "SELECT * FROM {} a FULL OUTER JOIN {} b USING (o_custkey) FULL OUTER JOIN {} c USING (o_custkey)".format(*[_span_sql(n, s, _KEYS[:1]) for n, s in SPANS.items()]))
 def _(t):
-    parts = [t.orders.where(F.year("o_orderdate") == y).groupBy("o_custkey").agg(F.count("*").alias(f"n{y}")) for y in (1998, 1999, 2000)]
-    return jo.outer_merge_long(parts, ["o_custkey"])
+    return jo.outer_merge_long([_span(t, n, s, _KEYS[:1]) for n, s in SPANS.items()], ["o_custkey"])
 
 
-@query("outer_join_composite", f"SELECT * FROM {_year_sql(1998)} a FULL OUTER JOIN {_year_sql(1999)} b USING (o_custkey, o_orderstatus)")
+@query("outer_join_composite", "SELECT * FROM {} a FULL OUTER JOIN {} b USING (o_custkey, o_orderstatus)".format(*[_span_sql(n, s) for n, s in HALVES.items()]))
 def _(t):
-    return jo.outer_merge([_year(t, 1998), _year(t, 1999)], ["o_custkey", "o_orderstatus"])
+    return jo.outer_merge([_span(t, n, s) for n, s in HALVES.items()], list(_KEYS))
 
 
-@query("outer_coalesce_key", "SELECT coalesce(a.k, b.k) AS k, a.n AS n_sup, b.n AS n_part FROM (SELECT l_suppkey AS k, count(*) AS n FROM lineitem GROUP BY 1) a FULL OUTER JOIN (SELECT l_partkey AS k, count(*) AS n FROM lineitem WHERE l_partkey % 2 = 0 GROUP BY 1) b ON a.k = b.k")
+@query("outer_coalesce_key", "SELECT coalesce(a.k, b.k) AS k, a.n AS n_sup, b.n AS n_part FROM (SELECT l_suppkey AS k, count(*) AS n FROM lineitem GROUP BY 1) a FULL OUTER JOIN (SELECT l_partkey + 7 AS k, count(*) AS n FROM lineitem GROUP BY 1) b ON a.k = b.k")
 def _(t):
     a = t.lineitem.groupBy(F.col("l_suppkey").alias("k")).agg(F.count("*").alias("n_sup"))
-    b = t.lineitem.where("l_partkey % 2 = 0").groupBy(F.col("l_partkey").alias("k")).agg(F.count("*").alias("n_part"))
+    b = t.lineitem.groupBy((F.col("l_partkey") + 7).alias("k")).agg(F.count("*").alias("n_part"))
     return jo.outer_merge([a, b], ["k"])
 
 
@@ -218,9 +225,9 @@ def _(t):
     return cells.at_cells(t.session, cells.cell_map(t.cells, "20010701")).groupBy("bts_id").agg(F.count("*").alias("n"))
 
 
-@query("left_enrich", "SELECT o_orderkey, c_mktsegment, n_name FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey")
+@query("left_enrich", "SELECT o_orderkey, c_mktsegment, n_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey + 100 LEFT JOIN nation ON c_nationkey = n_nationkey")
 def _(t):
-    cust = t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"), "c_mktsegment")
+    cust = t.customer.select((F.col("c_custkey") + 100).alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"), "c_mktsegment")
     out = jo.enrich(jo.enrich(t.orders, cust, ["o_custkey"]), t.nation.select("n_nationkey", "n_name"), ["n_nationkey"])
     return out.select("o_orderkey", "c_mktsegment", "n_name")
 
@@ -265,12 +272,12 @@ def _(t):
     return jo.guarded_join(t.customer.select("c_custkey", "c_name"), right, ["c_custkey"], "inner", mode="raise")
 
 
-@query("guarded_outer_merge", """WITH a AS (SELECT o_custkey AS k, o_orderstatus FROM orders WHERE o_totalprice > 490000), b AS (SELECT l_suppkey AS k, l_tax FROM lineitem WHERE l_extendedprice > 90000),
+@query("guarded_outer_merge", """WITH a AS (SELECT o_orderkey AS k, o_orderstatus FROM orders), b AS (SELECT l_orderkey + 9 AS k, l_tax FROM lineitem),
     j AS (SELECT coalesce(a.k, b.k) AS k FROM a FULL OUTER JOIN b ON a.k = b.k)
     SELECT (SELECT count(*) FROM a) AS left_rows, (SELECT count(*) FROM b) AS right_rows, count(*) AS merged_rows, count(DISTINCT k) AS merged_keys, count(*) = count(DISTINCT k) AS ok FROM j""")
 def _(t):
-    a = t.orders.where("o_totalprice > 490000").select(F.col("o_custkey").alias("k"), "o_orderstatus")
-    b = t.lineitem.where("l_extendedprice > 90000").select(F.col("l_suppkey").alias("k"), "l_tax")
+    a = t.orders.select(F.col("o_orderkey").alias("k"), "o_orderstatus")
+    b = t.lineitem.select((F.col("l_orderkey") + 9).alias("k"), "l_tax")
     return jo.merge_report(a, b, ["k"], "full_outer")
 
 
@@ -288,9 +295,9 @@ def _(t):
     return jo.restrict(t.call, t.call.where("imsi LIKE '45202%'"), "msisdn").groupBy("msisdn").agg(F.count("*").alias("n"))
 
 
-@query("label_score_join", "SELECT l.doc_id, l.quality, d.n_chars FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id AND d.lang = 'en'")
+@query("label_score_join", "SELECT l.doc_id, l.quality, CASE WHEN d.lang = 'en' THEN d.n_chars END AS n_chars FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id")
 def _(t):
-    feats = t.documents.where("lang = 'en'").select(F.col("doc_id").alias("id"), "n_chars")
+    feats = t.documents.select(F.col("doc_id").alias("id"), F.expr("CASE WHEN lang = 'en' THEN n_chars END").alias("n_chars"))
     return jo.attach_labels(t.labels.select("doc_id", "quality"), feats, [("doc_id", "id")])
 
 

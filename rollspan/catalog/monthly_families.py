@@ -80,7 +80,7 @@ _DEVICE_ORDER = ["device_age", "device_type", "device_manu", "device_lpwan", "de
 
 @query("family_device", DEVICE_SQL.format(order=", ".join(f"{c} DESC NULLS LAST" for c in _DEVICE_ORDER)))
 def _(t):
-    return snapshots.device(t.catalogue, HISTORY_D)
+    return snapshots.device(t.catalogue, HISTORY_D, absent="skip")
 
 
 GSMA_SQL = f"""

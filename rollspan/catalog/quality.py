@@ -165,11 +165,11 @@ def _(t):
     return dq.rowcount_check(dated(t), "date", history, "20010715")
 
 
-@query("log_init", f"SELECT feature_name, count(*) AS n FROM ({LOG_SQL}) WHERE status = 'ERROR' GROUP BY 1")
+@query("log_init", f"SELECT feature_name, count(*) AS n FROM ({LOG_SQL}) GROUP BY 1")
 def _(t):
     path = scratch(t.spark)
     src.open_log(t.spark, path, dq.LOG_SCHEMA)
-    src.append_rows(log_of(t).where("status = 'ERROR'"), path)
+    src.append_rows(log_of(t), path)
     return src.open_log(t.spark, path, dq.LOG_SCHEMA).groupBy("feature_name").agg(F.count("*").alias("n"))
 
 
@@ -199,13 +199,13 @@ def _(t):
     return jobs.pending_periods(cal.periods_of(dated(t), "date", "daily"), runs(t))
 
 
-@query("job_log_append", f"SELECT status, count(*) AS n FROM ({RUNS_SQL}) WHERE status <> 'RUNNING' GROUP BY 1")
+@query("job_log_append", f"SELECT status, count(*) AS n FROM ({RUNS_SQL}) GROUP BY 1")
 def _(t):
     from rollspan.operators.fill import cast_to
     path = scratch(t.spark)
     src.open_log(t.spark, path, jobs.RUN_SCHEMA)
     src.append_rows(cast_to(runs(t).where("status = 'DONE'"), jobs.RUN_SCHEMA), path)
-    src.append_rows(cast_to(runs(t).where("status = 'FAIL'"), jobs.RUN_SCHEMA), path)
+    src.append_rows(cast_to(runs(t).where("status <> 'DONE'"), jobs.RUN_SCHEMA), path)
     return src.open_log(t.spark, path, jobs.RUN_SCHEMA).groupBy("status").agg(F.count("*").alias("n"))
 
 

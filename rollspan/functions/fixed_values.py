@@ -56,24 +56,25 @@ FEE_GROUPS = {
 
 # --- fixed values: unit of a dedicated account id --------------------------------------
 ACCOUNT_UNIT = {
-    "time": [8, 62, 82, 111, 112, 115, 252, 262, 271, 272, 273, 275, 282, 283, 285, 288, 292, 294, 295,
-             331, 333, 334, 350, 450, 540, 570, 630, 640, 650, 655, 665, 670, 871, 894, 920, 930, 1008,
-             1062, 1262, 1272, 1282, 1283, 2663, 2664, 2672, 2677, 2678, 2681, 2682, 2691, 2800, 2801,
-             2802, 2803, 2812, 2815, 2816, 2817, 2824, 2829, 2830, 2832, 2834],
-    "data": [26, 28, 102, 103, 104, 105, 106, 113, 124, 125, 126, 127, 128, 129, 155, 400, 401, 501, 950,
-             960, 965, 1102, 1103, 1104, 1109, 1209, 1212, 1409, 2660, 3001, 4012, 5011, 5012, 7071, 7082],
-    "money": [2, 3, 4, 5, 7, 16, 31, 32, 66, 77, 142, 162, 322, 330, 1001, 1002, 1004, 1007, 1162, 2700,
-              2701, 2821, 2827, 9001, 9949, 9953, 9998, 9999],
-    "sms": [6, 42, 88, 99, 110, 122, 253, 255, 263, 284, 286, 755, 855, 940, 1006, 1042, 1122, 1263, 1284,
-            2661, 2679, 2690, 2692, 2813, 2814, 2822, 2825, 2831],
+    "time": [894, 82, 2678, 275, 871, 283, 2803, 2800, 630, 2663, 282, 111, 2816, 540, 294, 295, 288, 640, 252, 285, 655,
+             2672, 62, 2682, 262, 2812, 2834, 272, 2681, 670, 271, 2677, 2832, 570, 8, 292, 450, 273, 2801, 920, 650, 1008,
+             115, 1282, 1262, 1283, 112, 334, 2815, 331, 333, 350, 2664, 2829, 2830, 665, 930, 2824, 2802, 1062, 2817, 1272,
+             2691],
+    "money": [9001, 7, 2827, 162, 4, 142, 2821, 2701, 9953, 77, 2, 9998, 16, 5, 9949, 32, 3, 9999, 31, 1007, 1002, 1162,
+              1004, 330, 1001, 2700, 322, 66],
+    "data": [28, 1212, 965, 124, 1109, 129, 113, 5011, 400, 104, 125, 501, 103, 1409, 105, 128, 1209, 2660, 401, 102, 126,
+             106, 127, 1103, 1102, 3001, 4012, 155, 950, 7071, 960, 7082, 5012, 1104, 26],
+    "sms": [2661, 88, 263, 284, 2690, 255, 99, 42, 253, 122, 286, 2679, 6, 940, 1263, 1006, 2814, 1122, 1284, 2813, 2831,
+            855, 755, 110, 2825, 2822, 1042, 2692],
 }
 
 # --- fixed values: subscriber service class --------------------------------------------
 SERVICE_CLASS = {
-    "itelecom": [101, 201, 300, 369],
-    "prepaid": [*range(1369, 1390), 1629, 1774, 1788, 2229, 2688, 2689],
-    "test": [449, 999, 8001, 8885, 8886, 8887, 8888, 8889, 9001],
-    "gtel": [592, 593, 599, 993, 994, 997],
+    "itelecom": [101, 300, 201, 369],
+    "prepaid": [1369, 1370, 1371, 1372, 1373, 1374, 1375, 1376, 1377, 1378, 1379, 1380, 1381, 1382, 1383, 1384, 1385,
+                1386, 1387, 1388, 1389, 1629, 1774, 1788, 2229, 2688, 2689],
+    "test": [8001, 8885, 449, 999, 8889, 8886, 9001, 8888, 8887],
+    "gtel": [993, 994, 997, 592, 593, 599],
     "gmobile": [601],
     "post_paid": [100, 200],
 }
@@ -154,16 +155,16 @@ DEVICE_RENAMES = {
 
 # --- fixed values: continent of a mobile country code (first list that holds it wins) --
 CONTINENT = {
-    "Africa": [601, 602, 603, 604, 605, 608, 609, 610, 615, 616, 617, 620, 621, 624, 625, 626, 627, 628, 629, 630, 631,
-               634, 635, 636, 637, 639, 640, 642, 650, 651, 655],
-    "Asia": [250, 282, 283, 286, 400, 401, 402, 404, 410, 414, 417, 418, 419, 420, 421, 424, 425, 427, 428, 431, 432, 436,
-             437, 438, 440, 441, 450, 452, 454, 455, 456, 457, 460, 466, 470, 472, 502, 510, 511, 515, 520],
-    "Europe": [202, 204, 206, 208, 213, 214, 216, 219, 220, 222, 226, 227, 228, 230, 231, 232, 234, 238, 240, 242, 244, 246,
-               247, 248, 250, 255, 257, 259, 260, 262, 268, 270, 272, 274, 275, 276, 278, 282, 283, 286, 293, 295, 297, 401, 407],
-    "North America": [302, 310, 311, 312, 313, 314, 315, 316, 334, 338, 340, 341, 342, 344, 345, 348, 350, 352, 364, 368, 370,
-                      372, 374, 706, 710, 712, 714],
-    "South America": [716, 722, 724, 730, 732, 734, 736, 738, 740, 744, 748],
-    "Ocenia": [505, 520, 530, 535, 537, 543, 544, 546, 550, 551, 559, 597, 598],
+    "Africa": [601, 621, 608, 651, 610, 650, 617, 624, 625, 626, 630, 627, 636, 602, 629, 635, 603, 628, 634, 620, 631,
+               639, 640, 616, 604, 637, 615, 609, 655, 605, 642],
+    "Asia": [454, 455, 466, 428, 283, 400, 420, 470, 402, 457, 456, 460, 286, 282, 404, 510, 432, 418, 425, 440, 421, 401,
+             419, 438, 502, 472, 441, 414, 431, 410, 515, 250, 511, 450, 417, 436, 520, 437, 424, 452, 427],
+    "Europe": [276, 213, 283, 232, 257, 206, 293, 286, 219, 230, 238, 248, 244, 208, 282, 262, 202, 216, 274, 272, 222, 401,
+               278, 247, 275, 246, 270, 259, 214, 297, 204, 295, 242, 260, 268, 226, 250, 220, 231, 240, 228, 255, 227, 407, 234],
+    "North America": [342, 364, 350, 352, 302, 712, 368, 348, 370, 706, 372, 338, 334, 341, 710, 714, 340, 344, 345, 374,
+                      310, 311, 312, 313, 314, 315, 316],
+    "South America": [722, 736, 724, 730, 732, 740, 738, 744, 716, 748, 734],
+    "Ocenia": [505, 520, 559, 535, 550, 543, 530, 544, 598, 546, 597, 537, 551],
 }
 
 # --- fixed values: senders counted as finance in the monthly sender features -----------

@@ -4,22 +4,34 @@ single projection however many columns there are."""
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rollspan.functions.numeric import quoted as q
 
 
+def present(df: DataFrame, columns: Iterable[str], absent: str = "raise") -> list[str]:
+    """Those of ``columns`` that ``df`` has; one that it lacks raises unless ``absent="skip"``."""
+    if absent not in ("raise", "skip"):
+        raise ValueError(f"absent must be 'raise' or 'skip', not {absent!r}")
+    columns, have = list(columns), set(df.columns)
+    lacking = [c for c in columns if c not in have]
+    if lacking and absent == "raise":
+        raise ValueError(f"absent columns: {', '.join(lacking)}")
+    return [c for c in columns if c in have]
+
+
 def fill(df: DataFrame, strategy: str | Mapping[str, object] = "by_type", text: str = "ukn",
-         item_text: str = "null") -> DataFrame:
+         item_text: str = "null", absent: str = "raise") -> DataFrame:
     """Replace NULLs.
 
     ``by_type``: numbers 0, strings ``text``; ``numeric``: numbers only; ``items``: columns
-    named ``...item...`` get ``item_text``, other columns 0; a mapping gives explicit values.
+    named ``...item...`` get ``item_text``, other columns 0; a mapping gives explicit values
+    (``absent``: see :func:`present`).
     """
     if not isinstance(strategy, str):
-        return df.fillna({c: v for c, v in strategy.items() if c in df.columns})
+        return df.fillna({c: strategy[c] for c in present(df, strategy, absent)})
     values = {}
     for f in df.schema.fields:
         number = isinstance(f.dataType, T.NumericType)

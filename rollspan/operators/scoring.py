@@ -8,9 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollspan.functions.numeric import logit
-from rollspan.operators.fill import q
+from rollspan.operators.fill import present, q
 from rollspan.operators.windows import population_ntile
-from rollspan.session import with_scalars
+from rollspan.session import cut_lineage, with_scalars
 
 #: one bin: lower bound (None = open), upper bound (None = open), weight of evidence
 Bin = "tuple[float | None, float | None, float]"
@@ -31,13 +31,14 @@ def woe_column(c: str, bins: Sequence, missing: float = 0.0) -> Column:
 
 
 def woe_transform(df: DataFrame, bins: Mapping[str, Sequence], missing: str = "zero",
-                  missing_woe: Mapping[str, float] | None = None) -> DataFrame:
+                  missing_woe: Mapping[str, float] | None = None, absent: str = "raise") -> DataFrame:
     """Replace features by their WoE in one projection. ``missing="woe"`` uses the fitted
-    WoE of NULL from ``missing_woe`` instead of 0. Unknown columns are skipped."""
+    WoE of NULL from ``missing_woe`` instead of 0. A binned column that ``df`` lacks raises
+    unless ``absent="skip"``."""
     lookup = missing_woe or {}
     return df.withColumns({
-        c: woe_column(c, b, lookup.get(c, 0.0) if missing == "woe" else 0.0)
-        for c, b in bins.items() if c in df.columns
+        c: woe_column(c, bins[c], lookup.get(c, 0.0) if missing == "woe" else 0.0)
+        for c in present(df, bins, absent)
     })
 
 
@@ -107,14 +108,20 @@ def score_bounds(df: DataFrame, p: str, lo: float = 0.01, hi: float = 0.99, accu
 def score_transform(df: DataFrame, p: str, lo: float = 0.01, hi: float = 0.99, power: float = 1.3,
                     name: str = "raw_score") -> DataFrame:
     """Clip the probability at its own quantiles, take the negative logit (floored at 0 so
-    that p > 0.5 has a value) and raise it to ``power``."""
+    that p > 0.5 has a value) and raise it to ``power``.
+
+    The quantiles and the output both need the probability, so ``df`` (keys and probability)
+    is materialised once: a Python model sees each row one time.
+    """
+    df = cut_lineage(df)
     clipped = F.greatest(F.col("_lo"), F.least(F.col("_hi"), F.col(p)))
     raw = F.pow(F.greatest(-logit(clipped), F.lit(0.0)), F.lit(power))
     return with_scalars(df, score_bounds(df, p, lo, hi)).withColumn(name, raw).drop("_lo", "_hi")
 
 
 def score_scale(df: DataFrame, c: str, lb: int = 300, ub: int = 850, name: str = "credit_score") -> DataFrame:
-    """Min-max scale to whole scores in ``[lb, ub]``; the two extremes are joined as one row."""
+    """Min-max scale to whole scores in ``[lb, ub]``; the two extremes are joined as one row.
+    ``df`` is read twice."""
     ends = df.agg(F.min(c).alias("_mn"), F.max(c).alias("_mx"))
     unit = F.try_divide(F.lit(float(ub - lb)), F.col("_mx") - F.col("_mn"))
     scaled = F.floor(F.round((F.col(c) - F.col("_mn")) * unit)) + F.lit(lb)
@@ -126,7 +133,9 @@ def credit_score(df: DataFrame, p: str = "predict_proba", name: str = "credit_sc
 
 
 def propensity(df: DataFrame, p: str = "predict_proba", key: str = "msisdn", exact: bool = True) -> DataFrame:
-    """Probability in basis points and its population percentile."""
+    """Probability in basis points and its population percentile. Range bounds are sampled
+    before rows are sorted, so the exact form materialises ``df`` once before."""
+    df = cut_lineage(df) if exact else df
     ranked = population_ntile(df, p, key, 100, "lg_perct", exact)
     return ranked.withColumn("propensity_score", F.col(p) * 10000)
 

@@ -1,8 +1,9 @@
 """Latest-record, top-1 and global-rank operators without one-task windows.
 
-Per-key "latest" choices are aggregates of ordered structs instead of ``row_number``:
-they combine map-side, so a key that holds a third of all rows costs one running maximum
-per task rather than a sort of the whole group in one task.
+Per-key "latest" choices are aggregates of ordered structs instead of ``row_number``.
+Spark plans them as sort aggregates: each task sorts its own rows by key and sends one row
+per key, so a key that holds a third of all rows is never gathered in one task. A hash
+aggregate of the order column alone would need a second scan and a join to get the row back.
 """
 
 from __future__ import annotations

@@ -86,8 +86,8 @@ def family_of(c: str, rules, chip: str) -> Column:
     return first_match([*named, (apple_chip(chip), "Apple")], "others")
 
 
-def device_attributes(df: DataFrame, year: int) -> dict[str, Column]:
-    """All derived device columns whose inputs exist in ``df``."""
+def device_attributes(df: DataFrame, year: int, absent: str = "raise") -> dict[str, Column]:
+    """All derived device columns; one whose inputs ``df`` lacks raises, or is left out with ``absent="skip"``."""
     have = {c.lower() for c in df.columns}
 
     def has(*cols):
@@ -115,17 +115,19 @@ def device_attributes(df: DataFrame, year: int) -> dict[str, Column]:
         **{name: (cols, lambda cols=cols: any_of(cols)) for name, cols in CAPABILITIES.items()},
         **{new: ([old], lambda old=old: F.col(f"`{old}`")) for old, new in DEVICE_RENAMES.items()},
     }
-    return {name: make() for name, (needs, make) in candidates.items() if has(*needs)}
+    lacking = [name for name, (needs, _) in candidates.items() if not has(*needs)]
+    if lacking and absent == "raise":
+        raise ValueError(f"absent inputs of: {', '.join(lacking)}")
+    return {name: make() for name, (_, make) in candidates.items() if name not in lacking}
 
 
-def device(catalogue: DataFrame, snapshot: str) -> DataFrame:
+def device(catalogue: DataFrame, snapshot: str, absent: str = "raise") -> DataFrame:
     """Device features of the newest catalogue within three months, one row per TAC.
 
-    Inputs the catalogue lacks are left out, so the same function serves catalogues of
-    different width.
+    A narrower catalogue is served with ``absent="skip"``, which leaves out what it has no inputs for.
     """
     rows = latest_snapshot(catalogue, "s3_file_date", snapshot, 3)
-    cols = device_attributes(rows, int(snapshot[:4]))
+    cols = device_attributes(rows, int(snapshot[:4]), absent)
     return latest_per_key(rows.select("tac", *[c.alias(n) for n, c in cols.items()]), ["tac"], [])
 
 

@@ -21,9 +21,28 @@ def test_score_scale_constant_population(spark):
 
 def test_woe_right_open_and_missing(spark, as_rows):
     df = spark.createDataFrame([(1, None), (2, 5.0), (3, 10.0), (4, 50.0)], "k int, x double")
-    bins = {"x": [(None, 10, -1.0), (10, 20, 2.0)], "absent": []}
+    bins = {"x": [(None, 10, -1.0), (10, 20, 2.0)]}
     assert [r["x"] for r in as_rows(sc.woe_transform(df, bins), "k")] == [0.0, -1.0, 2.0, 0.0]
     assert as_rows(sc.woe_transform(df, bins, "woe", {"x": 0.5}), "k")[0]["x"] == 0.5
+    more = bins | {"gone": []}
+    with pytest.raises(ValueError, match="gone"):
+        sc.woe_transform(df, more)
+    assert sc.woe_transform(df, more, absent="skip").columns == ["k", "x"]
+
+
+def test_each_row_is_predicted_once(spark, tmp_path):
+    log = str(tmp_path / "rows")
+
+    def predict(frame):
+        with open(log, "a") as f:
+            f.write(f"{len(frame)}\n")
+        return (frame["x"] / 200).to_numpy()
+
+    df = spark.range(1, 120).select("id", F.col("id").cast("double").alias("x"))
+    for score in (lambda s: sc.credit_score(s), lambda s: sc.propensity(s, key="id")):
+        open(log, "w").close()
+        assert score(sc.batch_score(df, predict, ["x"], key="id")).count() == 119
+        assert sum(map(int, open(log).read().split())) == 119
 
 
 def labelled(spark, n=400):

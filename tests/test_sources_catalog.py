@@ -38,6 +38,9 @@ def test_fill_cap_rename(spark):
     assert tuple(fl.fill(df).first()) == (0, "ukn", "ukn")
     assert tuple(fl.fill(df, "items").first()) == (0, "null", None)
     assert tuple(fl.fill(df, "numeric").first()) == (0, None, None)
+    with pytest.raises(ValueError, match="gone"):
+        fl.fill(df, {"gone": 0})
+    assert fl.fill(df, {"gone": 0}, absent="skip").columns == df.columns
     assert fl.cap(spark.createDataFrame([(None,), (5.0,), (50.0,)], "v double"), {"v": 10}).toPandas()["v"].tolist() == [0, 5, 10]
     assert fl.rename_by_stem(spark.createDataFrame([], "`f1_a*b` int, f2_c int"), ["f9_a*b"]).columns == ["f9_a*b", "f2_c"]
 
