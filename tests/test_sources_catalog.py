@@ -5,6 +5,7 @@ from pyspark.sql import functions as F, types as T
 
 import __spark_entry__ as entry_points
 from check import compare, connect
+from rollspan import catalog
 from rollspan.operators import fill as fl
 from rollspan.sources import tables as src
 
@@ -53,7 +54,8 @@ def test_entry_smoke(spark):
 def test_every_survey_key_is_registered():
     names = set(entry_points.queries())
     assert len(names) > 170 and set(entry_points.oracle_sql()) <= names
-    assert names - set(entry_points.oracle_sql()) == {"importance_selection", "mrmr_selection"}
+    own = set(catalog.queries())
+    assert own <= names and own - set(entry_points.oracle_sql()) == {"importance_selection", "mrmr_selection"}
 
 
 SAMPLE = ["family_location", "family_money_transfer", "family_bts_mapping", "family_ccbs_no", "family_monthly_cv207", "sliced_aggregates",
