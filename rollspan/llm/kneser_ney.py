@@ -1,183 +1,374 @@
-"""Quality by the perplexity of an interpolated modified Kneser-Ney model.
-
-The model predicts symbols from the two before. A symbol is a printable ASCII character,
-white space, or one of 31 classes of other characters, so there are at most 128 ** 3 trigrams: counts
-are exact and cover all trusted text, and the table has a bound that doesn't grow with the corpus.
-Workers count trigrams of their part of the trusted text; the counts are summed in shards by trigram.
-Continuation counts, context totals and discounts are aggregates of that table, and the probabilities of
-each order are joins of shards by context with the order below. The finished table (8 MB) is sent to
-the workers, which score whole documents without a shuffle.
-
-A document is accepted if its perplexity is at most its language's quantile among trusted
-documents. A language with too few trusted documents takes the quantile over all of them.
-
-Cases: a null or empty text has no perplexity and isn't accepted; a null language is a language
-of its own; repeated rows score alike; repeated labels count once; without trusted text the model is
-uniform and nothing is rejected but empty texts; an empty table gives no rows.
+"""Quality by the perplexity of an interpolated modified Kneser-Ney bigram model of words.
+
+Words are runs of letters and digits, or of other signs, with their case; each text ends with an end symbol. A
+word's hash gives its class, one of ``CLASSES``; all words take part, and two words share a class rarely. So tables by
+word have a bound, whatever the corpus, and are sent to all workers; the bigrams have none, and stay in shards.
+
+With p(w|v) = (c(v,w) - D) / c(v) + g(v) p(w), log p(w|v) = log g(v) + log p(w) + gain(v,w), where the gain of an
+unseen bigram is zero. A worker adds up the first two terms of its documents by itself. For the third, it sends
+each shard the bigrams of a block of documents, each once, with the documents that hold it; the shard looks up its
+counts, answers with one sum per document, and the sums meet by block. Texts aren't shuffled for scoring.
+Bigrams that make up over ``HEAVY`` of trusted text, at most 1 / HEAVY, are sent to the workers and don't travel.
+
+The model is trained on seven eighths of the trusted documents, dealt by hash of their id. The others are the measure: a
+document is accepted if its perplexity is at most the quantile over them in its language (documents that
+the model has seen would look too good). A language with too few of them takes the quantile over all.
+
+Cases: a null or empty text has no perplexity and isn't accepted, one of blanks only has that of the end symbol; a
+null language is a language of its own; repeated rows score alike; repeated labels count once; without
+trusted text the model is uniform and nothing is rejected but empty texts; an empty table gives no rows; other
+columns aren't read, and :func:`drop_poor` keeps them whatever their names. Documents should be a stored table: a row is
+known by its place in the scan.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import xxhash
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F
 
-from rollspan.llm.frames import slices
+from rollspan.llm.frames import slices, utf8
 from rollspan.session import cut_lineage, with_scalars
 
-SYMBOLS = 128
+#: Word classes: 0 starts a text, 1 ends it, the others are hashes of words.
+CLASSES = 1 << 20
+#: Bits of a bigram's key, and of a document's number in its block.
+KEY_BITS, DOC_BITS = 40, 24
+#: Bytes of text in a block, and bytes of text for which there is one shard.
+BLOCK, SHARD = 12 << 20, 512 << 20
+#: Share of trusted text from which on a bigram is sent to all workers.
+HEAVY = 1e-5
 #: Bins of a quantile: thousandths of the mean negative log-likelihood.
 BIN = 1000
+#: Ranges of word classes that are added up apart.
+PARTS = 16
 
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\s]+")
+#: An odd factor spreads bigrams evenly over the keys; its inverse gives the bigram back.
+_MIX = 0x9E3779B97F
+_UNMIX = pow(_MIX, -1, 1 << KEY_BITS)
+_MASK = np.uint64((1 << KEY_BITS) - 1)
 
-def _symbol_table() -> np.ndarray:
-    """Code point below 128 to symbol: 0 pads, 1-95 printable, 96 other white space, the rest by remainder."""
-    table = 97 + np.arange(128) % 31
-    table[0] = 0
-    table[32:127] = np.arange(1, 96)
-    table[9:14] = 96
-    return table.astype(np.int64)
 
+def pack(*arrays: np.ndarray) -> bytes:
+    """Unsigned arrays as compressed byte planes."""
+    sizes = np.array([len(arrays), *map(len, arrays)], np.uint64).tobytes()
+    planes = [np.ascontiguousarray(a, np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays]
+    return zstandard.compress(b"".join([sizes, *planes]), 3)
 
-_TABLE = _symbol_table()
 
+def unpack(blob: bytes) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.decompress(blob), np.uint8)
+    k = int(raw[:8].view(np.uint64)[0])
+    out, at = [], 8 * (k + 1)
+    for n in raw[8:at].view(np.uint64).astype(int):
+        out.append(np.ascontiguousarray(raw[at:at + 8 * n].reshape(8, n).T).view(np.uint64).ravel())
+        at += 8 * n
+    return out
 
-def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(trigram at each place, whether the place is of a text, first place of each text)."""
-    points = np.frombuffer("".join("\0\0" + t for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    s = np.where(points < 128, _TABLE[np.minimum(points, 127)], 97 + points % 31)
-    n = np.array([len(t) + 2 for t in texts], np.int64)
-    starts = np.cumsum(n) - n
-    real = np.ones(len(s), bool)
-    real[starts] = real[starts + 1] = False
-    grams = np.zeros(len(s), np.int64)
-    grams[2:] = (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
-    return grams, real, starts
 
+def steps(sorted_values: np.ndarray) -> np.ndarray:
+    return np.diff(sorted_values.astype(np.uint64), prepend=np.uint64(0))
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(SYMBOLS ** 3, np.int64)
-    for batch in batches:
-        texts = [t for t in batch.column(0).to_pylist() if t]
-        for a, b in slices(texts, 1_000_000):
-            grams, real, _ = trigrams(texts[a:b])
-            grams = grams[real]
-            if len(grams) > len(total) // 4:
-                total += np.bincount(grams, minlength=len(total))
-            else:
-                found, n = np.unique(grams, return_counts=True)
-                total[found] += n
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["gram", "n"])
 
+def word_pairs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first classes, second classes, predictions of each text), text after text."""
+    found = [_WORD.findall(t) for t in texts]
+    n = np.array([len(f) + 1 for f in found], np.int64)
+    digest = xxhash.xxh32_intdigest
+    hashes = np.fromiter((digest(w) for f in found for w in f), np.int64, int(n.sum()) - len(n))
+    ends = np.cumsum(n)
+    second = np.ones(int(n.sum()), np.int64)
+    inner = np.ones(len(second), bool)
+    inner[ends - 1] = False
+    second[inner] = 2 + hashes % (CLASSES - 2)
+    first = np.zeros(len(second), np.int64)
+    first[1:] = second[:-1]
+    first[ends - n] = 0
+    return first, second, n
 
-def trusted_ids(labels: DataFrame, doc_id: str = "doc_id", label: str = "quality") -> DataFrame:
-    return labels.where((F.col(label) == 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("_id")).distinct()
+
+def keys_of(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return ((first * CLASSES + second).astype(np.uint64) * np.uint64(_MIX)) & _MASK
+
+
+def classes_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    pair = ((keys * np.uint64(_UNMIX)) & _MASK).astype(np.int64)
+    return pair // CLASSES, pair % CLASSES
 
 
-def trigram_counts(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``u``, ``v``, ``w``, ``n`` over all trusted text."""
-    texts = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("text")).join(trusted, "_id", "left_semi")
-    counts = texts.select("text").mapInArrow(_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return counts.select(F.expr("cast(gram div 16384 as int)").alias("u"), F.expr("cast(gram div 128 % 128 as int)").alias("v"),
-                         F.expr("cast(gram % 128 as int)").alias("w"), "n")
+def shard_bounds(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Places where sorted keys pass from one shard to the next; ``shards`` is a power of two."""
+    return np.searchsorted(keys, np.arange(shards + 1, dtype=np.uint64) << np.uint64(KEY_BITS - shards.bit_length() + 1))
 
 
-def _discounts(counts: DataFrame) -> DataFrame:
-    """One row: the discounts of counts 1, 2 and 3 or more, from the counts of counts."""
-    k = counts.agg(*[F.count(F.when(F.col("n") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)])
-    y = "(n1 / (n1 + 2 * n2))"
-    return k.select(*[F.expr(f"CASE WHEN n1 > 0 AND n{i} > 0 THEN greatest(0.0, least({i}.0, {i} - {i + 1} * {y} * n{i + 1} / n{i})) ELSE {i / 2} END")
-                      .cast("double").alias(f"d{i}") for i in (1, 2, 3)])
+def shards_for(docs: DataFrame, text: str) -> int:
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return min(1 << 22, max(64, 1 << int(size // SHARD).bit_length()))
 
 
-def _discount() -> Column:
-    return F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+def blocks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.Table, list[bytes]]]:
+    """Rows of about ``BLOCK`` bytes of text at a time."""
+    held, texts, size = [], [], 0
+    for batch in batches:
+        own = utf8(batch.column(text))
+        held.append(batch.drop_columns([batch.schema.names[text]]) if batch.num_columns > 1 else batch)
+        texts += own
+        size += sum(map(len, own)) + len(own)
+        if size >= BLOCK:
+            yield pa.Table.from_batches(held), texts
+            held, texts, size = [], [], 0
+    if held:
+        yield pa.Table.from_batches(held), texts
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns))
+
+
+def added_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _block_counts(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    for _, texts in blocks(batches, 0):
+        found = [keys_of(*word_pairs(texts[a:b])[:2]) for a, b in slices(texts, 1_000_000)]
+        keys, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
+        cuts = shard_bounds(keys, shards)
+        own = np.flatnonzero(np.diff(cuts))
+        bodies = [pack(steps(keys[cuts[s]:cuts[s + 1]]), n[cuts[s]:cuts[s + 1]]) for s in own]
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(bodies, pa.binary())], names=["shard", "body"])
+
+
+def _shard_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All counts of each shard, added up whenever as many new ones have come as there are."""
+    for shard, rows in groupby(rows_of(batches), lambda r: r[0]):
+        keys, counts, more, waiting = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
+        for _, body in rows:
+            d, n = unpack(body)
+            more.append((np.cumsum(d, dtype=np.uint64), n.astype(np.int64)))
+            waiting += len(d)
+            if waiting > max(1_000_000, len(keys)):
+                keys, counts = added_up(*(np.concatenate(x) for x in zip((keys, counts), *more)))
+                more, waiting = [], 0
+        keys, counts = added_up(*(np.concatenate(x) for x in zip((keys, counts), *more)))
+        kinds = [int((counts == i).sum()) for i in (1, 2, 3, 4)]
+        yield pa.RecordBatch.from_pydict({"shard": [shard], "body": [pack(steps(keys), counts)], **{f"n{i + 1}": [k] for i, k in enumerate(kinds)},
+                                          "total": [int(counts.sum())]})
+
+
+def unpack_counts(body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    d, n = unpack(body)
+    return np.cumsum(d, dtype=np.uint64), n.astype(np.int64)
+
+
+def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """By class: total as a first word, kinds of bigrams seen once, twice and more, and kinds of words before it."""
+    sums = np.zeros((5, CLASSES), np.int64)
+    for body, in rows_of(batches):
+        keys, n = unpack_counts(body)
+        v, w = classes_of(keys)
+        sums[0] += np.bincount(v, n, CLASSES).astype(np.int64)
+        for i, chosen in ((1, n == 1), (2, n == 2), (3, n > 2)):
+            sums[i] += np.bincount(v[chosen], minlength=CLASSES)
+        sums[4] += np.bincount(w, minlength=CLASSES)
+    own = sums.reshape(5, PARTS, -1)
+    yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([pack(*own[:, i]) for i in range(PARTS)], pa.binary())],
+                                     names=["part", "body"])
+
+
+def _parts_added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, rows in groupby(rows_of(batches), lambda r: r[0]):
+        total = np.zeros((5, CLASSES // PARTS), np.uint64)
+        for _, body in rows:
+            total += np.stack(unpack(body))
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([pack(*total)], pa.binary())], names=["part", "body"])
+
+
+def _heavy(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    for body, in rows_of(batches):
+        keys, n = unpack_counts(body)
+        chosen = n >= least
+        yield pa.RecordBatch.from_arrays([pa.array(keys[chosen].astype(np.int64)), pa.array(n[chosen])], names=["key", "n"])
+
+
+def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
+    """Discounts of counts 0 to 3 (and more) from the counts of counts, kept off nothing and all."""
+    n = [0, n1, n2, n3, n4]
+    y = n1 / (n1 + 2 * n2) if n1 else 0.0
+    raw = [i - (i + 1) * y * n[i + 1] / n[i] if n1 and n[i] else i / 2 for i in (1, 2, 3)]
+    return np.array([0.0, *(min(max(d, 0.1 * i), 0.95 * i) for i, d in zip((1, 2, 3), raw))])
+
+
+@dataclass
+class Tables:
+    """What all workers have: bounded by ``CLASSES`` and ``HEAVY``."""
 
+    log_share: np.ndarray  # log g(v)
+    log_p: np.ndarray      # log p(w)
+    total: np.ndarray      # c(v)
+    discount: np.ndarray
+    heavy: np.ndarray      # sorted keys
+    heavy_gain: np.ndarray
 
-def _order(counts: DataFrame, context: list[str], lower: DataFrame, below: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(discounted probabilities with the lower order mixed in, share left to it per context)."""
-    rows = with_scalars(counts, _discounts(counts)).withColumn("_d", _discount())
-    totals = rows.groupBy(*context).agg(F.sum("n").alias("_total"), (F.sum("_d") / F.sum("n")).alias("gamma"))
-    mixed = rows.join(totals, context).join(lower, below)
-    p = (F.col("n") - F.col("_d")) / F.col("_total") + F.col("gamma") * F.col("p_low")
-    return mixed.select(*context, "w", p.alias("p")), totals.select(*context, "gamma")
+    def gain(self, keys: np.ndarray, n: np.ndarray) -> np.ndarray:
+        v, w = classes_of(keys)
+        above = (n - self.discount[np.minimum(n, 3)]) / self.total[v]
+        return np.log1p(above * np.exp(-(self.log_share[v].astype(np.float64) + self.log_p[w])))
 
 
 @dataclass
 class Model:
-    """Negative log-likelihood of each trigram, dense."""
+    counts: DataFrame  # one row per shard
+    shards: int
+    tables: Tables
 
-    nll: np.ndarray
 
-    def score(self, texts: list[str]) -> np.ndarray:
-        """Mean negative log-likelihood of each text; NaN for an empty one."""
-        out = []
+def trusted_ids(labels: DataFrame, doc_id: str = "doc_id", label: str = "quality") -> DataFrame:
+    """``_id`` and ``measures``, whether it is of the eighth that isn't trained on."""
+    ids = labels.where((F.col(label) == 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("_id")).distinct()
+    return ids.withColumn("measures", F.expr("pmod(xxhash64(_id), 8) = 0"))
+
+
+def fit(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
+    spark = docs.sparkSession
+    shards = shards_for(docs, text)
+    texts = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("text")).where("length(text) > 0")
+    texts = texts.join(trusted.where("not measures"), "_id", "left_semi").select("text")
+    sent = texts.mapInArrow(partial(_block_counts, shards=shards), "shard long, body binary")
+    counts = cut_lineage(sent.repartition("shard").sortWithinPartitions("shard")
+                             .mapInArrow(_shard_counts, "shard long, body binary, n1 long, n2 long, n3 long, n4 long, total long"))
+    kinds = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n1", "n2", "n3", "n4", "total")]).first()
+    parts = (counts.select("body").mapInArrow(_class_counts, "part int, body binary").repartition("part").sortWithinPartitions("part")
+                   .mapInArrow(_parts_added, "part int, body binary").collect())  # PARTS rows
+    sums = np.zeros((5, PARTS, CLASSES // PARTS), np.int64)
+    for r in parts:
+        sums[:, r.part] = np.stack(unpack(bytes(r.body)))
+    total, *seen, before = sums.reshape(5, CLASSES)
+    d2 = discounts(*kinds[:4])
+    d1 = discounts(*(int((before == i).sum()) for i in (1, 2, 3, 4)))
+    everything = max(1, int(before.sum()))
+    rest = d1[np.minimum(before, 3)].sum() / everything if before.any() else 1.0
+    p = (before - d1[np.minimum(before, 3)]) / everything + rest / CLASSES
+    share = np.where(total > 0, sum(d * k for d, k in zip(d2[1:], seen)) / np.maximum(total, 1), 1.0)
+    tables = Tables(np.log(share).astype(np.float32), np.log(p).astype(np.float32), total.astype(np.float32), d2, np.zeros(0, np.uint64), np.zeros(0))
+    found = counts.select("body").mapInArrow(partial(_heavy, least=max(1.0, kinds[4] * HEAVY)), "key long, n long").toPandas()  # 1 / HEAVY rows
+    keys = np.sort(found["key"].to_numpy().astype(np.uint64))
+    n = found.sort_values("key")["n"].to_numpy().astype(np.int64)
+    tables.heavy, tables.heavy_gain = keys, tables.gain(keys, n)
+    return Model(counts, shards, tables)
+
+
+def _found(keys: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in ``among``, whether there)."""
+    if not len(among):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(among, keys), len(among) - 1)
+    return at, among[at] == keys
+
+
+_ASKED = "shard long, block long, rids array<long>, ids array<long>, langs array<string>, body binary"
+_ASKED_ARROW = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("rids", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64())),
+                          ("langs", pa.list_(pa.string())), ("body", pa.binary())])
+
+
+def _asked(batches: Iterator[pa.RecordBatch], tables, shards: int) -> Iterator[pa.RecordBatch]:
+    """Per block: a row with what the worker has added up, and one row for each shard that is asked."""
+    m: Tables = tables.value
+    part = TaskContext.get().partitionId() if TaskContext.get() else 0
+    for number, (rows, texts) in enumerate(blocks(batches, 3)):
+        block = (part << 32) + number
+        own, sizes, pairs = [], [], [np.zeros(0, np.uint64)]
         for a, b in slices(texts, 1_000_000):
-            grams, real, starts = trigrams(texts[a:b])
-            n = np.array([len(t) for t in texts[a:b]])
-            total = np.add.reduceat(np.where(real, self.nll[grams], 0).astype(np.float64), starts)
-            out.append(np.divide(total, n, out=np.full(len(n), np.nan), where=n > 0))
-        return np.concatenate(out) if out else np.zeros(0)
-
-
-def fit(counts: DataFrame) -> Model:
-    """Kneser-Ney probabilities from trigram counts, joined order by order."""
-    c3 = cut_lineage(counts)
-    c2 = c3.groupBy("v", "w").agg(F.count(F.lit(1)).alias("n"))
-    c1 = c2.groupBy("w").agg(F.count(F.lit(1)).alias("n")).withColumn("e", F.lit(0))
-    p0 = c1.select("w", F.lit(1.0 / SYMBOLS).alias("p_low"))
-    p1, g1 = _order(c1, ["e"], p0, ["w"])
-    p2, g2 = _order(c2, ["v"], p1.select("w", F.col("p").alias("p_low")), ["w"])
-    p3, g3 = _order(c3, ["u", "v"], p2.select("v", "w", F.col("p").alias("p_low")), ["v", "w"])
-    none = F.lit(-1)
-
-    def part(df: DataFrame, value: str) -> DataFrame:
-        at = [F.col(c) if c in df.columns else none for c in ("u", "v", "w")]
-        return df.select(*[c.cast("int").alias(k) for c, k in zip(at, "uvw")], F.col(value).alias("x"))
-
-    tables = [part(d, x) for d, x in ((g1, "gamma"), (p1, "p"), (g2, "gamma"), (p2, "p"), (g3, "gamma"), (p3, "p"))]
-    found = [t.toPandas() for t in tables]
-    u, v, w, x = ([t[k].to_numpy() for t in found] for k in "uvwx")
-    one = np.full(SYMBOLS, 1.0 / SYMBOLS) * (x[0][0] if len(x[0]) else 1.0)
-    one[w[1]] = x[1]
-    share = np.ones(SYMBOLS)
-    share[v[2]] = x[2]
-    two = share[:, None] * one[None, :]
-    two[v[3], w[3]] = x[3]
-    share = np.ones((SYMBOLS, SYMBOLS))
-    share[u[4], v[4]] = x[4]
-    three = share[:, :, None] * two[None, :, :]
-    three[u[5], v[5], w[5]] = x[5]
-    return Model((-np.log(three)).astype(np.float32).ravel())
-
-
-def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    m = Model(model.value)
-    for batch in batches:
-        s = m.score([t or "" for t in batch.column(2).to_pylist()])
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.float64(), from_pandas=True)],
-                                         names=["doc_id", "lang", "nll"])
+            v, w, n = word_pairs(texts[a:b])
+            logs = m.log_share[v].astype(np.float64) + m.log_p[w]
+            keys, doc = keys_of(v, w), np.repeat(np.arange(b - a), n)
+            at, there = _found(keys, m.heavy)
+            logs[there] += m.heavy_gain[at[there]]
+            own.append(np.add.reduceat(logs, np.cumsum(n) - n))
+            sizes.append(np.where(np.array(list(map(len, texts[a:b]))) > 0, n, 0))
+            pairs.append(keys[~there] << np.uint64(DOC_BITS) | (doc[~there] + a).astype(np.uint64))
+        places, n = np.unique(np.concatenate(pairs), return_counts=True)
+        keys, doc = places >> np.uint64(DOC_BITS), places & np.uint64((1 << DOC_BITS) - 1)
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+        holders = np.diff(np.append(first, len(keys)))
+        cuts, wide = shard_bounds(keys[first], shards), shard_bounds(keys, shards)
+        named = [list(x) for x in (rows.column(i).to_pylist() for i in range(3))]
+        out = [(-1 - block, block, *named, pack(np.concatenate(own).view(np.uint64), np.concatenate(sizes)))] if texts else []
+        for s in np.flatnonzero(np.diff(cuts)):
+            a, b, c, d = cuts[s], cuts[s + 1], wide[s], wide[s + 1]
+            out.append((int(s), block, None, None, None, pack(steps(keys[first[a:b]]), holders[a:b], doc[c:d], n[c:d])))
+        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), _ASKED_ARROW)], schema=_ASKED_ARROW)
+
+
+def _answered(batches: Iterator[pa.RecordBatch], tables) -> Iterator[pa.RecordBatch]:
+    """Sums of the gains by document; a shard's counts come before what it is asked."""
+    held, keys, gains = None, None, None
+    for shard, block, rids, ids, langs, body in rows_of(batches):
+        if block < 0:
+            keys, n = unpack_counts(body)
+            held, gains = shard, tables.value.gain(keys, n)
+            continue
+        if shard >= 0:
+            if held != shard:
+                continue  # no trusted text has any bigram of this shard
+            d, holders, doc, n = unpack(body)
+            at, there = _found(np.cumsum(d, dtype=np.uint64), keys)
+            each = np.repeat(np.where(there, gains[at], 0.0), holders.astype(np.int64)) * n
+            sums = np.bincount(doc.astype(np.int64), each)
+            some = np.flatnonzero(sums)
+            body = pack(steps(some), sums[some].astype(np.float32).view(np.uint32))
+        yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((shard, block, rids, ids, langs, body), _ASKED_ARROW)], schema=_ASKED_ARROW)
+
+
+def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, rows in groupby(rows_of(batches), lambda r: r[1]):
+        _, _, rids, ids, langs, body = next(rows)  # what the worker has added up has a number below zero
+        logs, n = unpack(body)
+        logs = logs.view(np.float64).copy()
+        for *_, body in rows:
+            d, x = unpack(body)
+            logs[np.cumsum(d, dtype=np.uint64).astype(np.int64)] += x.astype(np.uint32).view(np.float32)
+        nll = np.divide(-logs, n, out=np.full(len(logs), np.nan), where=n > 0)
+        yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(ids, pa.int64()), pa.array(langs, pa.string()),
+                                          pa.array(nll, pa.float64(), from_pandas=True)], names=["rid", "doc_id", "lang", "nll"])
 
 
 def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``doc_id``, ``lang``, ``nll`` of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model.nll)  # 8 MB, whatever the corpus
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    return narrow.mapInArrow(partial(_scored, model=sent), "doc_id long, lang string, nll double")
+    """``rid`` (the row's place), ``doc_id``, ``lang``, ``nll`` (mean over words and the end) of every row."""
+    tables = docs.sparkSession.sparkContext.broadcast(model.tables)  # some 14 MB, whatever the corpus
+    narrow = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(lang).alias("lang"),
+                         F.col(text).alias("text"))
+    asked = narrow.mapInArrow(partial(_asked, tables=tables, shards=model.shards), _ASKED)
+    none = F.lit(None)
+    counts = model.counts.select("shard", F.lit(-1).cast("long").alias("block"), none.cast("array<long>").alias("rids"),
+                                 none.cast("array<long>").alias("ids"), none.cast("array<string>").alias("langs"), "body")
+    met = asked.unionByName(counts).repartition("shard").sortWithinPartitions("shard", "block")
+    answers = met.mapInArrow(partial(_answered, tables=tables), _ASKED)
+    return (answers.repartition("block").sortWithinPartitions("block", "shard")
+                   .mapInArrow(_scored, "rid long, doc_id long, lang string, nll double"))
 
 
 def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float, min_share: float = 1e-4, min_docs: int = 20) -> DataFrame:
-    """``lang``, ``limit`` and one row without language but ``everyone``: quantiles of trusted ``nll``.
+    """``lang``, ``limit`` and one row without language but ``everyone``: quantiles of ``nll`` of trusted documents that measure.
 
-    Exact over bins of a thousandth. Languages with under ``min_share`` of the trusted documents,
+    Exact over bins of a thousandth. Languages with under ``min_share`` of these documents,
     or under ``min_docs``, have no row, so there are at most 1 / min_share rows.
     """
-    known = scored.where(F.col("nll").isNotNull()).join(trusted, scored.doc_id == trusted._id, "left_semi")
+    known = scored.where(F.col("nll").isNotNull()).join(trusted.where("measures"), scored.doc_id == trusted._id, "left_semi")
     bins = known.groupBy("lang", F.ceil(F.col("nll") * BIN).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     both = bins.withColumn("everyone", F.lit(False)).unionByName(
         bins.groupBy("bin").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "bin", "n", F.lit(True).alias("everyone")))
@@ -190,37 +381,29 @@ def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float, min_share
     return with_scalars(cut, whole).where(F.col("everyone") | ((F.col("n") >= min_docs) & (F.col("n") >= F.col("_all") * min_share))).select("everyone", "lang", "limit")
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, doc_id: str = "doc_id", text: str = "text",
-             lang: str = "lang") -> DataFrame:
-    """``doc_id``, ``lang``, ``perplexity``, ``limit`` and ``accepted`` of every row."""
+def _judged(docs: DataFrame, labels: DataFrame, quantile: float, doc_id: str, text: str, lang: str) -> DataFrame:
     trusted = trusted_ids(labels, doc_id)
-    model = fit(trigram_counts(docs, trusted, doc_id, text))
-    scored = cut_lineage(score_documents(docs, model, doc_id, text, lang))
+    scored = cut_lineage(score_documents(docs, fit(docs, trusted, doc_id, text), doc_id, text, lang))
     limits = cut_lineage(thresholds(scored, trusted, quantile))
     everyone = limits.where("everyone").agg(F.max("limit").alias("_everyone"))
     own = limits.where(~F.col("everyone")).select(F.col("lang").alias("_lang"), "limit")
-    joined = with_scalars(scored.join(own, scored.lang.eqNullSafe(own._lang), "left"), everyone)
+    # at most 1 / min_share rows
+    joined = with_scalars(scored.join(F.broadcast(own), scored.lang.eqNullSafe(own._lang), "left"), everyone)
     limit = F.coalesce("limit", "_everyone")
-    return joined.select("doc_id", "lang", F.exp("nll").alias("perplexity"), F.exp(limit).alias("limit"),
+    return joined.select("rid", "doc_id", "lang", F.exp("nll").alias("perplexity"), F.exp(limit).alias("limit"),
                          F.coalesce(F.col("nll") <= F.coalesce(limit, F.lit(float("inf"))), F.lit(False)).alias("accepted"))
 
 
-def _kept(batches: Iterator[pa.RecordBatch], model, limits: dict, everyone: float, text: int, lang: int) -> Iterator[pa.RecordBatch]:
-    m = Model(model.value)
-    for batch in batches:
-        s = m.score([t or "" for t in batch.column(text).to_pylist()])
-        limit = np.array([limits.get(x, everyone) for x in batch.column(lang).to_pylist()], np.float64)
-        yield batch.filter(pa.array(s <= limit))  # false for an empty text
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, doc_id: str = "doc_id", text: str = "text",
+             lang: str = "lang") -> DataFrame:
+    """``doc_id``, ``lang``, ``perplexity``, ``limit`` and ``accepted`` of every row."""
+    return _judged(docs, labels, quantile, doc_id, text, lang).drop("rid")
 
 
 def drop_poor(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, doc_id: str = "doc_id", text: str = "text",
               lang: str = "lang") -> DataFrame:
-    """Accepted rows with all their columns; the rows themselves aren't shuffled."""
-    trusted = trusted_ids(labels, doc_id)
-    model = fit(trigram_counts(docs, trusted, doc_id, text))
-    rows = thresholds(score_documents(docs, model, doc_id, text, lang), trusted, quantile).collect()  # bounded by min_share
-    limits = {r.lang: r.limit for r in rows if not r.everyone}
-    everyone = next((r.limit for r in rows if r.everyone), float("inf"))
-    sent = docs.sparkSession.sparkContext.broadcast(model.nll)
-    return docs.mapInArrow(partial(_kept, model=sent, limits=limits, everyone=everyone, text=docs.columns.index(text),
-                                   lang=docs.columns.index(lang)), docs.schema)
+    """Accepted rows with all their columns."""
+    kept = _judged(docs, labels, quantile, doc_id, text, lang).where("accepted")
+    rid = "_rid" + "_" * max(map(len, docs.columns))
+    placed = docs.withColumn(rid, F.monotonically_increasing_id())
+    return placed.join(kept.select(F.col("rid").alias(rid)), rid, "left_semi").select(*docs.columns)

@@ -1,6 +1,7 @@
 """Small tables with nulls, empty and long texts, ties, repeated rows and clashing columns, against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -182,6 +183,27 @@ def test_mixed_keeps_rows(docs, empty):
     assert mixing.mixed(empty).count() == 0
 
 
+def plain_perplexities(texts, train, asked):
+    """The model with dicts of words instead of classes and shards."""
+    def pairs(t):
+        w = ["<s>", *re.findall(r"\w+|[^\w\s]+", t), "</s>"]
+        return list(zip(w, w[1:]))
+    c2 = Counter(p for i in train for p in pairs(texts[i]))
+    c1 = Counter(w for _, w in c2)
+    kinds = lambda c: kneser_ney.discounts(*(sum(n == k for n in c.values()) for k in (1, 2, 3, 4)))
+    d1, d2, all1 = kinds(c1), kinds(c2), sum(c1.values())
+    total, left = Counter(), Counter()
+    for (v, _), n in c2.items():
+        total[v] += n
+        left[v] += d2[min(n, 3)]
+    rest = sum(d1[min(n, 3)] for n in c1.values()) / all1
+
+    def p(v, w):
+        one = max(0, c1[w] - d1[min(c1[w], 3)]) / all1 + rest / kneser_ney.CLASSES
+        return (c2[v, w] - d2[min(c2[v, w], 3)] + left[v] * one) / total[v] if total[v] else one
+    return [math.exp(-sum(math.log(p(*x)) for x in pairs(t)) / len(pairs(t))) for t in asked]
+
+
 def test_kneser_ney(spark, docs, empty):
     frames.prepare(spark)
     texts = [words(80, i) for i in range(60)]
@@ -190,8 +212,11 @@ def test_kneser_ney(spark, docs, empty):
     rows = {r.doc_id: r for r in kneser_ney.classify(df, labels).collect()}
     assert not rows[99].accepted and not rows[100].accepted and not rows[101].accepted and rows[100].perplexity is None
     assert sum(rows[i].accepted for i in range(60)) >= 59
-    model = kneser_ney.fit(kneser_ney.trigram_counts(df, kneser_ney.trusted_ids(labels)))
-    assert np.allclose(np.exp(-model.nll.reshape(-1, 128).astype(float)).sum(1), 1, atol=1e-3)
+    want = plain_perplexities(texts, [r._id for r in kneser_ney.trusted_ids(labels).where("not measures").collect()], texts + ["%$#@" * 30, "w1 w1  unseen!"])
+    df2 = df.unionByName(spark.createDataFrame([(200, "w1 w1  unseen!", "en")], df.schema))
+    got = {r.doc_id: r.perplexity for r in kneser_ney.classify(df2, labels).collect()}
+    for i, w in zip([*range(60), 99, 200], want):
+        assert math.isclose(got[i], w, rel_tol=1e-4)
     none = labels.where("quality = 7")
     assert kneser_ney.classify(docs, none).where("accepted").count() == sum(bool(r[1]) for r in corpus())
     assert kneser_ney.classify(empty, labels).count() == 0
