@@ -52,6 +52,9 @@ BIN = 1000
 #: Ranges of word classes that are added up apart.
 PARTS = 16
 
+#: Bits and hashes of the filter that spares most untrusted texts the shuffle to their labels.
+FILTER_BITS, FILTER_HASHES = 1 << 26, 3
+
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\s]+")
 #: An odd factor spreads bigrams evenly over the keys; its inverse gives the bigram back.
 _MIX = 0x9E3779B97F
@@ -221,6 +224,7 @@ class Tables:
     log_p: np.ndarray      # log p(w)
     total: np.ndarray      # c(v)
     discount: np.ndarray
+    follows: np.ndarray    # whether w comes after any word
     heavy: np.ndarray      # sorted keys
     heavy_gain: np.ndarray
 
@@ -243,11 +247,33 @@ def trusted_ids(labels: DataFrame, doc_id: str = "doc_id", label: str = "quality
     return ids.withColumn("measures", F.expr("pmod(xxhash64(_id), 8) = 0"))
 
 
+def _sifted(batches: Iterator[pa.RecordBatch], bits) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        there = np.ones(batch.num_rows, bool)
+        for i in range(2, 2 + FILTER_HASHES):
+            at = batch.column(i).to_numpy()
+            there &= (bits.value[at >> 6] >> (at & 63)) & 1 == 1
+        yield batch.select([0, 1]).filter(pa.array(there))
+
+
+def sifted(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``_id`` and ``text`` of all rows whose id is in ``ids``, and some others; the filter has 8 MB, whatever the corpus."""
+    places = [F.expr(f"pmod(xxhash64(_id, {k}), {FILTER_BITS}L)") for k in range(FILTER_HASHES)]
+    found = (ids.select(F.explode(F.array(*places)).alias("p")).groupBy(F.expr("p div 64").alias("word"))
+                .agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")).toPandas())
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    sent = texts.sparkSession.sparkContext.broadcast(bits)
+    placed = texts.where(F.col("_id").isNotNull()).select("_id", "text", *[p.alias(f"p{k}") for k, p in enumerate(places)])
+    return placed.mapInArrow(partial(_sifted, bits=sent), "_id long, text string")
+
+
 def fit(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
     spark = docs.sparkSession
     shards = shards_for(docs, text)
     texts = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("text")).where("length(text) > 0")
-    texts = texts.join(trusted.where("not measures"), "_id", "left_semi").select("text")
+    taught = trusted.where("not measures")
+    texts = sifted(texts, taught).join(taught, "_id", "left_semi").select("text")
     sent = texts.mapInArrow(partial(_block_counts, shards=shards), "shard long, body binary")
     counts = cut_lineage(sent.repartition("shard").sortWithinPartitions("shard")
                              .mapInArrow(_shard_counts, "shard long, body binary, n1 long, n2 long, n3 long, n4 long, total long"))
@@ -264,7 +290,7 @@ def fit(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str =
     rest = d1[np.minimum(before, 3)].sum() / everything if before.any() else 1.0
     p = (before - d1[np.minimum(before, 3)]) / everything + rest / CLASSES
     share = np.where(total > 0, sum(d * k for d, k in zip(d2[1:], seen)) / np.maximum(total, 1), 1.0)
-    tables = Tables(np.log(share).astype(np.float32), np.log(p).astype(np.float32), total.astype(np.float32), d2, np.zeros(0, np.uint64), np.zeros(0))
+    tables = Tables(np.log(share).astype(np.float32), np.log(p).astype(np.float32), total.astype(np.float32), d2, before > 0, np.zeros(0, np.uint64), np.zeros(0))
     found = counts.select("body").mapInArrow(partial(_heavy, least=max(1.0, kinds[4] * HEAVY)), "key long, n long").toPandas()  # 1 / HEAVY rows
     keys = np.sort(found["key"].to_numpy().astype(np.uint64))
     n = found.sort_values("key")["n"].to_numpy().astype(np.int64)
@@ -300,7 +326,8 @@ def _asked(batches: Iterator[pa.RecordBatch], tables, shards: int) -> Iterator[p
             logs[there] += m.heavy_gain[at[there]]
             own.append(np.add.reduceat(logs, np.cumsum(n) - n))
             sizes.append(np.where(np.array(list(map(len, texts[a:b]))) > 0, n, 0))
-            pairs.append(keys[~there] << np.uint64(DOC_BITS) | (doc[~there] + a).astype(np.uint64))
+            open_ = ~there & (m.total[v] > 0) & m.follows[w]  # others are unseen for certain
+            pairs.append(keys[open_] << np.uint64(DOC_BITS) | (doc[open_] + a).astype(np.uint64))
         places, n = np.unique(np.concatenate(pairs), return_counts=True)
         keys, doc = places >> np.uint64(DOC_BITS), places & np.uint64((1 << DOC_BITS) - 1)
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
