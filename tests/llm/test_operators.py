@@ -310,3 +310,23 @@ def test_preferences(spark):
     got = sorted((r.pair_id or 0, r.part, r.turn or 0, r.rendered[r.learn_from:r.learn_to]) for r in preferences.format_pairs(a, b).collect())
     assert got == [(0, "chosen", 0, ""), (1, "chosen", 1, "< |x"), (1, "prompt", 0, ""), (1, "rejected", 1, "other"), (1, "rejected", 2, ""), (2, "prompt", 0, "")]
     assert preferences.format_pairs(a.where("1=0"), b.where("1=0")).count() == 0
+
+
+def test_pipeline_quality_stage(spark, tmp_path):
+    """The stage after the others' input: junk goes, clean rows stay whole, copies go one stage later."""
+    import corpus_pipeline
+
+    texts = [words(80, i) for i in range(80)]
+    rows = [(i, t, "en", "a", len(t)) for i, t in enumerate(texts)] + [(90, "%$#@ " * 30, "en", "b", 150), (91, texts[3], None, None, None), (92, None, "en", "a", 0)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(80)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = corpus_pipeline.drop_poor(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    found = {r.doc_id: tuple(r) for r in kept.collect()}
+    assert 90 not in found and 92 not in found and len([i for i in found if i < 80]) >= 79
+    assert all(found[r[0]] == r for r in rows if r[0] in found)
+    unique = corpus_pipeline.drop_copies(spark, kept, str(tmp_path))
+    ids = [r.doc_id for r in unique.select("doc_id").collect()]
+    assert 91 not in ids and sorted(ids) == sorted(i for i in found if i != 91)
