@@ -78,11 +78,11 @@ PAIRS = 1 << 20
 
 
 def linked(shard: np.ndarray, prints: np.ndarray, is_member: np.ndarray, radius: int,
-           accept=None) -> Labels:
+           accept=None, asked: int = 50_000) -> Labels:
     """Components within each shard.
 
     Rows are sorted by shard, members first. Members are the nodes of the shard's tree; the
-    other rows only probe it. ``accept(i, j)`` may refuse pairs; it isn't asked about pairs that are connected.
+    other rows only probe it. ``accept(i, j)`` may refuse pairs, ``asked`` at a time; it isn't asked about pairs that are connected.
     """
     labels = Labels(len(prints))
     nodes = np.flatnonzero(is_member)
@@ -105,10 +105,10 @@ def linked(shard: np.ndarray, prints: np.ndarray, is_member: np.ndarray, radius:
             i, j = i[earlier], j[earlier]
             while accept is not None and len(i):
                 # asked in parts, so that links found on the way spare later questions
-                a, b = i[:50_000], j[:50_000]
+                a, b = i[:asked], j[:asked]
                 ok = accept(a, b)
                 labels.link(a[ok], b[ok])
-                i, j = i[50_000:], j[50_000:]
+                i, j = i[asked:], j[asked:]
                 apart = labels.of[i] != labels.of[j]
                 i, j = i[apart], j[apart]
             labels.link(i, j)

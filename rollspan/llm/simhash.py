@@ -92,14 +92,15 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def shard_rows(items: DataFrame, shards, tree_rows: int) -> DataFrame:
+def shard_rows(items: DataFrame, shards, tree_rows: int, weight=None) -> DataFrame:
     """Deal items to shards of at least two; ``shards`` is an array column of shard numbers.
 
     Adds ``shard`` and ``is_member``. A shard of n rows over ``tree_rows`` becomes parts = n / tree_rows
-    trees; task (i, j) holds the tree of part i and probes it with part j.
+    trees; task (i, j) holds the tree of part i and probes it with part j. ``weight`` is what a row counts, one if not given.
     """
     keyed = items.withColumn("_key", F.explode(shards))
-    full = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    full = (keyed.groupBy("_key").agg(F.sum(F.lit(1) if weight is None else weight).alias("_n"), F.count(F.lit(1)).alias("_rows"))
+                 .where("_rows > 1").drop("_rows"))
     dealt = keyed.join(full, "_key")
     parts = F.expr(f"cast((_n + {tree_rows - 1}) div {tree_rows} as int)")
     dealt = dealt.withColumn("_parts", parts).withColumn("_own", F.expr("pmod(xxhash64(fp, 7), _parts)"))
@@ -164,6 +165,10 @@ def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, doc_id: str
 
 #: Min-hashes of a text, and those of a band; 20 bands miss a pair of similarity 0.8 once in 40,000.
 PERMUTATIONS, BANDS, BAND = 128, 20, 4
+#: Least share of equal min-hashes of a candidate; a pair of similarity 0.8 (standard error 0.035) falls below it once in 60,000.
+LOOSE = 0.65
+#: Bytes of text in one tree of candidates.
+TREE_BYTES = 16 << 20
 _FACTORS = np.random.default_rng(7).integers(1, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -187,43 +192,79 @@ def _sketches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
             sigs += [row.tobytes() for row in min_hashes(h, n)]
         same = [xxhash.xxh3_128_digest(b" ".join(t.lower().split())) for t in texts]
         prints = np.concatenate([np.zeros(0, np.uint64), *prints]).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.binary()), pa.array(prints), pa.array(sigs, pa.binary())],
-                                         names=["rid", "doc_id", "same", "fp", "sig"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.binary()), pa.array(prints), pa.array(sigs, pa.binary()),
+                                          pa.array(list(map(len, texts)), pa.int64())],
+                                         names=["rid", "doc_id", "same", "fp", "sig", "n_bytes"])
 
 
-def _similar(batches: Iterator[pa.RecordBatch], radius: int, similarity: float) -> Iterator[pa.RecordBatch]:
+def _alike(t: pa.Table) -> Callable:
+    """Whether enough min-hashes of rows i and j are equal."""
+    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(-1, PERMUTATIONS)
+    return lambda i, j: (sig[i] == sig[j]).mean(axis=1) >= LOOSE
+
+
+def _far(rid: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
+    far = np.flatnonzero(root != np.arange(len(root)))
+    return pa.RecordBatch.from_arrays([pa.array(rid[far]), pa.array(rid[root[far]])], names=["a", "b"])
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
     for t in whole_shards(batches, 1):
         prints, shard, member, rid = (t.column(c).to_numpy() for c in ("fp", "shard", "is_member", "rid"))
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(-1, PERMUTATIONS)
-        root = linked(shard, prints.view(np.uint64), member, radius,
-                      lambda i, j: (sig[i] == sig[j]).mean(axis=1) >= similarity).of
-        far = np.flatnonzero(root != np.arange(len(root)))
-        yield pa.RecordBatch.from_arrays([pa.array(rid[far]), pa.array(rid[root[far]])], names=["a", "b"])
+        yield _far(rid, linked(shard, prints.view(np.uint64), member, radius, _alike(t)).of)
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two sorted arrays of distinct hashes."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / max(1, len(a) + len(b) - both)
+
+
+def _similar(batches: Iterator[pa.RecordBatch], radius: int, size: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    for t in whole_shards(batches, 1):
+        prints, shard, member, rid = (t.column(c).to_numpy() for c in ("fp", "shard", "is_member", "rid"))
+        sets = [np.unique(h[a:b]) for x in utf8(t.column("text").combine_chunks()) for h, n in hash_slices([x], size) for a, b in [(0, n[0])]]
+        lengths, alike = np.array(list(map(len, sets))), _alike(t)
+
+        def accept(i, j, sets=sets, lengths=lengths, alike=alike):
+            ok = np.minimum(lengths[i], lengths[j]) >= similarity * np.maximum(lengths[i], lengths[j]) - 1e-9
+            ok[ok] = alike(i[ok], j[ok])
+            ok[ok] = [jaccard(sets[a], sets[b]) >= similarity for a, b in zip(i[ok].tolist(), j[ok].tolist())]
+            return ok
+        yield _far(rid, linked(shard, prints.view(np.uint64), member, radius, accept, asked=2_000).of)
 
 
-def drop_copies(docs: DataFrame, size: int = 5, radius: int = 20, similarity: float = 0.77, tree_rows: int = 4096,
+def drop_copies(docs: DataFrame, size: int = 5, radius: int = 24, similarity: float = 0.8, tree_rows: int = 4096,
                 doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each group of exact and near copies, with all its columns: that of the smallest id.
 
     A pair of texts whose sets of 5-word shingles are 0.8 alike lies up to 20 bits apart, where no cut of 64
-    bits makes small shards. Here the shards are bands of min-hashes; each shard's BK-tree gives the pairs within
-    ``radius``, and the share of equal min-hashes among 128 (standard error 0.035 at 0.8, hence the
-    margin in ``similarity``) accepts them. Texts equal but for case and white space share a group before that.
+    bits makes small shards. Candidates come from bands of min-hashes: each band's BK-tree gives the pairs within
+    ``radius``, of which those with enough equal min-hashes (``LOOSE``) are linked. Any pair found lies within one
+    component of these links. The texts of each component then meet once; its BK-tree is searched again, and a pair counts if
+    the sets of its shingles' hashes are at least ``similarity`` alike. Texts equal but for case and white space share a
+    group before that.
 
     Rows are known by their place in the scan of ``docs``, which should be a stored table. A null id comes
     after all others; texts without words form one group.
     """
     placed = docs.withColumn("_rid", F.monotonically_increasing_id())
     narrow = placed.select(F.col("_rid").alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketches = cut_lineage(narrow.mapInArrow(partial(_sketches, size=size), "rid long, doc_id long, same binary, fp long, sig binary"))
+    sketches = cut_lineage(narrow.mapInArrow(partial(_sketches, size=size), "rid long, doc_id long, same binary, fp long, sig binary, n_bytes long"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")
     firsts = cut_lineage(sketches.groupBy("same").agg(F.min(order).alias("first")))
-    items = sketches.join(firsts.select(F.col("first.rid").alias("rid"), "first"), "rid").select("rid", "fp", "sig")
+    items = sketches.join(firsts.select(F.col("first.rid").alias("rid"), "first"), "rid").select("rid", "fp", "sig", "n_bytes")
     shards = F.array(*[F.xxhash64(F.lit(k), F.substring("sig", 1 + 4 * BAND * k, 4 * BAND)) for k in range(BANDS)])
     narrow_items = items.select("rid", "fp", shards.alias("_shards"))
     rows = shard_rows(narrow_items, F.col("_shards"), tree_rows).select("rid", "fp", "shard", "is_member")
     rows = rows.join(items.select("rid", "sig"), "rid").select("rid", "shard", "fp", "is_member", "sig")
-    links = in_shards(rows, partial(_similar, radius=radius, similarity=similarity), "a long, b long")
+    loose = connected_components(in_shards(rows, partial(_candidates, radius=radius), "a long, b long"))
+    grouped = loose.unionByName(loose.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "rid")
+    share = F.greatest(F.lit(1), F.expr(f"n_bytes * {tree_rows} div {TREE_BYTES}"))
+    grouped = cut_lineage(shard_rows(grouped.join(items, "rid").select("rid", "fp", "sig", "root", share.alias("_weight")), F.array("root"), tree_rows, F.col("_weight"))
+                          .select("rid", "shard", "fp", "is_member", "sig"))
+    rows = grouped.join(narrow.select("rid", "text"), "rid").select("rid", "shard", "fp", "is_member", "sig", "text")
+    links = in_shards(rows, partial(_similar, radius=radius, size=size, similarity=similarity), "a long, b long")
     roots = connected_components(links)
     own = firsts.select(F.col("first.rid").alias("rid"), "first")
     kept = (own.join(roots, own.rid == roots.node, "left")

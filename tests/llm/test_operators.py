@@ -159,6 +159,26 @@ def test_near_copies_keep_one(docs, empty):
     assert simhash.drop_copies(empty).count() == 0
 
 
+def test_near_copies_by_exact_similarity(spark):
+    """Pairs of known similarity on both sides of 0.8."""
+    frames.prepare(spark)
+    rows, pairs = [], []
+    for k in range(120):
+        text = words(95, 7000 + k, 100_000).split()
+        edited = text.copy()
+        for x in range(k % 3 + 1):
+            edited[10 + 25 * x] = "changed"  # 86, 81 and 76 of 91 shingles stay
+        drop = [0, 3, 8][k // 40]
+        a, b = " ".join(text), " ".join(edited[:len(edited) - drop])
+        x, y = (set(simhash.shingle_hashes(t.encode(), 5)) for t in (a, b))
+        pairs.append((2 * k, 2 * k + 1, len(x & y) / len(x | y)))
+        rows += [(2 * k, a), (2 * k + 1, b)]
+    assert {j >= 0.8 for *_, j in pairs} == {True, False} and sum(0.75 < j < 0.83 for *_, j in pairs) >= 40
+    kept = {r.doc_id for r in simhash.drop_copies(spark.createDataFrame(rows, "doc_id long, text string"), tree_rows=64).collect()}
+    assert {a for a, *_ in pairs} <= kept
+    assert [b for _, b, _ in pairs if b in kept] == [b for _, b, j in pairs if j < 0.8]
+
+
 def test_pfair_windows_and_deviation(spark):
     frames.prepare(spark)
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("source"))
