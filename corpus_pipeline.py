@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rollspan.llm import kneser_ney, mixing, packing, simhash, toxicity
-from rollspan.llm.frames import prepare, scratch_path, table
+from rollspan.llm.frames import in_written_order, prepare, scratch_path, table
 from rollspan.llm.queries import vocabulary
 
 
@@ -38,9 +38,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 1024 tokens."""
+    """Pieces of all documents in sequences of 1024 tokens, taken in the order of the mixture."""
     prepare(spark)
-    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), keeps_blanks=True, end=0)
+    return packing.pack_documents(in_written_order(docs, ["doc_id", "text"]), vocabulary("byte_bpe_50k.json"), keeps_blanks=True, end=0)
 
 
 STAGES = [("toxicity", drop_toxic), ("quality", drop_poor), ("near_duplicates", drop_copies), ("mixing", mix), ("packing", pack)]

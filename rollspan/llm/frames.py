@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollspan.session import shared_folder, ship_package
 
@@ -30,6 +30,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def in_written_order(stored: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of a Parquet table just read, in the order of its writer's partitions and rows.
+
+    A scan takes the largest files first, whatever their names; part numbers and rows in the file restore the order.
+    """
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("long")
+    placed = stored.select(*columns, part.alias("_part"), F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row_index"))
+    return placed.orderBy("_part", "_file", "_row_index").select(*columns)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes; a null text is empty."""
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]

@@ -4,7 +4,7 @@ Each partition keeps ``windows`` open sequences. A document's full windows go ou
 its rest goes to the open sequence that it fits best. When none fits and all windows are in
 use, the fullest is sent out; a gap of more than ``gap`` tokens is filled by cutting the
 rest. At the end the open sequences of groups of partitions are merged in the same way,
-whole. Only places and checksums travel, not ids.
+whole; a merged sequence keeps the number of its first part. Only places and checksums travel, not ids.
 
 Cases: a null text is empty; an empty text has the end id only; a document of any length is cut
 into pieces; repeated rows are packed each for itself; null ids stay null; an empty table gives no
@@ -26,8 +26,8 @@ from rollspan.llm.encoding import encoder, ids_crc
 from rollspan.session import cut_lineage
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence long, offset long, is_open boolean"
-#: Sequence numbers of one partition, and of merged leftovers, which start at a bit of their own.
-PART, MERGED = 1 << 36, 1 << 61
+#: Sequence numbers of one partition.
+PART = 1 << 36
 
 
 class OpenWindows:
@@ -103,12 +103,13 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, keeps_blanks: bool, en
 
 
 def _merge(batches: Iterator[pa.RecordBatch], length: int, windows: int) -> Iterator[pa.RecordBatch]:
-    packer = OpenWindows(windows, length, MERGED + TaskContext.get().partitionId() * PART, lambda seq: None)
+    packer = OpenWindows(windows, length, 0, lambda seq: None)
+    first: dict[int, int] = {}  # merged sequence to that of its first part
     for batch in batches:
         seqs, used = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         placed = [packer.place(n, None) for n in used]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(seqs, pa.int64()), pa.array([p[0] for p in placed], pa.int64()), pa.array([p[1] for p in placed], pa.int64())],
+            [pa.array(seqs, pa.int64()), pa.array([first.setdefault(p[0], s) for s, p in zip(seqs, placed)], pa.int64()), pa.array([p[1] for p in placed], pa.int64())],
             names=["sequence", "to", "shift"])
 
 

@@ -350,3 +350,31 @@ def test_pipeline_quality_stage(spark, tmp_path):
     unique = corpus_pipeline.drop_copies(spark, kept, str(tmp_path))
     ids = [r.doc_id for r in unique.select("doc_id").collect()]
     assert 91 not in ids and sorted(ids) == sorted(i for i in found if i != 91)
+
+
+def test_packing_stage_takes_the_mixture_in_order(spark, tmp_path):
+    """Files of unlike size: a scan takes the largest first, the sequences must not."""
+    import corpus_pipeline
+
+    frames.prepare(spark)
+    rows = [(i, words(1100 + 4 * i, i), "en", "short", 0) if i < 20 else (i, words(3500, i), "en", "hot", 0) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    order = {r.doc_id: (r.slot, r.place) for r in mixing.schedule(df, ["doc_id"], F.xxhash64("doc_id"), F.col("source")).collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        corpus_pipeline.mix(spark, df, "").write.parquet(f"{tmp_path}/mixed")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = spark.read.parquet(f"{tmp_path}/mixed")
+    assert len(stored.inputFiles()) > 1
+    got = [r for r in corpus_pipeline.pack(spark, stored, "").collect()]
+    firsts = sorted((r.sequence_id, r.doc_id) for r in got if r.start == 0)
+    assert [d for _, d in firsts] == sorted(order, key=order.get)
+
+
+def test_merged_sequences_stay_among_their_partitions(spark):
+    frames.prepare(spark)
+    df = spark.createDataFrame([(i, words(20, i)) for i in range(60)], "doc_id long, text string").repartition(3)
+    got = packing.pack_documents(df, vocabularies.path("byte_bpe_50k.json"), True, 0).collect()
+    assert all(r.sequence_id < 3 * packing.PART for r in got) and sum(r.start == 0 for r in got) == 60
+    assert len({(r.sequence_id, r.offset) for r in got}) == len(got)
