@@ -6,13 +6,15 @@ are counted instead of documents, so a passage that is copied many times counts
 
 The terms form a trie. Its product with the Levenshtein automaton is built lazily as a
 deterministic automaton over the letters of a word: a state is the set of (trie node, edits so far). A word costs one
-step a letter and ends as soon as no term is near. Longer terms allow more edits.
+step a letter and ends as soon as no term is near. Longer terms allow more edits; a beginning allows those of its own
+length, and is met as soon as some first letters of the word are near enough to it.
 
 The automaton is then run over the same sample, and each (term, edits) gets the log-odds of its hits there:
 misspelt hits of a term that has neighbours among ordinary words count for little. A hit that its context
-window shows as quoted or reported counts less again. The score is the logistic sum of the log-odds of at most two
-different words for each term, of the share of toxic documents, and of a charge on long texts, which
-meet terms by chance.
+window shows as quoted or reported counts less again. A text is cut into half-overlapping stretches of ``STRETCH`` words. The
+odds of a stretch are the sum of the log-odds of all different words in it that hit, of the share of toxic documents, and of a
+small charge for each word; the score is the logistic of the best stretch, whose odds are divided by the number of
+stretches, since more stretches meet terms by chance.
 
 Cases: a null, empty or wordless text scores the share of toxic documents; repeated rows score alike; nothing but
 the text counts; without usable labels of both classes all scores are 0; an empty table gives no rows.
@@ -40,8 +42,8 @@ REPORTING = frozenset("said says wrote writes called calls quote quoted quotes t
 OPENING = {"“": "”", "«": "»", "„": "“", "‘": "’"}
 #: Share of a hit's weight that is left by its edits, and by a quotation.
 EDIT_WEIGHT, QUOTED_WEIGHT = (1.0, 0.6, 0.5), 0.3
-#: Log-odds taken off for each word, and at most; different words of a term that count.
-LENGTH_CHARGE, MOST_CHARGE, FORMS = 0.003, 8.0, 2
+#: Words of a stretch that is scored by itself, and log-odds taken off for each of its words.
+STRETCH, LENGTH_CHARGE = 200, 0.003
 #: Lengths of word beginnings that are tried as terms.
 STEMS = (4, 5, 6, 7, 8)
 #: Words on each side of a hit that are looked at, and distinct words (or steps) that a task remembers.
@@ -54,6 +56,7 @@ def held_out(doc_id) -> F.Column:
 
 
 def edits_allowed(term: str) -> int:
+    term = term.removesuffix("*")
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
@@ -61,29 +64,28 @@ class TermAutomaton:
     """A term that ends in ``*`` stands for all words that begin so."""
 
     def __init__(self, terms):
-        self.stems = {t[:-1]: t for t in terms if t.endswith("*")}
-        self.stem_lengths = sorted({len(s) for s in self.stems})
         self.child: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
+        self.stem: list[str | None] = [None]
         self.reach = [0]  # most edits that a term below allows
         for t in terms:
-            if t.endswith("*"):
-                continue
             node, k = 0, edits_allowed(t)
             self.reach[0] = max(self.reach[0], k)
-            for c in t:
+            for c in t.removesuffix("*"):
                 if c not in self.child[node]:
                     self.child[node][c] = len(self.child)
                     self.child.append({})
                     self.term.append(None)
+                    self.stem.append(None)
                     self.reach.append(0)
                 node = self.child[node][c]
                 self.reach[node] = max(self.reach[node], k)
-            self.term[node] = t
+            (self.stem if t.endswith("*") else self.term)[node] = t
         self.letters = {c for kids in self.child for c in kids}
         self.start = self._closed({0: 0})
         self.next: dict[tuple, tuple] = {}
         self.accepts: dict[tuple, tuple | None] = {}
+        self.begins: dict[tuple, tuple | None] = {}
 
     def _closed(self, states: dict[int, int]) -> tuple:
         """With letters of a term left out: each node with its fewest edits."""
@@ -109,16 +111,13 @@ class TermAutomaton:
                     out[kid] = min(out.get(kid, 99), cost)
         return self._closed(out)
 
-    def _accept(self, state: tuple) -> tuple | None:
-        ends = [(e, self.term[node]) for node, e in state if self.term[node] and e <= edits_allowed(self.term[node])]
-        return min(ends, default=None)
+    @staticmethod
+    def _nearest(state: tuple, ends: list[str | None]) -> tuple | None:
+        return min(((e, ends[node]) for node, e in state if ends[node] and e <= edits_allowed(ends[node])), default=None)
 
     def match(self, word: str) -> tuple[str, int] | None:
-        """(term, edits) of the nearest term, or None."""
-        for n in self.stem_lengths:
-            if word[:n] in self.stems:
-                return self.stems[word[:n]], 0
-        state = self.start
+        """(term, edits) of the nearest term, or None; of those equally near a beginning."""
+        state, best = self.start, None
         for c in word:
             key = (state, c if c in self.letters else "")
             state = self.next.get(key)
@@ -126,13 +125,24 @@ class TermAutomaton:
                 if len(self.next) > KEEP:
                     self.next.clear()
                     self.accepts.clear()
+                    self.begins.clear()
                 state = self.next[key] = self._step(*key)
             if not state:
-                return None
-        if state not in self.accepts:
-            self.accepts[state] = self._accept(state)
-        found = self.accepts[state]
-        return found and (found[1], found[0])
+                break
+            if state not in self.begins:
+                self.begins[state] = self._nearest(state, self.stem)
+            found = self.begins[state]
+            if found and (best is None or found < best):
+                best = found
+                if not best[0]:
+                    break
+        else:
+            if state not in self.accepts:
+                self.accepts[state] = self._nearest(state, self.term)
+            found = self.accepts[state]
+            if found and (best is None or found[0] < best[0]):
+                best = found
+        return best and (best[1], best[0])
 
 
 @dataclass
@@ -169,19 +179,16 @@ class Scorer:
             return True
         return any(before.rfind(a) > before.rfind(b) for a, b in OPENING.items())
 
-    def matches(self, text: str) -> tuple[dict[str, tuple[tuple[str, int], float]], int]:
-        """Words that hit, with (term, edits) and the share that their context leaves; number of all words."""
+    def places(self, text: str) -> tuple[list[tuple[int, str, tuple[str, int], float]], int]:
+        """(place, word, (term, edits), share that its context leaves) of each word that hits; number of all words."""
         low = text.lower()
         words = WORD.findall(low)
         found = list(map(self.seen.__getitem__, words))
-        out: dict[str, tuple[tuple[str, int], float]] = {}
+        out = []
         if any(found):
             spans = [m.span() for m in WORD.finditer(low)]
-            for i, f in enumerate(found):
-                if f and (words[i] not in out or out[words[i]][1] < 1.0):
-                    share = QUOTED_WEIGHT if self._quoted(low, *spans[i], words, i) else 1.0
-                    if words[i] not in out or share > out[words[i]][1]:
-                        out[words[i]] = self.hits[f], share
+            out = [(i, words[i], self.hits[f], QUOTED_WEIGHT if self._quoted(low, *spans[i], words, i) else 1.0)
+                   for i, f in enumerate(found) if f]
         if len(self.seen) > KEEP:
             self._forget()
         return out, len(words)
@@ -189,12 +196,16 @@ class Scorer:
     def score(self, text: str) -> float:
         if not self.weights:
             return 0.0
-        found, n = self.matches(text)
-        by: dict[str, list[float]] = {}
-        for (term, edits), share in found.values():
-            by.setdefault(term, []).append(share * self.weights.get((term, edits), 0.0))
-        odds = self.weights["", 0] - min(MOST_CHARGE, LENGTH_CHARGE * n)
-        odds += sum(sum(sorted(w, reverse=True)[:FORMS]) for w in by.values())
+        found, n = self.places(text)
+        half = STRETCH // 2
+        last = max(0, -(-n // half) - 2)  # starts of stretches are 0, half, ... last * half
+        by: dict[int, dict[str, float]] = {}
+        for i, word, hit, share in found:
+            for k in range(max(0, i // half - 1), min(i // half, last) + 1):
+                own = by.setdefault(k, {})
+                own[word] = max(own.get(word, 0.0), share * self.weights.get(hit, 0.0))
+        odds = self.weights["", 0] - LENGTH_CHARGE * min(n, STRETCH) - math.log(last + 1)
+        odds += max((sum(own.values()) for own in by.values()), default=0.0)
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
 
 
@@ -221,7 +232,7 @@ def _sample_hits(batches: Iterator[pa.RecordBatch], terms: list[str]) -> Iterato
     scorer = Scorer({(t, 0): 1.0 for t in terms})
     for batch in batches:
         rows = [(term, edits, toxic) for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                for (term, edits), _ in scorer.matches(text or "")[0].values()]
+                for term, edits in {w: hit for _, w, hit, _ in scorer.places(text or "")[0]}.values()]
         columns = list(zip(*rows)) if rows else [()] * 3
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int32()))],
                                          names=["term", "edits", "toxic"])
@@ -264,7 +275,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     counted = {(r.term, r.edits): (r.hit, r.miss) for r in hits}
     weights = {("", 0): math.log(prior)}
     for t in terms:
-        for e in range(0 if t.endswith("*") else edits_allowed(t), -1, -1):
+        for e in range(edits_allowed(t), -1, -1):
             hit, miss = counted.get((t, e), (0, 0))
             # a misspelling that the sample doesn't hold is taken as meant
             odds = ((hit + (1.0 if e else 0.01)) / n_toxic) / ((miss + 0.25) / n_clean)
@@ -273,12 +284,12 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def select_terms(found: list[tuple[str, int]]) -> list[str]:
-    """Drop what another term covers: words under a stem, and stems that a longer one explains."""
+    """Drop stems that another explains, a longer one with nearly as many contexts or else a shorter; all words stay."""
     by = dict(found)
     stems = [f[:-1] for f in by if f.endswith("*")]
     kept = {s for s in stems if not any(t != s and t.startswith(s) and by[t + "*"] >= 0.9 * by[s + "*"] for t in stems)}
     kept = {s for s in kept if not any(t != s and s.startswith(t) for t in kept)}
-    return [f for f, _ in found if ((f[:-1] in kept) if f.endswith("*") else not any(f.startswith(s) for s in kept))]
+    return [f for f, _ in found if not f.endswith("*") or f[:-1] in kept]
 
 
 def _scores(batches: Iterator[pa.RecordBatch], weights: dict) -> Iterator[pa.RecordBatch]:

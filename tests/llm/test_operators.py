@@ -261,6 +261,23 @@ def test_levenshtein_automaton(word):
     assert toxicity.TermAutomaton(terms).match(word) == (want and (want[1], want[0]))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text("abcd", max_size=12))
+def test_beginnings_allow_edits(word):
+    stems, terms = ["abcda", "dcba", "bbbbbb"], ["abcdabcdab", "aabbccddaa"]
+    near = min([x for x in ((min(edit_distance(word[:n], t) for n in range(len(word) + 1)), t + "*") for t in stems) if x[0] <= toxicity.edits_allowed(x[1])], default=None)
+    whole = min([x for x in ((edit_distance(word, t), t) for t in terms) if x[0] <= toxicity.edits_allowed(x[1])], default=None)
+    want = whole if whole and (near is None or whole[0] < near[0]) else near
+    assert toxicity.TermAutomaton([*(t + "*" for t in stems), *terms]).match(word) == (want and (want[1], want[0]))
+
+
+def test_all_forms_and_long_texts_count():
+    s = toxicity.Scorer({("", 0): -3.0, ("bomen*", 0): 2.0, ("bomen*", 1): 1.5, ("dreadful", 0): 5.0, ("rotten", 0): 5.0})
+    assert s.score("bomente bomenta bomentu") >= 0.9 and s.score("bomante bomentas bomento") > s.score("bomentas bomento")
+    assert s.score(f"{words(3000, 1)} dreadful rotten {words(1000, 2)}") >= 0.7 > s.score(f"{words(300, 1)} dreadful {words(4000, 3)} rotten")
+    assert "bomenteria" in toxicity.select_terms([("bomente*", 9), ("bomenteria", 4)])
+
+
 def test_toxicity(spark, docs, empty):
     frames.prepare(spark)
     bad = [f"{words(8, i, 400)} dreadful {words(6, i + 500, 400)} rotten {words(3, i + 900, 400)}" for i in range(60)]
