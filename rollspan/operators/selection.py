@@ -27,13 +27,27 @@ def long_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] =
     return df.select(*keep, pairs.alias("_p")).select(*keep, "_p.feature", "_p.value")
 
 
-def quantile_edges(df: DataFrame, features: Sequence[str], n: int) -> DataFrame:
-    """``feature, edges``: distinct inner edges of ``n`` equal-frequency bins, taken from a
-    quantile sketch per feature (bounded size, mergeable map-side)."""
-    ps = [i / n for i in range(1, n)]
-    row = df.agg(*[F.array_distinct(F.percentile_approx(F.col(q(f)).cast("double"), ps, ACCURACY)).alias(f) for f in features])
-    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(q(f)).alias("edges")) for f in features]))
-    return row.select(pairs.alias("_p")).select("_p.feature", "_p.edges")
+def quantile_edges(df: DataFrame, features: Sequence[str], n: int, exact: bool = True) -> DataFrame:
+    """``feature, edges``: distinct inner edges of ``n`` equal-frequency bins, each the smallest
+    value with its share of the non-NULL rows at or below it.
+
+    Exact: values are reduced to counts and all features ranked in one global order.
+    ``exact=False`` takes the edges from a quantile sketch per feature instead (bounded size,
+    mergeable map-side; edges can be off once a feature has more distinct values than ``ACCURACY``).
+    """
+    if not exact:
+        ps = [i / n for i in range(1, n)]
+        row = df.agg(*[F.array_distinct(F.percentile_approx(F.col(q(f)).cast("double"), ps, ACCURACY)).alias(f) for f in features])
+        pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(q(f)).alias("edges")) for f in features]))
+        return row.select(pairs.alias("_p")).select("_p.feature", "_p.edges")
+    # the NULL of a feature counts 0 rows, so a feature of NULLs only has no edges but is kept
+    counts = long_features(df, features).groupBy("feature", "value").agg(F.count("value").alias("_n"))
+    ranked = global_prefix(counts, ["feature", "value"], ["_n"])
+    # one row per feature
+    ends = ranked.groupBy("feature").agg(F.sum("_n").alias("_total"), F.max("cum__n").alias("_end"))
+    at = F.col("cum__n") - F.col("_end") + F.col("_total")
+    cuts = [F.min(F.when(at * n >= F.col("_total") * i, F.col("value"))) for i in range(1, n)]
+    return ranked.join(F.broadcast(ends), "feature").groupBy("feature").agg(F.array_distinct(F.array_compact(F.array(*cuts))).alias("edges"))
 
 
 def binned(df: DataFrame, edges: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -45,12 +59,13 @@ def binned(df: DataFrame, edges: DataFrame, features: Sequence[str], keep: Seque
     return with_edges.withColumn("bin", number)
 
 
-def fit_bins(df: DataFrame, features: Sequence[str], label: str, n: int = 10, eps: float = 0.5) -> DataFrame:
+def fit_bins(df: DataFrame, features: Sequence[str], label: str, n: int = 10, eps: float = 0.5,
+             exact: bool = True) -> DataFrame:
     """``feature, bin, lo, hi, events, non_events, woe, iv`` of equal-frequency bins.
 
-    WoE is ln(share of non-events / share of events); empty cells count as ``eps``.
+    WoE is ln(share of non-events / share of events); empty cells count as ``eps``. ``exact`` is that of :func:`quantile_edges`.
     """
-    edges = quantile_edges(df, features, n)
+    edges = quantile_edges(df, features, n, exact)
     cells = (binned(df, edges, features, [label]).groupBy("feature", "bin", "edges")
              .agg(F.sum(F.col(label).cast("long")).alias("events"), F.count(F.col(label)).alias("_n")))
     cells = cells.withColumn("non_events", F.col("_n") - F.col("events"))
@@ -121,12 +136,12 @@ def correlation_filter(df: DataFrame, iv: DataFrame, features: Sequence[str], th
 
 
 def psi(ref: DataFrame, cur: DataFrame, features: Sequence[str], bins: int = 10, eps: float = 1e-6,
-        threshold: float = 0.2) -> DataFrame:
+        threshold: float = 0.2, exact: bool = True) -> DataFrame:
     """Population stability index per feature over reference quantile bins.
 
-    Shares are over the non-NULL rows of each side and smoothed by ``eps``.
+    Shares are over the non-NULL rows of each side and smoothed by ``eps``. ``exact`` is that of :func:`quantile_edges`.
     """
-    edges = quantile_edges(ref, features, bins)
+    edges = quantile_edges(ref, features, bins, exact)
 
     def counted(df, name):
         rows = binned(df, edges, features).where(F.col("bin") > 0)

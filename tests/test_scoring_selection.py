@@ -171,3 +171,9 @@ def test_correlations_do_not_depend_on_the_number_of_features(spark):
     few, many = ({(r.f1, r.f2): r.corr for r in correlation_long(df, cols[:n]).collect()} for n in (15, 16))
     assert all(abs(v - many[k]) < 1e-12 if v is not None else many[k] is None for k, v in few.items())
     assert few["c0", "c1"] is not None and few["c0", "c1"] == few["c0", "c1"]
+
+
+def test_bin_edges_are_exact_on_many_distinct_values(spark):
+    df = spark.range(3_000_000).select((F.col("id") * 1_000_003 % 3_000_000).cast("double").alias("x"), F.lit(None).cast("double").alias("none"))
+    got = {r.feature: r.edges for r in se.quantile_edges(df, ["x", "none"], 5).collect()}
+    assert got["x"] == [599_999.0, 1_199_999.0, 1_799_999.0, 2_399_999.0] and not got["none"]
