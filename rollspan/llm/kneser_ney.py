@@ -1,7 +1,8 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney bigram model of words.
 
 Words are runs of letters and digits, or of other signs, with their case; each text ends with an end symbol. A
-word's hash gives its class, one of ``CLASSES``; all words take part, and words that share a class count together (on 0.5 GB of text most classes are taken: see README). So tables by
+word's hash gives its class, one of ``CLASSES``; all words take part, and words that share a class count
+together (on 0.5 GB of text most classes are taken: see README). So tables by
 word have a bound, whatever the corpus, and are sent to all workers; the bigrams have none, and stay in shards.
 
 With p(w|v) = (c(v,w) - D) / c(v) + g(v) p(w), log p(w|v) = log g(v) + log p(w) + gain(v,w), where the gain of an
