@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollspan.llm import bitpack, kneser_ney, license_templates, mixing, mtree, packing, preferences, simhash, syncmers, toxicity
+from rollspan.llm import bitpack, kneser_ney, license_templates, mixing, mtree, packing, preferences, sentencepieces, simhash, syncmers, toxicity
 from rollspan.llm.frames import prepare, scratch_path, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +99,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), keeps_blanks=True, end=0)
 
 
+@query("op11_backtracking_pieces")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.digest_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
