@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollspan.llm import bitpack, kneser_ney, license_templates, mixing, mtree, packing, preferences, sentencepieces, simhash, syncmers, toxicity
+from rollspan.llm import bitpack, kneser_ney, license_templates, mixing, mtree, packing, preferences, sentencepieces, simhash, spelling, syncmers, toxicity
 from rollspan.llm.frames import prepare, scratch_path, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,6 +104,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.digest_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+@query("op12_prefix_suffix_tiles")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.noisy_words(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
