@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollspan.llm import bitpack, kneser_ney, license_templates, mixing, mtree, packing, preferences, sentencepieces, simhash, spelling, syncmers, toxicity
+from rollspan.llm import bitpack, kneser_ney, license_templates, mixing, mtree, packing, preferences, resampling, sentencepieces, simhash, spelling, syncmers, toxicity
 from rollspan.llm.frames import prepare, scratch_path, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,12 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.noisy_words(table(spark, sf_dir, "documents")))
 
 
+@query("op13_importance_resampling")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
