@@ -1,7 +1,7 @@
 """Bin fitting, drift, redundancy, outliers and ranking quality over labelled frames.
 
-Features are handled in long form (feature, value) where one plan then serves any number
-of them, and every global ranking goes through :func:`global_prefix`.
+Bin edges and quartiles are exact order statistics found by bracketing, so no values are sorted or shuffled; rankings of
+scores go through :func:`global_prefix`.
 """
 
 from __future__ import annotations
@@ -10,53 +10,60 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollspan.functions.numeric import ratio
 from rollspan.operators.fill import q
+from rollspan.operators.order_statistics import equal_frequency_edges, number, spread
 from rollspan.operators.windows import exact_percentiles, global_prefix
 from rollspan.session import with_scalars
 
 ACCURACY = 100_000
 
 
-def long_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """``keep..., feature, value`` with one row per input row and feature."""
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(q(f)).cast("double").alias("value")) for f in features]))
-    return df.select(*keep, pairs.alias("_p")).select(*keep, "_p.feature", "_p.value")
+def doubles(features: Sequence[str]) -> list[Column]:
+    return [F.col(q(f)).cast("double") for f in features]
+
+
+def _edges(df: DataFrame, features: Sequence[str], n: int, exact: bool = True) -> dict[str, list[float]]:
+    if exact:
+        return dict(zip(features, equal_frequency_edges(df, doubles(features), n)))
+    ps = [i / n for i in range(1, n)]
+    sketches = spread(df, doubles(features)).groupBy("i").agg(F.array_distinct(F.percentile_approx("x", ps, ACCURACY)).alias("edges")).collect()
+    found = {r.i: list(r.edges) for r in sketches}
+    return {f: found.get(i, []) for i, f in enumerate(features)}
 
 
 def quantile_edges(df: DataFrame, features: Sequence[str], n: int, exact: bool = True) -> DataFrame:
     """``feature, edges``: distinct inner edges of ``n`` equal-frequency bins, each the smallest
     value with its share of the non-NULL rows at or below it.
 
-    Exact: values are reduced to counts and all features ranked in one global order.
-    ``exact=False`` takes the edges from a quantile sketch per feature instead (bounded size,
-    mergeable map-side; edges can be off once a feature has more distinct values than ``ACCURACY``).
+    Exact edges come from :func:`order_statistics`. ``exact=False`` takes them from a quantile sketch per feature
+    in one pass (edges can be off once a feature has more distinct values than ``ACCURACY``). Both are actions.
+    """
+    edges = _edges(df, features, n, exact)
+    return df.sparkSession.createDataFrame([(f, edges[f]) for f in features], "feature string, edges array<double>")
+
+
+def _cells(df: DataFrame, edges: dict[str, list[float]], aggregates: Sequence[Column], keep: Sequence[str] = ()) -> DataFrame:
+    """``feature, bin`` and ``aggregates`` of the rows in each bin: 0 for NULL, else 1 + edges below the value (right-closed).
+
+    Values are binned column by column; what is spread over features and combined in the tasks are bin numbers.
     """
-    if not exact:
-        ps = [i / n for i in range(1, n)]
-        row = df.agg(*[F.array_distinct(F.percentile_approx(F.col(q(f)).cast("double"), ps, ACCURACY)).alias(f) for f in features])
-        pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(q(f)).alias("edges")) for f in features]))
-        return row.select(pairs.alias("_p")).select("_p.feature", "_p.edges")
-    # the NULL of a feature counts 0 rows, so a feature of NULLs only has no edges but is kept
-    counts = long_features(df, features).groupBy("feature", "value").agg(F.count("value").alias("_n"))
-    ranked = global_prefix(counts, ["feature", "value"], ["_n"])
-    # one row per feature
-    ends = ranked.groupBy("feature").agg(F.sum("_n").alias("_total"), F.max("cum__n").alias("_end"))
-    at = F.col("cum__n") - F.col("_end") + F.col("_total")
-    cuts = [F.min(F.when(at * n >= F.col("_total") * i, F.col("value"))) for i in range(1, n)]
-    return ranked.join(F.broadcast(ends), "feature").groupBy("feature").agg(F.array_distinct(F.array_compact(F.array(*cuts))).alias("edges"))
-
-
-def binned(df: DataFrame, edges: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Long form with a bin number: 0 for NULL, else 1 + edges below the value (right-closed)."""
-    rows = long_features(df, features, keep)
-    # features x bins rows, folded to one row per feature
-    with_edges = rows.join(F.broadcast(edges), "feature")
-    number = F.when(F.col("value").isNull(), 0).otherwise(F.size(F.filter("edges", lambda e: e < F.col("value"))) + 1)
-    return with_edges.withColumn("bin", number)
+    pairs = []
+    for f, cuts in edges.items():
+        x = f"CAST({q(f)} AS DOUBLE)"
+        number_of = " + ".join(["1", *[f"CAST({x} > {number(e)} AS INT)" for e in cuts]])
+        pairs.append(F.struct(F.lit(f).alias("feature"), F.expr(f"CASE WHEN {x} IS NULL THEN 0 ELSE {number_of} END").alias("bin")))
+    rows = df.select(*keep, F.explode(F.array(*pairs)).alias("_p")).select(*keep, "_p.feature", "_p.bin")
+    return rows.groupBy("feature", "bin").agg(*aggregates)
+
+
+def _edge(edges: dict[str, list[float]], below: int) -> Column:
+    """Edge under (``below`` 2) or over (``below`` 1) a bin, NULL where it has none. Features x bins values."""
+    cases = " ".join(f"WHEN feature = '{f.replace(chr(39), chr(39) * 2)}' THEN try_element_at(array({', '.join(map(number, cuts))}), nullif(greatest(bin + 1 - {below}, 0), 0))"
+                     for f, cuts in edges.items() if cuts)
+    return F.expr(f"CASE {cases} END") if cases else F.lit(None).cast("double")
 
 
 def fit_bins(df: DataFrame, features: Sequence[str], label: str, n: int = 10, eps: float = 0.5,
@@ -65,9 +72,8 @@ def fit_bins(df: DataFrame, features: Sequence[str], label: str, n: int = 10, ep
 
     WoE is ln(share of non-events / share of events); empty cells count as ``eps``. ``exact`` is that of :func:`quantile_edges`.
     """
-    edges = quantile_edges(df, features, n, exact)
-    cells = (binned(df, edges, features, [label]).groupBy("feature", "bin", "edges")
-             .agg(F.sum(F.col(label).cast("long")).alias("events"), F.count(F.col(label)).alias("_n")))
+    edges = _edges(df, features, n, exact)
+    cells = _cells(df, edges, [F.sum(F.col(q(label)).cast("long")).alias("events"), F.count(F.col(q(label))).alias("_n")], [label])
     cells = cells.withColumn("non_events", F.col("_n") - F.col("events"))
     w = Window.partitionBy("feature")  # features x bins rows
     e = F.when(F.col("events") == 0, eps).otherwise(F.col("events").cast("double")) / F.sum("events").over(w)
@@ -75,8 +81,7 @@ def fit_bins(df: DataFrame, features: Sequence[str], label: str, n: int = 10, ep
     woe = F.ln(g / e)
     return cells.select(
         "feature", "bin",
-        F.try_element_at("edges", F.when(F.col("bin") > 1, F.col("bin") - 1)).alias("lo"),
-        F.try_element_at("edges", F.when(F.col("bin") > 0, F.col("bin"))).alias("hi"),
+        F.when(F.col("bin") > 0, _edge(edges, 2)).alias("lo"), F.when(F.col("bin") > 0, _edge(edges, 1)).alias("hi"),
         "events", "non_events", woe.alias("woe"), ((g - e) * woe).alias("iv"))
 
 
@@ -141,11 +146,10 @@ def psi(ref: DataFrame, cur: DataFrame, features: Sequence[str], bins: int = 10,
 
     Shares are over the non-NULL rows of each side and smoothed by ``eps``. ``exact`` is that of :func:`quantile_edges`.
     """
-    edges = quantile_edges(ref, features, bins, exact)
+    edges = _edges(ref, features, bins, exact)
 
     def counted(df, name):
-        rows = binned(df, edges, features).where(F.col("bin") > 0)
-        return rows.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias(name))
+        return _cells(df, edges, [F.count(F.lit(1)).alias(name)]).where(F.col("bin") > 0)
     cells = counted(ref, "ref_n").join(counted(cur, "cur_n"), ["feature", "bin"], "full_outer").fillna(0)
     w = Window.partitionBy("feature")  # features x bins rows
     a = ratio("ref_n", F.sum("ref_n").over(w)) + eps

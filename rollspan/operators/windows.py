@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rollspan.operators.order_statistics import percentiles
 from rollspan.session import cut_lineage, with_scalars
 
 
@@ -114,22 +115,7 @@ def population_ntile(df: DataFrame, value: str, tie: str, n: int = 100, name: st
 
 
 def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
-    """One row of exact linearly interpolated percentiles at any scale.
-
-    Equal values are reduced to counts first; the two order statistics each percentile
-    needs are then found by running counts over the distinct values.
-    """
+    """One row of exact linearly interpolated percentiles at any scale (see :func:`order_statistics`; an action)."""
     names = list(names or [f"p{int(p * 100)}" for p in ps])
-    counts = (df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v"))
-                .agg(F.count(F.lit(1)).alias("_n")))
-    ranked = global_prefix(counts, ["_v"], ["_n"], rank="_rn")
-    whole = ranked.agg(F.sum("_n").alias("_total"))
-    rows = with_scalars(ranked, whole)
-    aggs = []
-    for p, name in zip(ps, names):
-        at = (F.col("_total") - 1) * F.lit(float(p))
-        lo = F.min(F.when(F.col("cum__n") > F.floor(at), F.col("_v")))
-        hi = F.min(F.when(F.col("cum__n") > F.ceil(at), F.col("_v")))
-        frac = F.max(at - F.floor(at))
-        aggs.append((lo + (hi - lo) * frac).alias(name))
-    return rows.agg(*aggs)
+    found = percentiles(df, [F.col(value)], ps)[0]
+    return df.sparkSession.createDataFrame([tuple(found)], ", ".join(f"`{n}` double" for n in names))
