@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rollspan.catalog.registry import R, query, role_sql
-from rollspan.operators import selection as se
+from rollspan.operators import selection as se, validation as va
 
 FEATURES = ["n_chars", "n_text", "noise", "gappy"]
 _L = role_sql("labelled")
@@ -107,12 +107,12 @@ def _(t):
     return se.outliers(spiky(t), "v", "mad")
 
 
-def gini_sql(by: str) -> str:
+def gini_sql(by: str, rows: str = "r", shown=R) -> str:
     g = f"{by}, " if by else ""
     p = f"PARTITION BY {by}" if by else ""
-    return f"""SELECT {g}CAST(p AS BIGINT) AS positives, CAST(n AS BIGINT) AS negatives, {R('2 * (s - p * (p + 1) / 2) / nullif(p * n, 0) - 1', 'gini')} FROM (
+    return f"""SELECT {g}CAST(p AS BIGINT) AS positives, CAST(n AS BIGINT) AS negatives, {shown('2 * (s - p * (p + 1) / 2) / nullif(p * n, 0) - 1', 'gini')} FROM (
       SELECT {g}sum(y) AS p, count(*) - sum(y) AS n, sum(CASE WHEN y = 1 THEN rk ELSE 0 END) AS s FROM (
-        SELECT *, rank() OVER ({p} ORDER BY x) + (count(*) OVER ({p}{', ' if by else 'PARTITION BY '}x) - 1) / 2 AS rk FROM r) {f'GROUP BY {by}' if by else ''})"""
+        SELECT *, rank() OVER ({p} ORDER BY x) + (count(*) OVER ({p}{', ' if by else 'PARTITION BY '}x) - 1) / 2 AS rk FROM {rows}) {f'GROUP BY {by}' if by else ''})"""
 
 
 @query("gini", f"WITH r AS (SELECT y, n_chars % 50 AS x FROM ({_L})) {gini_sql('')}")
@@ -140,6 +140,31 @@ def _(t):
     return se.time_folds(rows, "d", 3).groupBy("fold", "part").agg(F.count("*").alias("n"))
 
 
+_FOLD_ROWS = """SELECT CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y, o_totalprice / 100000 AS a,
+    CAST(CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_custkey % 17 END AS DOUBLE) AS b FROM orders"""
+#: weights of least squares with two features, from variances and covariances
+_FOLD_SQL = f"""WITH r AS (SELECT d, y, a, coalesce(b, 0) AS b FROM ({_FOLD_ROWS})),
+    n AS (SELECT d, count(*) AS n FROM r GROUP BY 1),
+    c AS (SELECT d, least(CAST(floor((sum(n) OVER (ORDER BY d) - n / 2) * 4 / (SELECT sum(n) FROM n)) AS INT), 3) AS block FROM n),
+    f AS (SELECT CAST(k AS INT) AS fold, CASE WHEN block = k THEN 'test' ELSE 'train' END AS part, r.* FROM c JOIN r USING (d), (VALUES (1), (2), (3)) t(k) WHERE k >= block),
+    s AS (SELECT fold, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS yb FROM f WHERE part = 'train' GROUP BY 1),
+    w AS (SELECT *, (ay * bb - yb * ab) / (aa * bb - ab * ab) AS wa, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM s),
+    p AS (SELECT fold, part, y, round(my - wa * ma - wb * mb + wa * a + wb * b, 9) AS x FROM f JOIN w USING (fold)),
+    g AS ({{gini}})
+    SELECT fold, max(n) FILTER (part = 'train') AS train_rows, max(n) FILTER (part = 'test') AS test_rows, {R("max(gini) FILTER (part = 'train')", 'train_gini')}, {R("max(gini) FILTER (part = 'test')", 'test_gini')},
+      {R('any_value(my - wa * ma - wb * mb)', 'intercept')}, {R('any_value(wa)', 'weight_a')}, {R('any_value(wb)', 'weight_b')}
+    FROM (SELECT fold, part, positives + negatives AS n, gini FROM g) JOIN w USING (fold) GROUP BY fold"""
+
+
+@query("time_series_validation", lambda: _FOLD_SQL.format(gini=gini_sql("fold, part", "p", "{} AS {}".format)))
+def _(t):
+    rows = t.orders.select(F.to_date("o_orderdate").alias("d"), F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("y"),
+                           (F.col("o_totalprice") / 100000).alias("a"), F.when(F.col("o_orderkey") % 11 != 0, F.col("o_custkey") % 17).alias("b"))
+    fitted = va.validate(rows, "d", ["a", "b"], "y", 3, digits=9)
+    weights = [F.col("coefficients")[i].alias(n) for i, n in enumerate(["intercept", "weight_a", "weight_b"])]
+    return fitted.select("fold", "train_rows", "test_rows", "train_gini", "test_gini", *weights)
+
+
 @query("importance_selection")
 def _(t):
     return se.select_important(se.importance(t.labelled, FEATURES, "toxic"), top_k=3)

@@ -271,19 +271,10 @@ def time_split(df: DataFrame, date_col: str, cut, key: str, train: int = 80, nam
 
 def time_folds(df: DataFrame, date_col: str, folds: int = 5) -> DataFrame:
     """Expanding-window folds: ``fold, part, rows...``; fold k trains on the first k of
-    ``folds + 1`` equal-count time blocks and tests on block k + 1.
-
-    Blocks cut at dates (rows of one date stay together), found from per-date counts.
-    """
-    per_day = df.groupBy(F.col(date_col).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)  # one row per date
-    total = per_day.agg(F.sum("_n").alias("_total"))
-    # block of the middle of the date's own rows
-    block = F.floor((F.sum("_n").over(w) - F.col("_n") / 2) * (folds + 1) / F.col("_total")).cast("int")
-    days = with_scalars(per_day, total).select("_d", F.least(block, F.lit(folds)).alias("_block"))
-    rows = df.join(days, F.col(date_col) == F.col("_d")).drop("_d")
+    ``folds + 1`` equal-count time blocks and tests on block k + 1 (see :func:`validation.time_blocks`)."""
+    from rollspan.operators.validation import time_blocks
     fold = F.explode(F.sequence(F.greatest(F.col("_block"), F.lit(1)), F.lit(folds)))
-    return (rows.withColumn("fold", fold)
+    return (time_blocks(df, date_col, folds, "_block").withColumn("fold", fold)
             .withColumn("part", F.when(F.col("_block") == F.col("fold"), "test").otherwise("train"))
             .drop("_block"))
 
