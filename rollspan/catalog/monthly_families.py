@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from rollspan.catalog.registry import I, R, query, role_sql
 from rollspan.catalog.roles import HISTORY_D, MONTH_D
 from rollspan.catalog.sqlgen import Windowed
@@ -10,6 +12,7 @@ from rollspan.functions.fixed_values import (
     BALANCE_BANDS, CONTINENT, FEE_GROUPS, FINANCE_SENDERS, SERVICE_CLASS,
 )
 from rollspan.plans import merge, monthly, snapshots, weekly
+from rollspan.session import shared_folder
 
 # --- location, device ------------------------------------------------------------------------------
 
@@ -407,8 +410,56 @@ SELECT msisdn, {R('a', 'air_refill_sum_l12w')}, n AS air_balance_update_count_l2
 FROM air FULL OUTER JOIN loc USING (msisdn) FULL OUTER JOIN udv USING (msisdn) FULL OUTER JOIN (SELECT msisdn, sub_activated_flag FROM sub) USING (msisdn)"""
 
 
+def merge_tables(t):
+    return {"air": weekly.AIR.features(t.back(HISTORY_D).recharge, HISTORY_D), "location": snapshots.location(t.back(HISTORY_D).ping, HISTORY_D),
+            "udv": weekly.UDV.features(t.back(HISTORY_D).credit, HISTORY_D), "sub": snapshots.sub(t.back(HISTORY_D).balance, HISTORY_D)}
+
+
 @query("family_merge", lambda: MERGE_SQL.format(sub=_sub_sql()))
 def _(t):
-    tables = {"air": weekly.AIR.features(t.back(HISTORY_D).recharge, HISTORY_D), "location": snapshots.location(t.back(HISTORY_D).ping, HISTORY_D),
-              "udv": weekly.UDV.features(t.back(HISTORY_D).credit, HISTORY_D), "sub": snapshots.sub(t.back(HISTORY_D).balance, HISTORY_D)}
-    return merge.model_table(tables, MERGE_FEATURES)
+    return merge.model_table(merge_tables(t), MERGE_FEATURES).frame
+
+
+MODEL_FEATURES = MERGE_FEATURES | {
+    "device": {"num": ["device_age", "device_has_nanosim", "device_has_mobile_internet"], "cat": ["device_os_family", "device_ram_category"]}}
+
+
+def model_tables(t):
+    device = snapshots.device(t.catalogue, HISTORY_D, absent="skip")
+    return merge_tables(t) | {"device": merge.with_device(snapshots.tac_mapping(t.back(HISTORY_D).usage, HISTORY_D), device)}
+
+
+def _model_sql():
+    device = DEVICE_SQL.format(order=", ".join(f"{c} DESC NULLS LAST" for c in _DEVICE_ORDER))
+    return f"""WITH m AS ({MERGE_SQL.format(sub=_sub_sql())}), tac AS ({TAC_SQL}), dev AS ({device})
+        SELECT * FROM m FULL OUTER JOIN (SELECT msisdn, device_age, device_has_nanosim, device_has_mobile_internet, device_os_family, device_ram_category
+        FROM tac LEFT JOIN dev USING (tac)) USING (msisdn) WHERE msisdn IS NOT NULL"""
+
+
+@query("family_model_table", lambda: f"""SELECT msisdn, coalesce(air_refill_sum_l12w, 0.0) AS air_refill_sum_l12w, coalesce(air_balance_update_count_l24w, 0) AS air_balance_update_count_l24w,
+    coalesce(location_entropy_l4w, 0.0) AS location_entropy_l4w, location_top1_province_l4w, coalesce(udv_amount_avg_l24w, 0.0) AS udv_amount_avg_l24w,
+    coalesce(device_age, 0) AS device_age, coalesce(device_has_nanosim, 0) AS device_has_nanosim, coalesce(device_has_mobile_internet, 0) AS device_has_mobile_internet,
+    device_os_family, device_ram_category FROM ({_model_sql()}) WHERE sub_activated_flag = 1""")
+def _(t):
+    merged = merge.filled_merge(model_tables(t), MODEL_FEATURES)
+    return merge.active_only(merged.frame)
+
+
+@query("merge_guards", lambda: f"""WITH m AS ({_model_sql()}), n AS (SELECT count(*) AS rows, count(DISTINCT msisdn) AS keys FROM m)
+    SELECT CAST(step AS INT) AS step, "table", rows, matched, rows = keys AS ok FROM n, (
+      SELECT 1 AS step, 'air' AS "table", count(air_balance_update_count_l24w) AS matched FROM m UNION ALL SELECT 2, 'location', count(location_entropy_l4w) FROM m
+      UNION ALL SELECT 3, 'udv', count(udv_amount_avg_l24w) FROM m UNION ALL SELECT 4, 'sub', (SELECT count(*) FROM ({_sub_sql()})) FROM n
+      UNION ALL SELECT 5, 'device', (SELECT count(*) FROM ({TAC_SQL})) FROM n)""")
+def _(t):
+    """The model table is written; its guards come from the same job."""
+    merged = merge.filled_merge(model_tables(t), MODEL_FEATURES)
+    merged.frame.write.parquet(f"{shared_folder(t.spark)}/model-table-{uuid.uuid4().hex}")
+    return merged.report()
+
+
+@query("family_merge_stored", lambda: MERGE_SQL.format(sub=_sub_sql()))
+def _(t):
+    """The same merge from snapshots that were stored by subscriber."""
+    run = uuid.uuid4().hex
+    stored = merge.store_features(merge_tables(t), MERGE_FEATURES, f"{shared_folder(t.spark)}/snapshots-{run}", f"snapshot_{run}", 8)
+    return merge.model_table(stored, MERGE_FEATURES, only_valid=False).frame

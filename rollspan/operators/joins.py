@@ -4,7 +4,7 @@ splits skewed sort-merge partitions otherwise."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, functions as F
@@ -45,10 +45,14 @@ def exclude(df: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(done, list(keys), "left_anti")
 
 
-def spine(dfs: Sequence[DataFrame], key: str) -> DataFrame:
-    """Distinct non-NULL keys over all tables."""
-    ids = reduce(DataFrame.unionAll, [d.select(key) for d in dfs])
-    return ids.where(F.col(key).isNotNull()).distinct()
+def spine(dfs: Sequence[DataFrame], key: "str | Sequence[str]") -> DataFrame:
+    """Distinct keys over all tables, without those that hold a NULL.
+
+    Each table's keys are made distinct first, which reduces raw tables map-side and moves nothing of tables that are stored by key.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return reduce(DataFrame.unionAll, [d.select(*keys).where(present).distinct() for d in dfs]).distinct()
 
 
 def spine_join(dfs: Sequence[DataFrame], key: str, fill: float | int | None = None) -> DataFrame:
@@ -88,6 +92,55 @@ class MergeGuard(RuntimeError):
     """A guarded merge lost, gained or duplicated rows."""
 
 
+class GuardedMerge:
+    """A merge whose row counts are observed while it runs.
+
+    ``frame`` is the merged table. Its first action also fills the counts of every step, at no extra pass; :meth:`report`
+    and :meth:`check` wait for that action.
+    """
+
+    def __init__(self, frame: DataFrame, keys: Observation, steps: Sequence[tuple[str, Observation]]):
+        self.frame, self._keys, self._steps = frame, keys, list(steps)
+
+    def report(self) -> DataFrame:
+        """``step, table, rows, matched, ok``: rows after each join, and how many of them have a row of that table."""
+        n = self._keys.get["rows"]
+        rows = []
+        for i, (name, seen) in enumerate(self._steps):
+            got = seen.get
+            rows.append((i + 1, name, got["rows"], got["matched"], got["rows"] == n))
+        return self.frame.sparkSession.createDataFrame(rows, "step int, table string, rows long, matched long, ok boolean")
+
+    def check(self) -> None:
+        """Raise :class:`MergeGuard` at the first step after which rows and distinct keys differ."""
+        n = self._keys.get["rows"]
+        for name, seen in self._steps:
+            if seen.get["rows"] != n:
+                raise MergeGuard(f"{seen.get['rows']} rows for {n} keys after the merge of {name!r}: a key is repeated there")
+
+
+def guarded_outer_merge(tables: Mapping[str, DataFrame], keys: Sequence[str], ids: DataFrame | None = None) -> GuardedMerge:
+    """Every table on the spine of all keys, with guards after each join.
+
+    The spine holds each key once, so a left join may not change the number of rows: it does exactly if the table repeats a key.
+    Unlike a chain of full outer joins, left joins keep the partitioning of the spine, so the growing table is never shuffled again,
+    and rows of tables stored by key (:func:`store_by_key`) are not shuffled at all. ``ids`` is a spine stored before; without it, the distinct keys are shuffled.
+    """
+    keys = list(keys)
+    names = [c for t in tables.values() for c in t.columns if c not in keys]
+    if len(set(names)) != len(names):
+        raise MergeGuard(f"columns of several tables: {sorted({c for c in names if names.count(c) > 1})}")
+    start = Observation()
+    out = (spine(list(tables.values()), keys) if ids is None else ids.select(*keys)).observe(start, F.count(F.lit(1)).alias("rows"))
+    steps = []
+    for name, table in tables.items():
+        seen = Observation()
+        out = out.join(table.withColumn("_matched", F.lit(True)), keys, "left")
+        out = out.observe(seen, F.count(F.lit(1)).alias("rows"), F.count("_matched").alias("matched")).drop("_matched")
+        steps.append((name, seen))
+    return GuardedMerge(out, start, steps)
+
+
 def guarded_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
                  mode: str = "flag") -> DataFrame:
     """Join that must neither lose nor multiply rows.
@@ -130,9 +183,3 @@ def merge_report(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
     elif how == "left":
         same = same & (F.col("merged_rows") == F.col("left_rows"))
     return rep.withColumn("ok", same)
-
-
-def observed_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Attach a row counter that is filled while the frame is written, costing no extra pass."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

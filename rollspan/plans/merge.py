@@ -8,21 +8,25 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollspan.functions.text import valid_id
 from rollspan.operators.fill import fill, project
-from rollspan.operators.joins import enrich, guarded_join, outer_merge, spine
+from rollspan.operators.joins import GuardedMerge, enrich, guarded_outer_merge
+from rollspan.sources.tables import store_by_key
+
+
+def picked(tables: Mapping[str, DataFrame], features: Mapping[str, Mapping[str, Sequence[str]]], key: str = "msisdn",
+           only_valid: bool = True) -> dict[str, DataFrame]:
+    """The features of each table that the dictionary names, for valid subscribers only unless told otherwise."""
+    out = {name: project(tables[name], wanted, [key]) for name, wanted in features.items()}
+    return {name: df.where(valid_id(key)) for name, df in out.items()} if only_valid else out
 
 
 def model_table(tables: Mapping[str, DataFrame], features: Mapping[str, Mapping[str, Sequence[str]]],
-                key: str = "msisdn", only_valid: bool = True) -> DataFrame:
-    """Selected features of every table, outer-merged on the subscriber.
+                key: str = "msisdn", only_valid: bool = True, ids: DataFrame | None = None) -> GuardedMerge:
+    """Selected features of every table, merged on the subscriber with row guards.
 
     Projection and id filter sit below the joins, so the scans read only what the
     dictionary names.
     """
-    picked = []
-    for name, wanted in features.items():
-        df = project(tables[name], wanted, [key])
-        picked.append(df.where(valid_id(key)) if only_valid else df)
-    return outer_merge(picked, [key])
+    return guarded_outer_merge(picked(tables, features, key, only_valid), [key], ids)
 
 
 def with_device(tac_of: DataFrame, device: DataFrame) -> DataFrame:
@@ -30,16 +34,20 @@ def with_device(tac_of: DataFrame, device: DataFrame) -> DataFrame:
     return enrich(tac_of, device, ["tac"]).drop("tac")
 
 
-def filled_merge(tables: Sequence[DataFrame], key: str = "msisdn", strategy: str = "items") -> DataFrame:
-    """Every table on the spine of all keys, filled, then merged with row guards: on a
-    common spine no join may lose or add a row."""
-    ids = spine(tables, key)
-    filled = [fill(ids.join(t.where(F.col(key).isNotNull()), key, "left"), strategy) for t in tables]
-    out = filled[0]
-    for nxt in filled[1:]:
-        out = guarded_join(out, nxt, [key], "inner")
-    return out
+def filled_merge(tables: Mapping[str, DataFrame], features: Mapping[str, Mapping[str, Sequence[str]]], key: str = "msisdn",
+                 strategy: str = "items", only_valid: bool = True, ids: DataFrame | None = None) -> GuardedMerge:
+    """:func:`model_table` with the gaps filled, as scoring reads it."""
+    merged = model_table(tables, features, key, only_valid, ids)
+    merged.frame = fill(merged.frame, strategy)
+    return merged
 
 
 def active_only(df: DataFrame, flag: str = "sub_activated_flag") -> DataFrame:
     return df.where(F.col(flag) == 1).drop(flag)
+
+
+def store_features(tables: Mapping[str, DataFrame], features: Mapping[str, Mapping[str, Sequence[str]]], folder: str, prefix: str,
+                   buckets: int, key: str = "msisdn") -> dict[str, DataFrame]:
+    """Store the snapshot of each table by subscriber, once; merges of any choice of them read it without a shuffle."""
+    return {name: store_by_key(df, f"{prefix}_{name}", f"{folder}/{name}", [key], buckets)
+            for name, df in picked(tables, features, key).items()}

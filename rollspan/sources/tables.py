@@ -66,6 +66,16 @@ def write_partition(df: DataFrame, path: str, by: Sequence[str] = ("date",), mod
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
 
 
+def store_by_key(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Store ``df`` as table ``name`` in ``path``, one sorted file per bucket of the keys; the stored table.
+
+    Tables stored with the same keys and number of buckets join and aggregate by these keys without a shuffle.
+    """
+    placed = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    placed.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
