@@ -3,7 +3,8 @@
 Both vocabularies split a text before they merge, and never merge across a place where a
 new word begins. A text may therefore be cut at those places, the pieces encoded one by
 one, and the ids put together. Words repeat, so a worker keeps the ids of the pieces that it has
-seen. ``tests/llm/test_tokens.py`` compares the ids with those of undivided texts.
+seen. A text that names a special token, which the library takes for that token, is encoded undivided. ``tests/llm/test_operators.py``
+compares the ids with those of undivided texts.
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ from itertools import islice
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 
-from rollspan.llm.frames import slices
+from rollspan.llm.frames import held, slices
 
 #: White space beyond blanks, tabs and line ends; a text with any of it is encoded undivided.
 RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -25,8 +27,13 @@ LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 LEADING_BLANK = re.compile(
     rf" ?[{LETTERS}]+(?=[.,])| ?[^ \t\n\r]+|\n(?=[^ \t\n\r])|[ \t\n\r]+?(?= [^ \t\n\r]|\n[^ \t\n\r])"
     r"|[ \t\n\r]+[^ \t\n\r]+|[ \t\n\r]+")
-#: White space is dropped by the vocabulary, so only the words between count.
-NO_BLANK = re.compile(rf"[{LETTERS}]+(?=[.,])|[^ \t\n\r]+")
+#: Bytes in lower case (the vocabulary without blanks lower-cases), and their kinds.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A"):ord("Z") + 1] += 32
+BLANK, LETTER, DIGIT, OTHER, APOSTROPHE, HIGH = range(6)
+KIND = np.full(256, OTHER, np.uint8)
+KIND[list(b" \t\n\r")], KIND[ord("'")], KIND[0x80:] = BLANK, APOSTROPHE, HIGH
+KIND[ord("a"):ord("z") + 1], KIND[ord("0"):ord("9") + 1] = LETTER, DIGIT
 #: Pieces kept by a worker, and characters encoded at a time.
 KEEP, AT_ONCE = 500_000, 1_000_000
 
@@ -39,6 +46,31 @@ class _Index(dict):
         return n
 
 
+def words_between(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """Pieces between white space, in lower case as far as ASCII, one after another; pieces of each text.
+
+    The vocabulary takes runs of letters, single digits and runs of other characters as words, but an apostrophe with some letters after it, too.
+    So a piece ends after letters and digits before any other ASCII character, and after other ASCII characters but the apostrophe before a letter or
+    digit. Texts are cut as bytes, all at a time.
+    """
+    data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)  # each text ends in white space
+    ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+    data = LOWER[data]
+    kind = KIND[data]
+    # both bytes of the letters U+00C0 to U+00FF
+    after = data[1:]
+    pair = (data[:-1] == 0xC3) & (after >= 0x80) & (after <= 0xBF) & (after != 0x97) & (after != 0xB7)
+    kind[:-1][pair] = kind[1:][pair] = LETTER
+    before = np.append(np.uint8(BLANK), kind[:-1])[:len(data)]
+    begins = (before == BLANK) | (before == DIGIT) & (kind < HIGH) | (before == LETTER) & (kind != LETTER) & (kind < HIGH) | (before == OTHER) & (kind <= DIGIT)
+    inside = kind != BLANK
+    start = np.flatnonzero(begins & inside)
+    counts = np.diff(np.searchsorted(start, ends), prepend=0)
+    # without the white space between, each piece ends where the next begins
+    offsets = np.append((np.cumsum(inside) - 1)[start], np.count_nonzero(inside)).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data[inside])), counts
+
+
 class PieceEncoder:
     """Encodes lists of texts; ``keeps_blanks`` says whether white space takes ids."""
 
@@ -47,9 +79,9 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.pieces = LEADING_BLANK if keeps_blanks else NO_BLANK
-        self.keep = keep
+        names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.undivided = re.compile("|".join([RARE_SPACE.pattern, *map(re.escape, names)]))
+        self.keeps_blanks, self.keep = keeps_blanks, keep
         self._forget()
 
     def _forget(self) -> None:
@@ -76,21 +108,34 @@ class PieceEncoder:
         self.used += len(ids)
         self.known = total
 
+    def _numbered(self, pieces: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+
+    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pieces of all texts one after another; pieces of each text."""
+        if self.keeps_blanks:
+            found = [[t] if self.undivided.search(t) else LEADING_BLANK.findall(t) for t in texts]
+            return self._numbered([p for f in found for p in f]), np.array(list(map(len, found)), np.int64)
+        whole = np.array([bool(self.undivided.search(t)) for t in texts], bool)
+        words, n = words_between([t.encode() for t, w in zip(texts, whole) if not w])
+        coded = words.dictionary_encode()  # each distinct word is looked up once
+        counts = np.ones(len(texts), np.int64)
+        counts[~whole] = n
+        at, own = np.empty(counts.sum(), np.int64), np.repeat(whole, counts)
+        at[~own] = self._numbered(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        at[own] = self._numbered([t for t, w in zip(texts, whole) if w])
+        return at, counts
+
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        flat, counts = [], []
-        for t in texts:
-            p = [t] if RARE_SPACE.search(t) else self.pieces.findall(t)
-            counts.append(len(p))
-            flat += p
         if len(self.index) > self.keep:
             self._forget()
-        at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
+        at, counts = self._pieces(texts)
         if len(self.index) > self.known:
             self._learn()
         n = self.length[at]
         ends = np.concatenate([[0], np.cumsum(n)])
         ids = self.pool[np.repeat(self.start[at] - ends[:-1], n) + np.arange(ends[-1])]
-        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])])
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
 
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, each text's followed by ``end``; ids of each text."""
@@ -106,14 +151,9 @@ class PieceEncoder:
         return self.tokenizer.get_vocab_size()
 
 
-_ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
-
-
 def encoder(path: str, keeps_blanks: bool) -> PieceEncoder:
     """The worker's encoder for a vocabulary; it outlives a task."""
-    if (path, keeps_blanks) not in _ENCODERS:
-        _ENCODERS[path, keeps_blanks] = PieceEncoder(path, keeps_blanks)
-    return _ENCODERS[path, keeps_blanks]
+    return held((path, keeps_blanks), lambda: PieceEncoder(path, keeps_blanks))
 
 
 def ids_crc(ids: np.ndarray) -> int:

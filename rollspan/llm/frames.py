@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from rollspan.session import shared_folder, ship_package
+from rollspan.session import cut_lineage, shared_folder, ship_package
 
 #: Bounds of one Arrow batch, so that very long texts don't add up in a Python worker.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
@@ -40,6 +41,38 @@ def in_written_order(stored: DataFrame, columns: list[str]) -> DataFrame:
     return placed.orderBy("_part", "_file", "_row_index").select(*columns)
 
 
+def with_row_ids(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number for each row in column ``name``, the same in every scan.
+
+    Rows of stored files are known by their file and place in it, whatever splits a scan makes of the files; file numbers come from one row
+    per file. Other tables are numbered once and materialised.
+    """
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias(f"{name}_file"), F.col("_metadata.row_index").alias(f"{name}_row"))
+    except AnalysisException:
+        return cut_lineage(docs.withColumn(name, F.monotonically_increasing_id()))
+    files = placed.select(f"{name}_file").distinct()
+    numbers = cut_lineage(files.withColumn(f"{name}_number", F.row_number().over(Window.orderBy(f"{name}_file")).cast("long")))
+    row = F.shiftleft(F.col(f"{name}_number"), 38).bitwiseOR(F.col(f"{name}_row"))
+    return placed.join(F.broadcast(numbers), f"{name}_file").select(*[placed[c] for c in docs.columns], row.alias(name))
+
+
+_HELD: dict = {}
+
+
+def held(key, make: Callable):
+    """What a worker keeps between tasks: the object made last, and no other."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Drop what a worker keeps; called where a task needs memory for its own groups."""
+    _HELD.clear()
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes; a null text is empty."""
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rollspan.llm.frames import slices
+from rollspan.llm.frames import held, slices
 
 #: The vocabulary's mark of a word border.
 BORDER = "▁"
@@ -255,14 +255,9 @@ class PieceCodec:
         return out
 
 
-_CODECS: dict[str, PieceCodec] = {}
-
-
 def codec(path: str) -> PieceCodec:
     """The worker's codec for a model file; it outlives a task."""
-    if path not in _CODECS:
-        _CODECS[path] = PieceCodec(path)
-    return _CODECS[path]
+    return held(("pieces", path), lambda: PieceCodec(path))
 
 
 def _coded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
