@@ -127,6 +127,16 @@ def _(t):
     return snapshots.prepaid_danhba(t.prepaid, t.directory, HISTORY_D)
 
 
+@query("family_prepaid_danhba_state", DEMOGRAPHIC_SQL)
+def _(t):
+    """The same from stored states: one step over the history, then steps that read the last state and the days since."""
+    folder, newest = f"{shared_folder(t.spark)}/registries-{uuid.uuid4().hex}", []
+    for role, key, changed in (("prepaid", "msisdn", "modifydate"), ("directory", "somay", "ngay_cn")):
+        state, rows = snapshots.registry_state(t.spark, f"{folder}/{role}", key), snapshots.change_rows(t.role(role), changed)
+        newest.append([state.advance(rows, upto) for upto in ("20010716", "20010723", HISTORY_D)][-1])
+    return snapshots.demographics(*newest)
+
+
 # --- balances -----------------------------------------------------------------------------------------
 
 def _sub_sql():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollspan.functions.calendar import as_date, month_steps, safe_ts, shift_months, snapshot_windows, ymd, years_since
 from rollspan.functions.fixed_values import (
@@ -17,6 +17,7 @@ from rollspan.functions.text import any_of, first_match, like_rules, map_ids, mu
 from rollspan.operators.aggregates import Measure, distinct_stats, sliced_stats
 from rollspan.operators.joins import enrich, outer_merge
 from rollspan.operators.rollups import WEEKS, lookback, month_steps_rollup, trend_ratios, window_stats
+from rollspan.operators.state import NewestState
 from rollspan.operators.windows import latest_per_key, top1_by_count
 from rollspan.sources.tables import latest_per_period, latest_snapshot
 
@@ -142,15 +143,23 @@ def gender_code(c: Column | str) -> Column:
     return first_match([(v.isin(names), code) for code, names in GENDER.items()], 2)
 
 
+def change_rows(df: DataFrame, changed: str) -> DataFrame:
+    """Rows with a change stamp, and when that was (``_at``); unparsable stamps sort as the 1980 sentinel."""
+    return df.where(F.col(changed).isNotNull()).withColumn("_at", safe_ts(changed, [CHANGE_STAMP], NO_CHANGE))
+
+
 def newest_change(df: DataFrame, key: str, changed: str, snapshot: str) -> DataFrame:
     """One row per key: newest file that has a change stamp, then the newest stamp in it.
 
     The file date test (``max`` over rows with a stamp) and the choice of the row are one
-    aggregate of ordered structs; unparsable stamps sort as the 1980 sentinel.
+    aggregate of ordered structs over the whole history; :func:`registry_state` keeps it up day by day.
     """
-    rows = df.where((F.col("s3_file_date") < snapshot) & F.col(changed).isNotNull())
-    rows = rows.withColumn("_at", safe_ts(changed, [CHANGE_STAMP], NO_CHANGE))
-    return latest_per_key(rows, [key], ["s3_file_date", "_at"])
+    return latest_per_key(change_rows(df.where(F.col("s3_file_date") < snapshot), changed), [key], ["s3_file_date", "_at"])
+
+
+def registry_state(spark: SparkSession, path: str, key: str) -> NewestState:
+    """Stored newest changes of a registry, to be advanced with :func:`change_rows` of it."""
+    return NewestState(spark, path, [key], ["s3_file_date", "_at"], "s3_file_date")
 
 
 def recency_wins(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
@@ -165,10 +174,15 @@ def recency_wins(left: DataFrame, right: DataFrame, key: str, left_ts: str, righ
 
 def prepaid_danhba(prepaid: DataFrame, directory: DataFrame, snapshot: str) -> DataFrame:
     """Sex and age group from whichever registry changed last."""
-    a = newest_change(prepaid, "msisdn", "modifydate", snapshot).select(
+    return demographics(newest_change(prepaid, "msisdn", "modifydate", snapshot), newest_change(directory, "somay", "ngay_cn", snapshot))
+
+
+def demographics(prepaid: DataFrame, directory: DataFrame) -> DataFrame:
+    """:func:`prepaid_danhba` from the newest change per key of either registry, stored or not."""
+    a = prepaid.select(
         "msisdn", F.col("_at").alias("a_at"), gender_code("gender").alias("a_sex"), F.col("age").cast("string").alias("a_age"))
     phai = F.col("phai")
-    b = newest_change(directory, "somay", "ngay_cn", snapshot).select(
+    b = directory.select(
         F.col("somay").alias("msisdn"), F.col("_at").alias("b_at"),
         F.when(phai.isin(0, 1), phai.cast("int")).otherwise(2).alias("b_sex"), F.col("nhom_tuoi").cast("string").alias("b_age"))
     return recency_wins(a, b, "msisdn", "a_at", "b_at", {
