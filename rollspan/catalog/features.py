@@ -346,6 +346,14 @@ def _(t):
     return ag.merge_frequency(a, b, ["source"]).select("source", tx.map_text("freq").alias("freq"))
 
 
+@query("frequency_top_items", """WITH c AS (SELECT source, CAST(n_chars AS VARCHAR) AS item, count(*) AS n FROM documents GROUP BY 1, 2)
+    SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY source ORDER BY n DESC, encode(item)) AS INT) AS rank FROM c) WHERE rank <= 5""")
+def _(t):
+    """Most frequent items of an open list, from states of four parts of the rows."""
+    parts = [ag.frequency_counts(t.documents.where(f"doc_id % 4 = {i}"), ["source"], "n_chars") for i in range(4)]
+    return ag.top_items(ag.merge_counts(parts, ["source"]), ["source"], 5)
+
+
 @query("frequency_map_stats", f"""WITH c AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY 1, 2),
     k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, lang) AS up, count(*) OVER (PARTITION BY source) AS cnt, sum(n) OVER (PARTITION BY source) AS tot FROM c)
     SELECT source, max(CASE WHEN up = 1 THEN lang END) AS most_item, max(CASE WHEN up = cnt AND cnt > 1 THEN lang END) AS least_item, CAST(max(cnt) AS INT) AS "unique",

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollspan.functions.numeric import quoted, ratio
-from rollspan.functions.text import merge_maps
 
 Expr = "Column | str"
 
@@ -136,11 +136,38 @@ def frequency_counts(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
               .groupBy(*keys, F.col(col).cast("string").alias("item")).agg(F.count(F.lit(1)).alias("n")))
 
 
-def frequency_map(df: DataFrame, keys: Sequence[str], col: str, name: str = "freq") -> DataFrame:
-    """value -> count map per key. Counts are reduced before the map is assembled, so a
+def merge_counts(states: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """``(keys, item, n)`` states of several periods or sources added up.
+
+    Rows stay narrow: a key with any number of items is spread over the tasks by (key, item), and what a task can't hold is spilled.
+    """
+    stacked = reduce(DataFrame.unionByName, [s.select(*keys, "item", "n") for s in states])
+    return stacked.groupBy(*keys, "item").agg(F.sum("n").alias("n"))
+
+
+def top_items(counts: DataFrame, keys: Sequence[str], k: int, rank: str = "rank") -> DataFrame:
+    """``(keys, item, n, rank)`` of each key's ``k`` most frequent items (equal counts: smaller item first).
+
+    Each task sorts its rows and passes on ``k`` per key, so a key with many items leaves few of them for the task that ranks it.
+    """
+    w = Window.partitionBy(*keys).orderBy(F.col("n").desc(), "item")
+    return counts.select(*keys, "item", "n", F.row_number().over(w).alias(rank)).where(F.col(rank) <= k)
+
+
+def fold_counts(counts: DataFrame, keys: Sequence[str], name: str = "freq", top: int | None = None) -> DataFrame:
+    """item -> count map per key from ``(keys, item, n)``.
+
+    A map is one value of one row, so with ``top`` it holds that many items at most, whatever the key; without it, items should come from a closed
+    list. Statistics of open lists need no map: see :func:`count_stats` and :func:`top_items`.
+    """
+    rows = counts if top is None else top_items(counts, keys, top)
+    return rows.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("item", "n")))).alias(name))
+
+
+def frequency_map(df: DataFrame, keys: Sequence[str], col: str, name: str = "freq", top: int | None = None) -> DataFrame:
+    """value -> count map per key (see :func:`fold_counts`). Counts are reduced before the map is assembled, so a
     hot key costs its distinct values, never its rows."""
-    return (frequency_counts(df, keys, col).groupBy(*keys)
-            .agg(F.map_from_entries(F.collect_list(F.struct("item", "n"))).alias(name)))
+    return fold_counts(frequency_counts(df, keys, col), keys, name, top)
 
 
 def map_stats(freq: Column, prefix: str) -> dict[str, Column]:
@@ -199,10 +226,14 @@ def frequency_stats(df: DataFrame, keys: Sequence[str], col: str, prefix: str =
     return count_stats(frequency_counts(df, keys, col), keys, {prefix: "n"})
 
 
-def merge_frequency(left: DataFrame, right: DataFrame, keys: Sequence[str], name: str = "freq") -> DataFrame:
-    """Outer join of two map tables with counts added key by key."""
-    joined = left.join(right.withColumnRenamed(name, "_other"), list(keys), "full_outer")
-    return joined.select(*keys, merge_maps(name, "_other").alias(name))
+def unfold_counts(maps: DataFrame, keys: Sequence[str], name: str = "freq") -> DataFrame:
+    """``(keys, item, n)`` from stored maps."""
+    return maps.select(*keys, F.explode(name).alias("item", "n"))
+
+
+def merge_frequency(left: DataFrame, right: DataFrame, keys: Sequence[str], name: str = "freq", top: int | None = None) -> DataFrame:
+    """Two map tables with counts added key by key, through narrow rows."""
+    return fold_counts(merge_counts([unfold_counts(m, keys, name) for m in (left, right)], keys), keys, name, top)
 
 
 def value_entropy(df: DataFrame, keys: Sequence[str], col: str, name: str = "entropy") -> DataFrame:
