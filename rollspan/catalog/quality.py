@@ -158,6 +158,56 @@ def _(t):
     return dq.run_suite(dated(t), "orders", _SUITE, "20010801").select("feature_name", "metric_value", "dimension", "metric_name", "status")
 
 
+_LAYER_DATES = ["20010709", "20010710", "20010716"]
+_LAYER = {"orders/daily": {"columns": ["o_custkey", "o_clerk"], "partition": "date", "date": "date", "update_type": "weekly", "key": ["o_custkey"], "validity": {"o_totalprice": (">=", 50000)}},
+          "parts": {"columns": ["p_size"], "key": ["p_brand", "p_size"]}}
+_LAYER_ORDERS = f"SELECT o_custkey, CASE WHEN o_orderkey % 4 > 0 THEN o_orderstatus END AS o_clerk, o_totalprice, date FROM ({DATED_SQL}) JOIN (SELECT o_orderkey, o_orderstatus FROM orders) USING (o_orderkey)"
+_LAYER_LOG = """SELECT 'orders_daily' AS destination, 'completeness' AS dimension, 'null_count' AS metric_name, 'o_clerk' AS feature_name,
+    strftime(o_orderdate, '%Y%m%d') AS log_date, strftime(o_orderdate, '%Y%m%d') AS snapshot, count(*) AS v FROM orders WHERE o_orderkey % 4 = 0 AND o_orderdate >= TIMESTAMP '2001-06-01' GROUP BY ALL"""
+
+
+def _layer_log(t):
+    days = t.orders.where("o_orderkey % 4 = 0 and o_orderdate >= timestamp_ntz'2001-06-01 00:00:00'").groupBy(F.date_format("o_orderdate", "yyyyMMdd").alias("snapshot"))
+    return days.agg(F.count("*").cast("string").alias("metric_value")).select(
+        F.lit("orders_daily").alias("destination"), F.lit("completeness").alias("dimension"), F.lit("null_count").alias("metric_name"), F.lit("o_clerk").alias("feature_name"),
+        F.col("snapshot").alias("log_date"), "snapshot", "metric_value")
+
+
+def _layer_sql():
+    days = [d for d in _LAYER_DATES if d != "20010710"]  # Mondays
+    values = ", ".join(f"('{d}')" for d in days)
+    whole = f"""SELECT d, o.* FROM (VALUES {values}) v(d) LEFT JOIN ({_LAYER_ORDERS}) o ON o.date = d"""
+    return f"""WITH o AS ({whole}), c AS (SELECT d, count(date) AS n, count(o_custkey) AS a, count(o_clerk) AS b, max(date) AS newest, count(*) FILTER (WHERE o_totalprice < 50000) AS bad FROM o GROUP BY 1),
+      k AS (SELECT d, count(*) FILTER (WHERE n > 1) AS dup FROM (SELECT d, o_custkey, count(o_custkey) AS n FROM o GROUP BY 1, 2) GROUP BY 1),
+      f AS (SELECT d, coalesce(sum(n) FILTER (WHERE n > 1), 0) AS rows FROM (SELECT d, o_custkey, o_clerk, o_totalprice, count(date) AS n FROM o GROUP BY ALL) GROUP BY 1),
+      l AS (SELECT d, avg(v) AS ma, count(*) AS obs FROM (SELECT d, v, row_number() OVER (PARTITION BY d ORDER BY snapshot DESC) AS rn FROM ({_LAYER_LOG}), (VALUES {values}) v(d) WHERE snapshot < d) WHERE rn <= 3 GROUP BY 1),
+      p AS (SELECT count(*) AS n, (SELECT count(*) FROM (SELECT 1 FROM part GROUP BY p_brand, p_size HAVING count(*) > 1)) AS dup,
+        (SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM part GROUP BY p_partkey, p_name, p_brand, p_type, p_size, p_retailprice HAVING count(*) > 1)) AS rows, count(p_size) AS s FROM part),
+      r AS (
+        SELECT d, 'orders_daily' AS destination, 'o_custkey' AS feature_name, 'null_ratio' AS metric_name, CAST(round((n - a) / n, 4) AS VARCHAR) AS metric_value, 'PASS' AS status FROM c
+        UNION ALL SELECT d, 'orders_daily', 'o_custkey', 'null_count', CAST(n - a AS VARCHAR), 'PASS' FROM c UNION ALL SELECT d, 'orders_daily', 'o_custkey', 'row_count', CAST(a AS VARCHAR), 'PASS' FROM c
+        UNION ALL SELECT d, 'orders_daily', 'o_clerk', 'null_ratio', CAST(round((n - b) / n, 4) AS VARCHAR), 'PASS' FROM c UNION ALL SELECT d, 'orders_daily', 'o_clerk', 'row_count', CAST(b AS VARCHAR), 'PASS' FROM c
+        UNION ALL SELECT d, 'orders_daily', 'o_clerk', 'null_count', CAST(n - b AS VARCHAR), CASE WHEN coalesce(obs, 0) < 3 THEN 'PASS' WHEN abs(n - b - ma) / ma >= 0.05 THEN 'WARNING' ELSE 'PASS' END FROM c LEFT JOIN l USING (d)
+        UNION ALL SELECT d, 'orders_daily', 'date', 'freshness', newest, CASE WHEN newest = d THEN 'PASS' ELSE 'ERROR' END FROM c
+        UNION ALL SELECT d, 'orders_daily', 'o_totalprice', 'rule', CAST(bad AS VARCHAR), CASE WHEN bad > 0 THEN 'ERROR' ELSE 'PASS' END FROM c
+        UNION ALL SELECT d, 'orders_daily', 'o_custkey', 'primary_key', CAST(dup AS VARCHAR), CASE WHEN dup > 0 THEN 'ERROR' ELSE 'PASS' END FROM k
+        UNION ALL SELECT d, 'orders_daily', '*', 'duplicate_records', CAST(rows AS VARCHAR), CASE WHEN rows > 0 THEN 'ERROR' ELSE 'PASS' END FROM f
+        UNION ALL SELECT d, 'parts', 'p_size', m, CASE m WHEN 'null_ratio' THEN CAST(round((n - s) / n, 4) AS VARCHAR) WHEN 'null_count' THEN CAST(n - s AS VARCHAR) ELSE CAST(s AS VARCHAR) END, 'PASS'
+          FROM p, (VALUES {values}) v(d), (VALUES ('null_ratio'), ('null_count'), ('row_count')) m(m)
+        UNION ALL SELECT d, 'parts', 'p_brand,p_size', 'primary_key', CAST(dup AS VARCHAR), CASE WHEN dup > 0 THEN 'ERROR' ELSE 'PASS' END FROM p, (VALUES {values}) v(d)
+        UNION ALL SELECT d, 'parts', '*', 'duplicate_records', CAST(rows AS VARCHAR), CASE WHEN rows > 0 THEN 'ERROR' ELSE 'PASS' END FROM p, (VALUES {values}) v(d))
+    SELECT d AS snapshot, destination, feature_name, metric_name, metric_value, status FROM r"""
+
+
+@query("dq_layer", _layer_sql)
+def _(t):
+    """Two tables at three dates, of which two are Mondays."""
+    orders = dated(t).join(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderkey").select(
+        "o_custkey", F.when(F.col("o_orderkey") % 4 > 0, F.col("o_orderstatus")).alias("o_clerk"), "o_totalprice", "date")
+    log = dq.run_layer({"orders/daily": orders, "parts": t.part}, _LAYER, _LAYER_DATES, "feature", _layer_log(t))
+    return log.select("snapshot", "destination", "feature_name", "metric_name", "metric_value", "status")
+
+
 @query("ingest_rowcount_check", f"""WITH c AS (SELECT date, count(*) AS row_count FROM ({DATED_SQL}) GROUP BY 1), b AS (SELECT avg(row_count) AS b FROM (SELECT * FROM c WHERE date < '20010715' ORDER BY date DESC LIMIT 3))
     SELECT date, row_count, {R('b', 'value_compare')}, CASE WHEN abs(row_count - b) / b <= 0.05 THEN 'pass' ELSE 'fail' END AS status FROM c, b WHERE date >= '20010715'""")
 def _(t):

@@ -65,25 +65,29 @@ def column_types(schema: DataFrame, ref: DataFrame) -> DataFrame:
     return joined.withColumn("status", F.when(F.col("data_type").eqNullSafe(F.col("ref_type")), "PASS").otherwise("WARNING"))
 
 
-def freshness(df: DataFrame, date_col: str, asof: str, update_type: str, allow: int = 1) -> DataFrame:
-    """Newest partition against the one expected at ``asof``.
+def freshness_rule(newest: Column, asof: str, update_type: str, allow: int = 1) -> tuple[str, Column]:
+    """The partition expected at ``asof``, and whether the newest one is good.
 
     daily: exactly ``allow`` days ago; weekly: this week's Monday; monthly: not older than
     ``allow`` months before the first of this month (``yyyyMM`` partitions).
     """
     d = as_date(asof)
-    newest = F.max(F.col(date_col).cast("string"))
     if update_type == "daily":
         expected = (d.fromordinal(d.toordinal() - allow)).strftime("%Y%m%d")
-        good = newest == expected
-    elif update_type == "weekly":
+        return expected, newest == expected
+    if update_type == "weekly":
         expected = d.fromordinal(d.toordinal() - d.weekday()).strftime("%Y%m%d")
-        good = newest == expected
-    elif update_type == "monthly":
+        return expected, newest == expected
+    if update_type == "monthly":
         expected = ymd(shift_months(d.replace(day=1), -allow))[:6]
-        good = F.substring(newest, 1, 6) >= expected
-    else:
-        raise ValueError(f"unknown update type {update_type!r}")
+        return expected, F.substring(newest, 1, 6) >= expected
+    raise ValueError(f"unknown update type {update_type!r}")
+
+
+def freshness(df: DataFrame, date_col: str, asof: str, update_type: str, allow: int = 1) -> DataFrame:
+    """Newest partition against the one expected at ``asof`` (see :func:`freshness_rule`)."""
+    newest = F.max(F.col(date_col).cast("string"))
+    expected, good = freshness_rule(newest, asof, update_type, allow)
     return df.agg(newest.alias("latest"), F.lit(expected).alias("expected"),
                   F.when(good, "PASS").otherwise("ERROR").alias("status"))
 
@@ -115,16 +119,18 @@ def validity(df: DataFrame, rules: Mapping[str, tuple[str, object]]) -> DataFram
     Ops ``>=``, ``<=``, ``>``, ``<`` compare with a bound, ``in`` tests a domain. NULL is a
     completeness matter and violates nothing.
     """
-    def broken(c, op, value):
-        v = F.col(q(c))
-        good = {"in": lambda: v.isin(list(value)), ">=": lambda: v >= value, "<=": lambda: v <= value,
-                ">": lambda: v > value, "<": lambda: v < value}[op]()
-        return F.count(F.when(~good, 1)).alias(c)
-    row = df.agg(*[broken(c, op, v) for c, (op, v) in rules.items()])
+    row = df.agg(*[F.count(F.when(violated(c, op, v), 1)).alias(c) for c, (op, v) in rules.items()])
     return long_form(row, list(rules)).withColumn(
         "status", F.when(F.col("metric_value") > 0, "ERROR").otherwise("PASS"))
 
 
+def violated(c: str, op: str, value) -> Column:
+    """Whether a row breaks a rule of :func:`validity`."""
+    v = F.col(q(c))
+    return ~{"in": lambda: v.isin(list(value)), ">=": lambda: v >= value, "<=": lambda: v <= value,
+             ">": lambda: v > value, "<": lambda: v < value}[op]()
+
+
 def past_logs(log: DataFrame, asof: str, **fields: str) -> DataFrame:
     """Log rows before ``asof`` with the given dimension/metric_name/severity/destination.
 
@@ -202,56 +208,111 @@ def rowcount_check(df: DataFrame, date_col: str, history: DataFrame, asof: str,
         "status", F.when(F.col("value_compare").isNull(), None).when(gap <= tol, "pass").otherwise("fail"))
 
 
-def run_suite(df: DataFrame, name: str, config: Mapping, asof: str, layer: str = "database",
-              log: DataFrame | None = None, log_date: str | None = None,
-              soft: float = 0.05, hard: float = 0.2, n: int = 3) -> DataFrame:
-    """All configured checks of one table as log rows.
+def _repeated(df: DataFrame, snapshot: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Per snapshot: groups of equal keys that occur more than once, and their rows."""
+    groups = df.groupBy(*snapshot, *keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return groups.groupBy(*snapshot).agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("rows"))
 
-    ``config`` may hold ``columns``, ``date``, ``update_type``, ``expected_day``, ``key``,
-    ``validity`` and ``ref_schema``. Completeness metrics are compared with the moving
-    average of ``log`` when one is given.
+
+def table_checks(df: DataFrame, name: str, config: Mapping, dates: Sequence[str]) -> DataFrame:
+    """``snapshot, destination, dimension, metric_name, severity, feature_name, metric_value, status`` of all checks of a table at some dates.
+
+    All counts of all columns, rules and dates are one aggregate in one scan, turned into rows by one unpivot; repeated keys and repeated rows take
+    a scan each, because they group by something else. ``status`` is NULL where the log decides. ``config["partition"]`` names the column that
+    holds each row's date: a check then sees the rows of its date only (none: counts of 0); without it, every date sees the whole table.
     """
-    def rows(frame, dimension, metric, severity, status_col, value="metric_value", feature="feature_name"):
-        return frame.select(
-            F.col(feature).alias("feature_name") if isinstance(feature, str) else feature.alias("feature_name"),
-            F.col(value).cast("string").alias("metric_value"), F.lit(log_date or asof).alias("log_date"),
-            F.lit(layer).alias("layer"), F.lit(asof).alias("snapshot"),
-            F.lit(name.replace("/", "_")).alias("destination"), F.lit(dimension).alias("dimension"),
-            F.lit(metric).alias("metric_name"), F.lit(severity).alias("severity"),
-            F.lit(hard).alias("hard_threshold"), F.lit(soft).alias("soft_threshold"),
-            F.lit(f"{severity}{n}").alias("method"), status_col.alias("status"))
-
-    out = []
-    comp = completeness(df, config.get("columns"))
-    for metric in ("null_ratio", "null_count", "row_count"):
-        if log is None:
-            out.append(rows(comp, "completeness", metric, "moving_average", F.lit("PASS"), metric))
-            continue
-        base = moving_average(past_logs(log, asof, dimension="completeness", metric_name=metric, destination=name), n)
-        judged = comp.join(base, "feature_name", "left")
-        out.append(rows(judged, "completeness", metric, "moving_average",
-                        status(F.col(metric).cast("double"), F.col("ma"), soft, hard, layer), metric))
+    columns, rules, part = list(config.get("columns") or df.columns), config.get("validity") or {}, config.get("partition")
+    by = ["snapshot"] if part else []
+    rows = df.withColumn("snapshot", F.col(q(part)).cast("string")).where(F.col(q(part)).isin(list(dates))) if part else df
+    counts = [F.count(F.lit(1)).alias("total"), *[F.count(q(c)).alias(f"n{i}") for i, c in enumerate(columns)],
+              *[F.count(F.when(violated(c, op, v), 1)).alias(f"v{i}") for i, (c, (op, v)) in enumerate(rules.items())]]
+    if config.get("date"):
+        counts.append(F.max(F.col(q(config["date"])).cast("string")).alias("newest"))
+
+    def at_dates(one: DataFrame) -> DataFrame:
+        """One row per wanted date."""
+        wanted = df.sparkSession.createDataFrame([(d,) for d in dates], "snapshot string")
+        return wanted.join(one, "snapshot", "left") if part else one.withColumn("snapshot", F.explode(F.array(*map(F.lit, dates))))
+
+    def unpivot(one: DataFrame, checks: Sequence[tuple]) -> DataFrame:
+        cells = F.explode(F.array(*[F.struct(
+            F.lit(dimension).alias("dimension"), F.lit(metric).alias("metric_name"), F.lit(severity).alias("severity"), F.lit(feature).alias("feature_name"),
+            value.cast("string").alias("metric_value"), state.cast("string").alias("status")) for dimension, metric, severity, feature, value, state in checks]))
+        return at_dates(one).select("snapshot", F.lit(name.replace("/", "_")).alias("destination"), cells.alias("_c")).select("snapshot", "destination", "_c.*")
+
+    total, none, zero = F.coalesce("total", F.lit(0)), F.lit(None), F.lit(0)
+    checks = []
+    for i, c in enumerate(columns):
+        present = F.coalesce(f"n{i}", zero)
+        checks += [("completeness", "null_ratio", "moving_average", c, F.round(ratio(total - present, total), 4), none),
+                   ("completeness", "null_count", "moving_average", c, total - present, none),
+                   ("completeness", "row_count", "moving_average", c, present, none)]
     if config.get("date"):
-        fresh = freshness(df, config["date"], asof, config.get("update_type", "daily"), config.get("expected_day") or 1)
-        out.append(rows(fresh, "timeliness", "freshness", "fixed", F.col("status"), "latest", F.lit(config["date"])))
+        good, allow = F.lit(False), 1 if config.get("expected_day") is None else config["expected_day"]
+        for d in dates:
+            good = F.when(F.col("snapshot") == d, freshness_rule(F.col("newest"), d, config.get("update_type", "daily"), allow)[1]).otherwise(good)
+        checks.append(("timeliness", "freshness", "fixed", config["date"], F.col("newest"), F.when(good, "PASS").otherwise("ERROR")))
+    for i, c in enumerate(rules):
+        broken = F.coalesce(f"v{i}", zero)
+        checks.append(("validity", "rule", "fixed", c, broken, F.when(broken > 0, "ERROR").otherwise("PASS")))
+    out = [unpivot(rows.groupBy(*by).agg(*counts), checks)]
+    repeated = F.when(F.coalesce("groups", zero) > 0, "ERROR").otherwise("PASS")
     if config.get("key"):
-        dup = pk_duplicates(df, config["key"])
-        out.append(rows(dup, "uniqueness", "primary_key", "fixed", F.col("status"), "duplicate_keys", F.lit(",".join(config["key"]))))
-    full = row_duplicates(df)
-    out.append(rows(full, "uniqueness", "duplicate_records", "fixed", F.col("status"), "duplicate_rows", F.lit("*")))
-    if config.get("validity"):
-        bad = validity(df, config["validity"])
-        out.append(rows(bad, "validity", "rule", "fixed", F.col("status")))
+        out.append(unpivot(_repeated(rows, by, config["key"]), [
+            ("uniqueness", "primary_key", "fixed", ",".join(config["key"]), F.coalesce("groups", zero), repeated)]))
+    digest = F.unhex(row_digest(df.columns)).alias("_d")
+    out.append(unpivot(_repeated(rows.select(*by, digest), by, ["_d"]), [
+        ("uniqueness", "duplicate_records", "fixed", "*", F.coalesce("rows", zero), repeated)]))
     if config.get("ref_schema") is not None:
         types = column_types(schema_table(df), config["ref_schema"])
-        out.append(rows(types, "consistency", "data_type", "fixed", F.col("status"), "data_type", "col_name"))
+        out.append(types.select(F.explode(F.array(*map(F.lit, dates))).alias("snapshot"), F.lit(name.replace("/", "_")).alias("destination"), F.lit("consistency").alias("dimension"),
+                                F.lit("data_type").alias("metric_name"), F.lit("fixed").alias("severity"), F.col("col_name").alias("feature_name"),
+                                F.col("data_type").alias("metric_value"), "status"))
     return reduce(DataFrame.unionByName, out)
 
 
-def run_layer(tables: Mapping[str, DataFrame], config: Mapping[str, Mapping], asof: str, layer: str,
-              log: DataFrame | None = None, **thresholds) -> DataFrame | None:
-    """The suite over every configured table; feature tables are checked on Mondays only."""
-    if layer == "feature" and as_date(asof).weekday() != 0:
+def judge(checks: DataFrame, log: DataFrame | None, dates: Sequence[str], layer: str, soft: float, hard: float, n: int,
+          log_date: str | None = None) -> DataFrame:
+    """Log rows of ``checks``: open ones are compared with the moving average of the log before their date.
+
+    One pass over the log serves all tables and dates.
+    """
+    if log is None:
+        judged = checks.withColumn("status", F.coalesce("status", F.lit("PASS")))
+    else:
+        keys = ["destination", "metric_name", "feature_name", "asof"]
+        later = F.filter(F.array(*map(F.lit, dates)), lambda d: d > F.col("snapshot"))
+        past = log.where((F.col("dimension") == "completeness") & (F.col("snapshot") < max(dates))).withColumn("asof", F.explode(later))
+        base = moving_average(past, n, keys).withColumnRenamed("asof", "snapshot").drop("observations")
+        judged = checks.join(base, ["destination", "metric_name", "feature_name", "snapshot"], "left")
+        compared = status(F.col("metric_value").try_cast("double"), F.col("ma"), soft, hard, layer)
+        judged = judged.withColumn("status", F.coalesce("status", F.when(F.col("dimension") == "completeness", compared).otherwise("PASS")))
+    return judged.select(
+        "feature_name", "metric_value", F.coalesce(F.lit(log_date), F.col("snapshot")).alias("log_date"), F.lit(layer).alias("layer"), "snapshot",
+        "destination", "dimension", "metric_name", "severity", F.lit(hard).alias("hard_threshold"), F.lit(soft).alias("soft_threshold"),
+        F.concat("severity", F.lit(str(n))).alias("method"), "status")
+
+
+def run_suite(df: DataFrame, name: str, config: Mapping, asof: "str | Sequence[str]", layer: str = "database",
+              log: DataFrame | None = None, log_date: str | None = None,
+              soft: float = 0.05, hard: float = 0.2, n: int = 3) -> DataFrame:
+    """All configured checks of one table, at one or several dates, as log rows, in at most three scans of it.
+
+    ``config`` may hold ``columns``, ``partition``, ``date``, ``update_type``, ``expected_day``, ``key``,
+    ``validity`` and ``ref_schema``. Completeness metrics are compared with the moving
+    average of ``log`` when one is given.
+    """
+    dates = [asof] if isinstance(asof, str) else list(asof)
+    return judge(table_checks(df, name, config, dates), log, dates, layer, soft, hard, n, log_date)
+
+
+def run_layer(tables: Mapping[str, DataFrame], config: Mapping[str, Mapping], asof: "str | Sequence[str]", layer: str,
+              log: DataFrame | None = None, log_date: str | None = None, soft: float = 0.05, hard: float = 0.2, n: int = 3) -> DataFrame | None:
+    """The suite over every configured table and date; feature tables are checked on Mondays only (None if there is none)."""
+    dates = [asof] if isinstance(asof, str) else list(asof)
+    if layer == "feature":
+        dates = [d for d in dates if as_date(d).weekday() == 0]
+    if not dates:
         return None
-    return reduce(DataFrame.unionByName, [
-        run_suite(tables[t], t, config[t], asof, layer, log, **thresholds) for t in config if t in tables])
+    checks = [table_checks(tables[t], t, config[t], dates) for t in config if t in tables]
+    return judge(reduce(DataFrame.unionByName, checks), log, dates, layer, soft, hard, n, log_date)
