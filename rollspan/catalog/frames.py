@@ -86,6 +86,18 @@ def _(t):
     return src.scan(t.spark, path).agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q_sum"))
 
 
+@query("sink_sized", f"SELECT count(*) AS n, {R('sum(l_quantity)', 'q_sum')}, true AS sized FROM lineitem")
+def _(t):
+    """Written twice: the second write is cut by the bytes a row took in the first."""
+    first, second = scratch(t.spark), scratch(t.spark)
+    rows = t.lineitem.select("l_orderkey", "l_quantity", "l_shipdate")
+    src.write_sized(rows, first, 64 << 10)
+    src.write_sized(rows, second, 64 << 10, like=first)
+    sizes = src.file_sizes(t.spark, second)
+    sized = len(sizes) == 1 or all(32 << 10 <= s <= 128 << 10 for s in sizes)
+    return src.scan(t.spark, second).agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q_sum"), F.lit(sized).alias("sized"))
+
+
 @query("source_cutover_union", f"SELECT date, tag, count(*) AS n FROM (SELECT *, CASE WHEN date < '19990101' THEN 'old' ELSE 'new' END AS tag FROM ({DATED_SQL})) GROUP BY 1, 2")
 def _(t):
     both = src.cutover_union(dated(t).withColumn("tag", F.lit("old")), dated(t).withColumn("tag", F.lit("new")), "date", "19990101")
@@ -225,6 +237,14 @@ def _(t):
     return cells.at_cells(t.session, cells.cell_map(t.cells, "20010701")).groupBy("bts_id").agg(F.count("*").alias("n"))
 
 
+@query("cell_map_join_spread", f"SELECT bts_id, l AS l_linenumber, count(*) AS n FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN '1' ELSE CAST(l_suppkey % 10 AS VARCHAR) END AS lac, CASE WHEN l_orderkey % 3 = 0 THEN '1' ELSE CAST(l_suppkey % 25 AS VARCHAR) END AS cell_id, l_linenumber AS l FROM lineitem) JOIN ({MAP_SQL.replace(', s3_file_date FROM (', ' FROM (', 1)}) USING (lac, cell_id) GROUP BY 1, 2")
+def _(t):
+    """One cell holds a third of the events."""
+    hot = F.col("l_orderkey") % 3 == 0
+    events = t.lineitem.select(*[F.when(hot, "1").otherwise((F.col("l_suppkey") % n).cast("string")).alias(c) for c, n in (("lac", 10), ("cell_id", 25))], "l_linenumber", "l_orderkey")
+    return cells.at_cells(events, cells.cell_map(t.cells, "20010701"), heavy_share=0.02).groupBy("bts_id", "l_linenumber").agg(F.count("*").alias("n"))
+
+
 @query("left_enrich", "SELECT o_orderkey, c_mktsegment, n_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey + 100 LEFT JOIN nation ON c_nationkey = n_nationkey")
 def _(t):
     cust = t.customer.select((F.col("c_custkey") + 100).alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"), "c_mktsegment")

@@ -170,6 +170,18 @@ def _(t):
     return se.select_important(se.importance(t.labelled, FEATURES, "toxic"), top_k=3)
 
 
-@query("mrmr_selection")
+def _mrmr_sql():
+    """Three greedy steps over relevance ``r`` and the correlations of the features."""
+    rel = " UNION ALL ".join(f"SELECT '{f}' AS f, {i} AS i, abs(corr({f}, y)) AS r FROM ({_L})" for i, f in enumerate(FEATURES))
+    pairs = " UNION ALL ".join(f"SELECT '{a}' AS f, '{b}' AS g, abs(corr({a}, {b})) AS c FROM ({_L})" for a in FEATURES for b in FEATURES if a != b)
+    return f"""WITH rel AS ({rel}), pairs AS ({pairs}),
+    s1 AS (SELECT f, r AS score FROM rel ORDER BY score DESC, i LIMIT 1),
+    s2 AS (SELECT f, r / greatest((SELECT c FROM pairs p WHERE p.f = rel.f AND g IN (SELECT f FROM s1)), 1e-9) AS score FROM rel WHERE f NOT IN (SELECT f FROM s1) ORDER BY score DESC, i LIMIT 1),
+    s3 AS (SELECT f, r / greatest((SELECT avg(c) FROM pairs p WHERE p.f = rel.f AND (g IN (SELECT f FROM s1) OR g IN (SELECT f FROM s2))), 1e-9) AS score FROM rel
+      WHERE f NOT IN (SELECT f FROM s1) AND f NOT IN (SELECT f FROM s2) ORDER BY score DESC, i LIMIT 1)
+    SELECT CAST(rank AS INT) AS rank, f AS feature, {R('score', 'score')} FROM (SELECT 1 AS rank, * FROM s1 UNION ALL SELECT 2, * FROM s2 UNION ALL SELECT 3, * FROM s3)"""
+
+
+@query("mrmr_selection", _mrmr_sql)
 def _(t):
     return se.mrmr(t.labelled, FEATURES, "y", 3)

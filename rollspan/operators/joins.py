@@ -7,9 +7,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from rollspan.session import with_scalars
+from rollspan.functions.numeric import quoted as q
+from rollspan.session import cut_lineage, with_scalars
 
 
 def outer_merge(dfs: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -35,6 +36,28 @@ def enrich(df: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left"
     return df.join(dim, list(keys), how)
 
 
+def spread_join(df: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", share: float = 0.01,
+                spread: "Column | None" = None) -> DataFrame:
+    """Join of rows to a table where a few keys hold many of the rows.
+
+    A counting pass over the keys finds those with more than ``share`` of all rows (so fewer than 1 / ``share`` of them, which is all that is
+    broadcast). Their rows are dealt to as many parts as it takes to bring each part down to ``share``, by ``spread`` (a hash of the row if not given), and
+    meet a copy of the key's rows of ``dim`` there; all other keys are joined as they are. ``how`` is ``inner`` or ``left``.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
+    keys = list(keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_all"))
+    heavy = with_scalars(counts, total).where(F.col("_n") > F.col("_all") * share)
+    heavy = cut_lineage(heavy.select(*keys, F.ceil(F.col("_n") / (F.col("_all") * share)).cast("int").alias("_parts")))
+    one = F.coalesce("_parts", F.lit(1))
+    row = F.xxhash64(*[F.col(q(c)) for c in df.columns]) if spread is None else spread
+    left = df.withColumn("_spread", row).join(F.broadcast(heavy), keys, "left").withColumn("_part", F.pmod("_spread", one).cast("int"))
+    right = dim.join(F.broadcast(heavy), keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), one - 1)))
+    return left.drop("_spread", "_parts").join(right.drop("_parts"), [*keys, "_part"], how).drop("_part")
+
+
 def restrict(df: DataFrame, population: DataFrame, key: str, population_key: str | None = None) -> DataFrame:
     """Keep rows whose key is in the population (left semi join)."""
     ids = population.select(F.col(population_key or key).alias(key))

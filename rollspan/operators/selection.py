@@ -304,25 +304,37 @@ def select_important(table: DataFrame, top_k: int | None = None, threshold: floa
     raise ValueError("give one of accumulate, top_k or threshold")
 
 
+def _abs_correlations(df: DataFrame, features: Sequence[str], other: str) -> list[float]:
+    """|correlation| of each feature with one column, over the rows where both are known; 0 where it is undefined."""
+    known = F.nanvl(F.col(q(other)).cast("double"), F.lit(None))
+    aggs = []
+    for i, c in enumerate(doubles(features)):
+        x = F.when(known.isNotNull(), F.nanvl(c, F.lit(None)))
+        y = F.when(x.isNotNull(), known)
+        aggs.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(f"c{i}"))
+    row = df.agg(*aggs).first()
+    return [abs(c) if c is not None and c == c else 0.0 for c in row]
+
+
 def mrmr(df: DataFrame, features: Sequence[str], label: str, k: int, method: str = "MIQ") -> DataFrame:
     """Greedy maximum-relevance minimum-redundancy choice: ``rank, feature, score``.
 
     Relevance is the absolute correlation with the label, redundancy the mean absolute
-    correlation with the features chosen so far. The correlations are one aggregate over
-    the data; only the feature x feature matrix reaches the driver for the greedy loop.
+    correlation with the features chosen so far. Each step correlates all features with the one just chosen and adds to their
+    redundancy sums: k aggregates of one number per feature, so no matrix of features by features is built anywhere.
     """
-    rows = correlation_long(df, [*features, label]).collect()
-    corr = {frozenset((r["f1"], r["f2"])): abs(r["corr"] or 0.0) for r in rows}
-    left, chosen, out = list(features), [], []
-    while left and len(chosen) < k:
-        def score(f):
-            relevance = corr[frozenset((f, label))]
-            if not chosen:
-                return relevance
-            redundancy = sum(corr[frozenset((f, c))] for c in chosen) / len(chosen)
-            return relevance / max(redundancy, 1e-9) if method == "MIQ" else relevance - redundancy
-        best = max(left, key=lambda f: (score(f), -features.index(f)))
-        out.append((len(chosen) + 1, best, float(score(best))))
-        chosen.append(best)
+    relevance, redundancy = _abs_correlations(df, features, label), [0.0] * len(features)
+    left, out = list(range(len(features))), []
+    while left and len(out) < k:
+        def score(i):
+            if not out:
+                return relevance[i]
+            mean = redundancy[i] / len(out)
+            return relevance[i] / max(mean, 1e-9) if method == "MIQ" else relevance[i] - mean
+        best = max(left, key=lambda i: (score(i), -i))
         left.remove(best)
+        out.append((len(out) + 1, features[best], float(score(best))))
+        if left and len(out) < k:
+            for i, c in zip(left, _abs_correlations(df, [features[i] for i in left], features[best])):
+                redundancy[i] += c
     return df.sparkSession.createDataFrame(out, "rank int, feature string, score double")

@@ -12,7 +12,7 @@ from rollspan.functions.calendar import as_date, ymd
 from rollspan.functions.fixed_values import CALL_KINDS, SMS_KINDS, VOLTE_KINDS
 from rollspan.functions.text import part_of
 from rollspan.operators.aggregates import Measure, slices
-from rollspan.operators.joins import enrich, restrict
+from rollspan.operators.joins import enrich, restrict, spread_join
 from rollspan.operators.rollups import WEEKS, add_ratios, collapse, lookback, trend_ratios
 from rollspan.operators.windows import keep_max
 from rollspan.plans.family import Family
@@ -34,9 +34,15 @@ def cell_map(raw: DataFrame, month_first: str) -> DataFrame:
     return keep_max(rows, ["bts_id", "lac", "cell_id"], "s3_file_date").distinct()
 
 
-def at_cells(events: DataFrame, cells: DataFrame) -> DataFrame:
-    """Events with a known cell; unmapped ones are dropped."""
+def at_cells(events: DataFrame, cells: DataFrame, heavy_share: float | None = None) -> DataFrame:
+    """Events with a known cell; unmapped ones are dropped.
+
+    A cell map that Spark can broadcast needs nothing more. With ``heavy_share``, cells with more than that share of the events are spread over
+    several tasks (see :func:`spread_join`), for maps that are too large to be broadcast.
+    """
     mapping = cells.where(F.col("bts_id").isNotNull()).select("lac", "cell_id", "bts_id")
+    if heavy_share is not None:
+        return spread_join(events, mapping, ["lac", "cell_id"], share=heavy_share)
     return enrich(events, mapping, ["lac", "cell_id"], "inner")
 
 

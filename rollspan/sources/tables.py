@@ -66,6 +66,36 @@ def write_partition(df: DataFrame, path: str, by: Sequence[str] = ("date",), mod
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
 
 
+def file_sizes(spark: SparkSession, path: str) -> list[int]:
+    """Bytes of each data file under ``path``."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True)
+    out = []
+    while found.hasNext():
+        f = found.next()
+        if not f.getPath().getName().startswith(("_", ".")):
+            out.append(f.getLen())
+    return out
+
+
+def write_sized(df: DataFrame, path: str, target: int = 128 << 20, like: str | None = None, mode: str = "overwrite") -> int:
+    """Write ``df`` in files of about ``target`` bytes each; returns their number.
+
+    ``like`` is a folder with an earlier write of such rows: its bytes per row say how large the files get. Without one, the size that
+    Spark estimates for the plan does, which knows nothing of encoding and compression. Partitions are merged if there are too many, else rows are dealt anew.
+    """
+    spark = df.sparkSession
+    rows = df.count()
+    if like is not None and (before := spark.read.parquet(like).count()):
+        size = rows * sum(file_sizes(spark, like)) / before
+    else:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    files = max(1, round(size / target))
+    df.repartition(files).write.mode(mode).parquet(path)
+    return files
+
+
 def store_by_key(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
     """Store ``df`` as table ``name`` in ``path``, one sorted file per bucket of the keys; the stored table.
 
