@@ -9,7 +9,7 @@ from rollspan.catalog.roles import HISTORY_D, MONTH_D
 from rollspan.catalog.sqlgen import Windowed
 from rollspan.functions.calendar import as_date, shift_months, ymd
 from rollspan.functions.fixed_values import (
-    BALANCE_BANDS, CONTINENT, FEE_GROUPS, FINANCE_SENDERS, SERVICE_CLASS,
+    BALANCE_BANDS, CONTINENT, FEE_GROUPS, FINANCE_SENDERS, MONTHLY_REVENUE, REVENUE_MEASURES, SERVICE_CLASS,
 )
 from rollspan.plans import merge, monthly, snapshots, weekly
 from rollspan.session import shared_folder
@@ -201,13 +201,13 @@ REVENUE = {"TOT_RVN_AMT": "total_revenue", "TOT_BLLD_AMT": "total_charge", "TOT_
            "RCHRG_PRMTN_AMT": "recharge_amount", "VOICE_USG": "call_usage", "DATA_USG": "data_usage"}
 
 
-def _smrs_sql():
+def _smrs_sql(measures=REVENUE, role="revenue"):
     # snapshots D - 4w*i for i = 0..5 and the calendar month before each of them
     steps = [(i, ymd(shift_months(as_date(HISTORY_D).fromordinal(as_date(HISTORY_D).toordinal() - 28 * i), -1))[:6]) for i in range(6)]
     values = ", ".join(f"({i}, {m})" for i, m in steps)
-    sums = ", ".join(f"sum({c}) AS {n}" for c, n in REVENUE.items())
+    sums = ", ".join(f"sum({c}) AS {n}" for c, n in measures.items())
     cols = []
-    for n in REVENUE.values():
+    for n in measures.values():
         for k in (1, 2, 3, 6):
             for op in ("sum",) if k == 1 else ("sum", "min", "max", "avg"):
                 cols.append(R(f"{op}({n}) FILTER (WHERE step < {k})", f"smrs_{n}_{op}_l{k}m"))
@@ -216,14 +216,19 @@ def _smrs_sql():
             for y in ks[i + 1:]:
                 cols.append(R(f"sum({n}) FILTER (WHERE step < {x}) / nullif(sum({n}) FILTER (WHERE step < {y}), 0)", f"smrs_{n}_sum_l{x}m_vs_l{y}m"))
     return f"""WITH steps(step, mo) AS (VALUES {values}),
-    last AS (SELECT *, max(s3_file_date) OVER (PARTITION BY mo_key) AS md FROM ({role_sql('revenue')})),
+    last AS (SELECT *, max(s3_file_date) OVER (PARTITION BY mo_key) AS md FROM ({role_sql(role)})),
     m AS (SELECT accs_mthd_key AS msisdn, step, {sums} FROM last JOIN steps ON mo = mo_key WHERE s3_file_date = md GROUP BY 1, 2)
     SELECT msisdn, {', '.join(cols)} FROM m GROUP BY 1"""
 
 
 @query("family_smrs", _smrs_sql)
 def _(t):
-    return snapshots.smrs(t.back(HISTORY_D).revenue, HISTORY_D, REVENUE, group_size=3)
+    return snapshots.smrs(t.back(HISTORY_D).revenue, HISTORY_D, REVENUE)
+
+
+@query("family_smrs_all", lambda: _smrs_sql(REVENUE_MEASURES, "all_revenue"))
+def _(t):
+    return snapshots.smrs(t.back(HISTORY_D).all_revenue, HISTORY_D)
 
 
 # --- monthly numeric ---------------------------------------------------------------------------------------------
@@ -340,10 +345,9 @@ def _(t):
     return monthly.billing_monthly(t.bill.withColumnRenamed("ma_tb", "msisdn"), MONTH_D, ["tragoc", "trathue"])
 
 
-def _revenue_sql():
-    ms = ["tot_rvn_amt", "voice_usg"]
+def _revenue_sql(ms=("tot_rvn_amt", "voice_usg"), role="revenue"):
     steps = f"""SELECT accs_mthd_key AS msisdn, m, s3_file_date, {', '.join(f'sum({v}) AS {v}' for v in ms)}
-        FROM ({monthly_rows('revenue')}) WHERE m IS NOT NULL GROUP BY 1, 2, 3"""
+        FROM ({monthly_rows(role)}) WHERE m IS NOT NULL GROUP BY 1, 2, 3"""
     deltas = ", ".join(f"coalesce(abs({v} - lag({v}) OVER w), {v}) AS d_{v}" for v in ms)
     rows = f"SELECT msisdn, m, {', '.join(f'CASE WHEN d_{v} > 0 THEN d_{v} END AS {v}' for v in ms)} FROM (SELECT *, {deltas} FROM ({steps}) WINDOW w AS (PARTITION BY msisdn, m ORDER BY s3_file_date))"
     return cumulative_sql(rows, {f"{v}_full": (v, None) for v in ms})
@@ -351,7 +355,20 @@ def _revenue_sql():
 
 @query("family_monthly_smrs", _revenue_sql)
 def _(t):
-    return monthly.revenue_monthly(t.back(MONTH_D, 27).revenue, MONTH_D, ["tot_rvn_amt", "voice_usg"], group_size=1)
+    return monthly.revenue_monthly(t.back(MONTH_D, 27).revenue, MONTH_D, ["tot_rvn_amt", "voice_usg"])
+
+
+def _all_counters(part: str) -> None:
+    """One query for each part of the counters."""
+    measures = [m.lower() for m in MONTHLY_REVENUE[part]]
+
+    @query(f"family_monthly_smrs_{part}", lambda: _revenue_sql(measures, "all_revenue"))
+    def _(t):
+        return monthly.revenue_monthly(t.back(MONTH_D, 27).all_revenue, MONTH_D, measures)
+
+
+for _part in MONTHLY_REVENUE:
+    _all_counters(_part)
 
 
 # --- monthly categorical --------------------------------------------------------------------------------------------

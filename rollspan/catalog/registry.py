@@ -56,10 +56,10 @@ class Data:
 
 def digits_for(name: str) -> int:
     """Decimals kept per column so that summation order cannot show in a comparison."""
-    if "_vs_" in name or "ratio" in name or "pct" in name:
-        return 6
     if "sumsq" in name:
         return -3
+    if "_vs_" in name or "ratio" in name or "pct" in name:
+        return 6
     if "std" in name:
         return 3
     if "sum" in name or "davg" in name or name.startswith("usageda"):

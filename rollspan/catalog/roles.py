@@ -1,6 +1,8 @@
 """What each test table stands in for. The text is plain SQL that both engines read the same
 way; table names are ``{placeholders}``. Every role keeps all rows of its table."""
 
+from rollspan.functions.fixed_values import MONTHLY_REVENUE, REVENUE_MEASURES
+
 #: snapshots the registered queries run at
 EVENTS_D = "20240129"
 HISTORY_D = "20010730"
@@ -22,6 +24,16 @@ _KIND = ("CASE l_linenumber WHEN 1 THEN 'MOC' WHEN 2 THEN 'MTC' WHEN 3 THEN 'ROA
          "WHEN 5 THEN 'SMO' WHEN 6 THEN 'SMT' ELSE 'OTH' END")
 _PROVINCE = "'P' || CAST(l_partkey % 25 AS STRING)"
 
+
+
+def counters(names: list[str]) -> str:
+    """A column for each month-to-date counter, different for each: some rise with the amount, some with the quantity, some have gaps."""
+    def one(i: int) -> str:
+        value = f"l_extendedprice * {1 + i % 7} + l_quantity * {i}" if i % 3 else f"l_quantity * {1 + i % 5} + l_linenumber"
+        return f"CASE WHEN l_linenumber = {i % 9} THEN NULL ELSE {value} END"
+    return ", ".join(f"CAST({one(i)} AS DOUBLE) AS {n}" for i, n in enumerate(names))
+
+
 ROLES = {
     # recharge log
     "recharge": f"""
@@ -132,6 +144,12 @@ ROLES = {
                l_extendedprice * l_discount AS tot_disc_amt, l_extendedprice * l_tax AS rchrg_prmtn_amt,
                l_quantity AS voice_usg, l_quantity * 2 AS data_usg, {_day('l_shipdate')} AS s3_file_date
         FROM {{lineitem}}""",
+    # the same with every counter
+    "all_revenue": f"""
+        SELECT {_id('l_suppkey')} AS accs_mthd_key, CAST(left({_day('l_shipdate')}, 6) AS INT) AS mo_key,
+               {counters(list(dict.fromkeys([*REVENUE_MEASURES, *(m for part in MONTHLY_REVENUE.values() for m in part)])))},
+               {_day('l_shipdate')} AS s3_file_date
+        FROM {{lineitem}}""",
     # prepaid registry: one change per order
     "prepaid": f"""
         SELECT {_id('o_custkey')} AS msisdn,

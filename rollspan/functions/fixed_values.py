@@ -212,6 +212,35 @@ REVENUE_MEASURES = {
     "DATA_BYTES_RCVD": "data_upload_amount", "DATA_BYTES_SNT": "data_download_amount", "SMS_CNT": "sms_attempt",
 }
 
+# --- fixed values: month-to-date counters whose daily increments are rolled up, by part -----------
+MONTHLY_REVENUE = {
+    "part1": [
+        "TOT_RVN_AMT", "TOT_BLLD_AMT", "TOT_REFUND_AMT", "TOT_DISC_AMT", "TOT_RC_RVN_AMT", "PSPD_PYMT_CNT", "PSPD_PYMT_HIT_CNT",
+        "INV_PYMT_AMT", "INV_DISC_AMT", "RCHRG_PRMTN_AMT", "ELOAD_AMT", "RCV_AMT", "ELOAD_EVT_CNT", "RCV_HIT_CNT", "VOICE_USG",
+        "VOICE_FREE_USG", "VOICE_BLLD_USG", "VOICE_ONNET_IC_USG", "VOICE_ONNET_OG_USG", "VOICE_OFFNET_IC_USG",
+    ],
+    "part2": [
+        "VOICE_OFFNET_OG_USG", "VOICE_ISD_OG_USG", "DATA_USG", "DATA_RMNG_USG", "TOT_VOICE_RVN_AMT", "TOT_VOICE_REFUND_AMT",
+        "TOT_VOICE_DISC_AMT", "TOT_VOICE_ONNET_IC_RVN_AMT", "TOT_VOICE_ONNET_OG_RVN_AMT", "TOT_VOICE_OFFNET_IC_RVN_AMT",
+        "TOT_VOICE_OFFNET_OG_RVN_AMT", "TOT_VOICE_ISD_OG_RVN_AMT", "TOT_VOICE_ISD_IC_RVN_AMT", "TOT_DATA_RVN_AMT",
+        "TOT_DATA_REFUND_AMT", "TOT_DATA_CHRGD_AMT", "TOT_SMS_RVN_AMT", "TOT_SMS_REFUND_AMT", "TOT_SMS_ONNET_IC_RVN_AMT",
+        "TOT_SMS_ONNET_OG_RVN_AMT",
+    ],
+    "part3": [
+        "TOT_SMS_OFFNET_IC_RVN_AMT", "TOT_SMS_OFFNET_OG_RVN_AMT", "TOT_SMS_ISD_OG_RVN_AMT", "TOT_SMS_ISD_IC_RVN_AMT",
+        "TOT_MMS_RVN_AMT", "TOT_MMS_REFUND_AMT", "TOT_MMS_DISC_AMT", "TOT_MMS_RC_RVN_AMT", "TOT_MMS_NRC_RVN_AMT",
+        "TOT_MMS_UC_RVN_AMT", "TOT_BUNDLE_RC_RVN_AMT", "TOT_BUNDLE_NRC_RVN_AMT", "TOT_VAS_RVN_AMT", "TOT_VAS_REFUND_AMT",
+        "TOT_VAS_DISC_AMT", "TOT_DISC_AWARDED_AMT", "TOT_OTHRS_RVN_AMT", "TOT_OTHERS_RC_RVN_AMT", "TOT_OTHERS_NRC_RVN_AMT",
+        "SMS_A2P_CNT",
+    ],
+    "part4": [
+        "SMS_FREE_USG_CNT", "SMS_BLLD_USG_CNT", "SMS_ONNET_IC_CNT", "SMS_ONNET_OG_CNT", "SMS_OFFNET_IC_CNT", "SMS_OFFNET_OG_CNT",
+        "SMS_ISD_OG_CNT", "SMS_ISD_IC_CNT", "DATA_EVT_CNT", "DATA_BYTES_RCVD", "DATA_BYTES_SNT", "ACCT_LATE_PYMT_EVT_CNT",
+        "ACCT_LATE_PYMT_AMT", "ACCT_INTIME_PYMT_AMT", "INBOUND_CALL_CNT", "OUTBOUND_CALL_CNT", "INBOUND_SUB_CNT",
+        "OUTBOUND_SUB_CNT", "INBOUND_DURATION_CNT", "OUTBOUND_DURATION_CNT", "INTRACN_DURATION_CNT", "SMS_CNT",
+    ],
+}
+
 # --- fixed values: gender codes of the two registries ----------------------------------
 GENDER = {0: ["Nữ", "female", "NỮ / F"], 1: ["Nam", "male", "NAM / M"]}
 

@@ -111,19 +111,16 @@ def billing_monthly(raw: DataFrame, snapshot: str, values: Sequence[str], months
     return cumulative_months(monthly, ["msisdn"], "m", stems, months, start)
 
 
-def revenue_monthly(raw: DataFrame, snapshot: str, measures: Sequence[str], months: int = 6, group_size: int = 16) -> DataFrame:
-    """Cumulative months of the daily increments of month-to-date counters.
+def revenue_monthly(raw: DataFrame, snapshot: str, measures: Sequence[str], months: int = 6) -> DataFrame:
+    """Cumulative months of the daily increments of month-to-date counters, all measures in one scan.
 
     The lag runs inside a month window, so every month starts with its own first value.
     """
-    parts = []
-    for i in range(0, len(measures), group_size):
-        chunk = list(measures[i:i + group_size])
-        rows = month_rows(raw.select(F.col("accs_mthd_key").alias("msisdn"), "s3_file_date", *chunk), snapshot, months)
-        deltas = cumulative_delta(rows, ["msisdn", "m"], "s3_file_date", chunk)
-        specs, stems = value_measures({v: F.col(v) for v in chunk}, {"full": None})
-        parts.append(cumulative_months(sliced_stats(deltas, ["msisdn", "m"], specs), ["msisdn"], "m", stems, months))
-    return outer_merge(parts, ["msisdn"])
+    measures = list(measures)
+    rows = month_rows(raw.select(F.col("accs_mthd_key").alias("msisdn"), "s3_file_date", *measures), snapshot, months)
+    deltas = cumulative_delta(rows, ["msisdn", "m"], "s3_file_date", measures)
+    specs, stems = value_measures({v: F.col(v) for v in measures}, {"full": None})
+    return cumulative_months(sliced_stats(deltas, ["msisdn", "m"], specs), ["msisdn"], "m", stems, months)
 
 
 def categorical_monthly(raw: DataFrame, snapshot: str, col: "Column | str", prefix: str, months: int = 6) -> DataFrame:

@@ -264,14 +264,12 @@ def ccbs_tra(raw: DataFrame, snapshot: str) -> DataFrame:
 MONTHS = (1, 2, 3, 6)
 
 
-def smrs(raw: DataFrame, snapshot: str, measures: Mapping[str, str] = REVENUE_MEASURES,
-         group_size: int = 16) -> DataFrame:
+def smrs(raw: DataFrame, snapshot: str, measures: Mapping[str, str] = REVENUE_MEASURES) -> DataFrame:
     """1/2/3/6-month revenue features.
 
     The counters are cumulative within a month, so the last day of a month is its total.
     A snapshot takes the previous calendar month; k months are the snapshots D, D-4w, ...
-    Measures are aggregated in groups (the aggregate width bounds generated code) and the
-    groups are joined on the key they are already partitioned by.
+    All measures come out of one scan of these days and one shuffle of (subscriber, step) sums.
     """
     steps = month_steps(snapshot, max(MONTHS))
     keys = [int(ymd(shift_months(as_date(s), -1))[:6]) for s in steps]
@@ -279,14 +277,9 @@ def smrs(raw: DataFrame, snapshot: str, measures: Mapping[str, str] = REVENUE_ME
     # a month can serve two steps (D and D-4w inside one month)
     served = {k: [i for i, other in enumerate(keys) if other == k] for k in keys}
     steps_of = F.create_map(*[x for k, s in served.items() for x in (F.lit(k), F.array(*map(F.lit, s)))])
-    rows = last.select("*", F.explode(steps_of[F.col("mo_key")]).alias("step"))
-    names = list(measures.items())
-    parts = []
-    for i in range(0, len(names), group_size):
-        chunk = names[i:i + group_size]
-        monthly = rows.groupBy(F.col("accs_mthd_key").alias("msisdn"), "step").agg(
-            *[F.sum(c).alias(f"smrs_{n}_sum") for c, n in chunk])
-        stems = [f"smrs_{n}_sum" for _, n in chunk]
-        wide = month_steps_rollup(monthly, ["msisdn"], "step", stems, MONTHS[1:])
-        parts.append(trend_ratios(wide, stems, MONTHS, "all", "m"))
-    return outer_merge(parts, ["msisdn"])
+    sums = [F.sum(c).alias(f"smrs_{n}_sum") for c, n in measures.items()]
+    # rows are added up per month before a month is dealt to its steps
+    monthly = last.groupBy(F.col("accs_mthd_key").alias("msisdn"), "mo_key").agg(*sums)
+    stems = [f"smrs_{n}_sum" for n in measures.values()]
+    monthly = monthly.select("msisdn", F.explode(steps_of[F.col("mo_key")]).alias("step"), *stems)
+    return trend_ratios(month_steps_rollup(monthly, ["msisdn"], "step", stems, MONTHS[1:]), stems, MONTHS, "all", "m")
