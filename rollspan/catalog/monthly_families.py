@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 
 from rollspan.catalog.registry import I, R, query, role_sql
-from rollspan.catalog.roles import HISTORY_D, MONTH_D
+from rollspan.catalog.roles import HISTORY_D, MONTH_D, attribute
 from rollspan.catalog.sqlgen import Windowed
 from rollspan.functions.calendar import as_date, shift_months, ymd
 from rollspan.functions.fixed_values import (
-    BALANCE_BANDS, CONTINENT, FEE_GROUPS, FINANCE_SENDERS, MONTHLY_REVENUE, REVENUE_MEASURES, SERVICE_CLASS,
+    BALANCE_BANDS, CAPABILITIES, CONTINENT, DEVICE_RENAMES, FEE_GROUPS, FINANCE_SENDERS, MONTHLY_REVENUE, REVENUE_MEASURES, SERVICE_CLASS,
 )
 from rollspan.plans import merge, monthly, snapshots, weekly
 from rollspan.session import shared_folder
@@ -86,6 +86,27 @@ def _(t):
     return snapshots.device(t.catalogue, HISTORY_D, absent="skip")
 
 
+#: attributes of the whole catalogue in the order of the operator's columns
+_FULL_ORDER = ["device_age", "device_type", "device_manu", "device_top_manu", *_DEVICE_ORDER[3:8], "device_has_bluetooth", "device_has_wlan",
+               *_DEVICE_ORDER[9:14], *CAPABILITIES, *DEVICE_RENAMES.values()]
+
+
+def _full_device_sql():
+    more = ["CASE WHEN gsma_manufacturer IN ('Nokia Corporation') THEN gsma_manufacturer ELSE 'other' END AS device_top_manu",
+            "CASE lower(gsma_wlan) WHEN 'yes' THEN 1 WHEN 'no' THEN 0 END AS device_has_wlan",
+            *[f"CASE WHEN {' + '.join(flags)} > 1 THEN 1 ELSE 0 END AS {name}" for name, flags in CAPABILITIES.items() if name not in _DEVICE_ORDER],
+            *[f"{attribute(old)} AS {new}" for old, new in DEVICE_RENAMES.items() if new not in _DEVICE_ORDER]]
+    sql = DEVICE_SQL.format(order=", ".join(f"{c} DESC NULLS LAST" for c in _FULL_ORDER))
+    return sql.replace(DEVICE_COLS, DEVICE_COLS + ", " + ", ".join(more)).replace(role_sql("catalogue"), role_sql("full_catalogue"))
+
+
+@query("family_device_full", _full_device_sql)
+def _(t):
+    """Every output; one whose inputs were absent would raise."""
+    catalogue = t.full_catalogue.withColumnsRenamed({attribute(c): c for c in DEVICE_RENAMES})
+    return snapshots.device(catalogue, HISTORY_D)
+
+
 GSMA_SQL = f"""
 WITH u AS (SELECT msisdn, s3_file_date, imei FROM ({role_sql('usage')}) WHERE s3_file_date > '20010615' AND s3_file_date <= '{MONTH_D}' AND imei <> ''),
 n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY msisdn ORDER BY s3_file_date DESC, imei DESC) AS rn FROM u) WHERE rn = 1),

@@ -1,7 +1,7 @@
 """What each test table stands in for. The text is plain SQL that both engines read the same
 way; table names are ``{placeholders}``. Every role keeps all rows of its table."""
 
-from rollspan.functions.fixed_values import MONTHLY_REVENUE, REVENUE_MEASURES
+from rollspan.functions.fixed_values import CAPABILITIES, DEVICE_RENAMES, MONTHLY_REVENUE, REVENUE_MEASURES
 
 #: snapshots the registered queries run at
 EVENTS_D = "20240129"
@@ -34,6 +34,25 @@ def counters(names: list[str]) -> str:
     return ", ".join(f"CAST({one(i)} AS DOUBLE) AS {n}" for i, n in enumerate(names))
 
 
+def attributes() -> str:
+    """The catalogue attributes that the role ``catalogue`` lacks, different for each and with gaps. Names that begin with a digit get a letter before it."""
+    has = {"t_2g", "t_3g", "t_4g", "t_5g", "image_gif87", "image_gif89a", "image_jpg", "image_png", "gsma_marketing_name"}
+    flags = [c for flags in CAPABILITIES.values() for c in flags]
+    out = ["CASE p_size % 3 WHEN 0 THEN 'Nokia Corporation' WHEN 1 THEN p_brand ELSE NULL END AS GSMA_manufacturer",
+           "CASE p_size % 4 WHEN 0 THEN 'YES' WHEN 1 THEN 'no' WHEN 2 THEN '' ELSE NULL END AS GSMA_WLAN"]
+    for i, c in enumerate(flags):
+        if c.lower() not in has:
+            out.append(f"CASE WHEN p_size % 19 = {i % 19} THEN NULL ELSE (p_size + {i}) % {2 + i % 3} END AS {c}")
+    for i, c in enumerate(DEVICE_RENAMES):
+        if c.lower() not in has:
+            out.append(f"CASE WHEN p_size % 11 = {i % 11} THEN NULL ELSE p_size * {i + 1} % {i + 2} END AS {attribute(c)}")
+    return ", ".join(out)
+
+
+def attribute(name: str) -> str:
+    return f"a{name}" if name[0].isdigit() else name
+
+
 ROLES = {
     # recharge log
     "recharge": f"""
@@ -185,6 +204,26 @@ ROLES = {
                CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_size % 2 END AS image_gif87, 1 AS image_gif89a, 0 AS image_jpg, 0 AS image_png,
                CASE WHEN p_partkey % 2 = 0 THEN '20010625' ELSE '20010501' END AS s3_file_date
         FROM {part}""",
+    # the same with every attribute
+    "full_catalogue": f"""
+        SELECT lpad(CAST(p_partkey % 40 AS STRING), 8, '0') AS tac, p_name AS gsma_marketing_name,
+               CAST(1990 + p_size % 12 AS STRING) AS year_released,
+               CASE p_type WHEN 'STANDARD' THEN 'Smartphone' WHEN 'SMALL' THEN 'Tablet' WHEN 'LARGE' THEN 'Vehicle' WHEN 'PROMO' THEN 'Modem' ELSE p_type END AS gsma_device_type,
+               CASE p_brand WHEN 'Brand#1' THEN 'Sony' WHEN 'Brand#2' THEN 'Wiko' WHEN 'Brand#3' THEN 'Lava' ELSE p_brand END AS manufacturer,
+               CASE WHEN p_size % 3 = 0 THEN 'Nano, Micro' WHEN p_size % 3 = 1 THEN 'Mini' ELSE '' END AS sim_size,
+               CASE WHEN p_size % 5 = 0 THEN 2048 ELSE p_size END AS internal_storage_capacity,
+               CASE p_size % 4 WHEN 0 THEN 'Yes' WHEN 1 THEN 'n' WHEN 2 THEN 'maybe' ELSE NULL END AS gsma_bluetooth,
+               CASE p_size % 3 WHEN 0 THEN 'Android' WHEN 1 THEN 'iOS' ELSE 'RTOS' END AS os_name,
+               CASE p_size % 5 WHEN 0 THEN 'Snapdragon 8' WHEN 1 THEN 'MT6' WHEN 2 THEN 'A12 Bionic' WHEN 3 THEN 'A9' ELSE 'Helio P' END AS chipset_name,
+               CASE p_size % 4 WHEN 0 THEN 'Adreno 5' WHEN 1 THEN 'Mali-T' WHEN 2 THEN 'other' ELSE 'PowerVR' END AS gpu_name,
+               CASE p_size % 8 WHEN 0 THEN 250 WHEN 1 THEN 452 WHEN 2 THEN 208 WHEN 3 THEN 310 WHEN 4 THEN 722 WHEN 5 THEN 505 WHEN 6 THEN 603 ELSE 999 END AS gsma_country_code,
+               CASE p_size % 6 WHEN 0 THEN 'Not Known' WHEN 1 THEN '' WHEN 2 THEN 'LTE-M' ELSE NULL END AS gsma_lpwan,
+               CASE p_size % 5 WHEN 0 THEN '2/4' WHEN 1 THEN '1024/2048' WHEN 2 THEN '8' WHEN 3 THEN '16/x' ELSE NULL END AS total_ram,
+               p_size % 2 AS t_2g, p_size % 3 AS t_3g, CAST(p_size > 25 AS INT) AS t_4g, 0 AS t_5g,
+               CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_size % 2 END AS image_gif87, 1 AS image_gif89a, 0 AS image_jpg, 0 AS image_png,
+               {attributes()},
+               CASE WHEN p_partkey % 2 = 0 THEN '20010625' ELSE '20010501' END AS s3_file_date
+        FROM {{part}}""",
     # cell map
     "cells": """
         SELECT CAST(s_suppkey % 10 AS STRING) AS lac, CAST(s_suppkey % 25 AS STRING) AS ci,

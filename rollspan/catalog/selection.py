@@ -40,6 +40,13 @@ def _(t):
     return split.select("o_orderkey", F.when(F.col("split") == "test", "test").otherwise("dev").alias("part"))
 
 
+@query("time_split_parts", """SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN 'test'
+    WHEN CAST('0x' || left(md5(CAST(o_orderkey AS VARCHAR)), 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'val' END AS part FROM orders""")
+def _(t):
+    split = se.time_split(t.orders, "o_orderdate", F.lit("2000-01-01").cast("timestamp_ntz"), "o_orderkey")
+    return split.select("o_orderkey", F.col("split").alias("part"))
+
+
 CORR = " UNION ALL ".join(f"SELECT '{a}' AS f1, '{b}' AS f2, corr({a}, {b}) AS c FROM ({_L})" for i, a in enumerate(FEATURES) for b in FEATURES[i + 1:])
 
 
