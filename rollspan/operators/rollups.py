@@ -94,6 +94,33 @@ def widen(weeks_df: DataFrame, keys: Sequence[str], measures: Sequence[Measure],
     return (rows if placed else rows.repartition(*keys)).groupBy(*keys).agg(*aggs)
 
 
+def widen_rings(rings: DataFrame, keys: Sequence[str], measures: Sequence[Measure],
+                windows: Sequence[int] = WEEKS, name: str = "{stem}_l{n}w", placed: bool = False) -> DataFrame:
+    """:func:`widen` for rows that are reduced to one per key and ring of weeks (``lookback`` with ``bands``).
+
+    A key's rings are gathered into one array (at most one element per window), and each window is the sum, minimum or maximum of its
+    rings as a plain expression. That replaces a conditional aggregate per measure and window, of which hundreds don't
+    fit generated code.
+    """
+    windows = sorted(windows)
+    rows = rings.where(F.col("week_back") < max(windows))
+    fields = F.struct("week_back", *[F.col(quoted(m.name)) for m in measures])
+    held = (rows if placed else rows.repartition(*keys)).groupBy(*keys).agg(F.collect_list(fields).alias("_rings"))
+    held = held.select(*keys, *[F.expr(f"get(filter(_rings, r -> r.week_back = {n - 1}), 0) AS _r{i}") for i, n in enumerate(windows)])
+    out = []
+    for i, n in enumerate(windows):
+        for m in measures:
+            parts = [f"_r{k}.{quoted(m.name)}" for k in range(i + 1)]
+            if not i:
+                value = parts[0]
+            elif m.roll == "sum":
+                value = f"CASE WHEN coalesce({', '.join(parts)}) IS NOT NULL THEN {' + '.join(f'coalesce({p}, 0)' for p in parts)} END"
+            else:
+                value = f"{'least' if m.roll == 'min' else 'greatest'}({', '.join(parts)})"
+            out.append(f"{value} AS {quoted(name.format(stem=m.name, n=n))}")
+    return held.selectExpr(*[quoted(k) for k in keys], *out)
+
+
 def window_stats(df: DataFrame, keys: Sequence[str], day: str, snapshot: str,
                  aggs: Mapping[str, tuple], windows: Sequence[int] = WEEKS) -> DataFrame:
     """Statistics taken straight from daily rows for each window: ``stem: (agg, value)``."""

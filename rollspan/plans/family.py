@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from rollspan.operators.aggregates import Measure, sliced_stats
-from rollspan.operators.rollups import WEEKS, daily_to_weekly, lookback, weekly, widen
+from rollspan.operators.rollups import WEEKS, daily_to_weekly, lookback, weekly, widen, widen_rings
 
 
 @dataclass(frozen=True)
@@ -59,5 +59,8 @@ class Family:
         # sums, minima and maxima of a ring of weeks equal those of its weeks; distinct counts
         # are defined per week
         weekly_only = any(m.agg == "ndistinct" for m in self.measures)
-        rolled = self.weekly(raw, snapshot, max(windows), None if weekly_only else windows)
-        return self.from_weekly(rolled, windows, placed=bool(self.extremes) or self.reduced)
+        placed = bool(self.extremes) or self.reduced
+        if weekly_only or self.reduced:
+            return self.from_weekly(self.weekly(raw, snapshot, max(windows), None if weekly_only else windows), windows, placed=placed)
+        rings = self.weekly(raw, snapshot, max(windows), windows)
+        return self.finish(widen_rings(rings, self.keys, self.stored, windows, placed=placed), windows)
