@@ -306,6 +306,40 @@ def _(t):
     return monthly.numeric_monthly(t.back(MONTH_D, 27).usage, MONTH_D, {"totalcost": "totalcost"}, {"full": None, **SERVICES})
 
 
+@query("family_monthly_ggsn_units", lambda: cumulative_sql(monthly_rows("session"), {
+    "duration_minutes_full": ("(duration / 60)", None), "data_volume_downlink_mb_full": ("(data_volume_downlink / 1000000)", None), "data_volume_uplink_mb_full": ("(data_volume_uplink / 1000000)", None)}))
+def _(t):
+    return monthly.session_monthly(t.back(MONTH_D, 27).session, MONTH_D)
+
+
+@query("family_monthly_usage_categories", lambda: cumulative_sql(monthly_rows("charged"), {
+    "totalcost_full": ("totalcost", None),
+    **{f"totalcost_{n}": ("totalcost", f"chargingcategoryname = '{c}'") for n, c in {
+        "none": "", "data": "DATA", "volte": "VoLTE", "sms": "SMS", "voice": "VOICE", "service_charging_scap": "SERVICE_CHARGING (SCAP)", "roaming": "ROAMING",
+        "vowifi": "VoWIFI", "mms": "MMS", "ims": "IMS", "video": "VIDEO"}.items()}}))
+def _(t):
+    return monthly.usage_monthly(t.back(MONTH_D, 27).charged, MONTH_D)
+
+
+def _zero_filled_sql():
+    """Minima and maxima over the grid of all subscribers and all dates of a month, where a day without a value counts as 0."""
+    ends = {s: (v, cond) for s, (v, cond) in RECHARGE_FACTS.items()}
+    day = ", ".join(f"coalesce(min({v}){f' FILTER (WHERE {cond})' if cond else ''}, 0) AS lo_{s}, coalesce(max({v}){f' FILTER (WHERE {cond})' if cond else ''}, 0) AS hi_{s}" for s, (v, cond) in ends.items())
+    grid = ", ".join(f"min(coalesce(lo_{s}, 0)) AS lo_{s}, max(coalesce(hi_{s}, 0)) AS hi_{s}" for s in ends)
+    windows = ", ".join(f"{R(f'min(lo_{s}) FILTER (WHERE m <= {t})', f'min_{s}_T-{t}')}, {R(f'max(hi_{s}) FILTER (WHERE m <= {t})', f'max_{s}_T-{t}')}" for s in ends for t in range(1, 7))
+    taken = ", ".join(f'z."{p}_{s}_T-{t}" AS "{p}_{s}_T-{t}"' for s in ends for t in range(1, 7) for p in ("min", "max"))
+    return f"""WITH r AS ({monthly_rows('recharge')}), d AS (SELECT msisdn, m, s3_file_date, {day} FROM r WHERE m IS NOT NULL GROUP BY 1, 2, 3),
+      days AS (SELECT DISTINCT m, s3_file_date FROM d), g AS (SELECT k.msisdn, k.m, days.s3_file_date FROM (SELECT DISTINCT msisdn, m FROM d) k JOIN days USING (m)),
+      f AS (SELECT g.msisdn, g.m, {grid} FROM g LEFT JOIN d ON d.msisdn = g.msisdn AND d.m = g.m AND d.s3_file_date = g.s3_file_date GROUP BY 1, 2),
+      z AS (SELECT msisdn, {windows} FROM f GROUP BY 1)
+    SELECT c.* REPLACE ({taken}) FROM ({cumulative_sql(monthly_rows('recharge'), RECHARGE_FACTS)}) c JOIN z USING (msisdn)"""
+
+
+@query("family_monthly_air_zero_filled", _zero_filled_sql)
+def _(t):
+    return monthly.recharge_monthly_daily(t.back(MONTH_D, 27).recharge, MONTH_D)
+
+
 @query("family_monthly_vascloud", lambda: cumulative_sql(
     f"SELECT *, CASE WHEN s3_file_date > '20240115' AND s3_file_date <= '20240215' THEN 1 WHEN s3_file_date > '20231215' AND s3_file_date <= '20240115' THEN 2 END AS m FROM ({role_sql('vas')})",
     {"value_full": ("value", None)}))

@@ -1,7 +1,7 @@
 """What each test table stands in for. The text is plain SQL that both engines read the same
 way; table names are ``{placeholders}``. Every role keeps all rows of its table."""
 
-from rollspan.functions.fixed_values import CAPABILITIES, DEVICE_RENAMES, MONTHLY_REVENUE, REVENUE_MEASURES
+from rollspan.functions.fixed_values import CAPABILITIES, CHARGING_CATEGORIES, DEVICE_RENAMES, MONTHLY_REVENUE, REVENUE_MEASURES
 
 #: snapshots the registered queries run at
 EVENTS_D = "20240129"
@@ -74,6 +74,12 @@ ROLES = {
                CASE WHEN l_partkey % 13 = 0 THEN '' ELSE lpad(CAST(l_partkey % 40 AS STRING), 8, '0') || '1234567' END AS imei,
                {_day('l_shipdate')} AS s3_file_date
         FROM {{lineitem}}""",
+    # usage records by charging category, one of them unknown
+    "charged": f"""
+        SELECT {_id('l_suppkey')} AS msisdn, l_extendedprice * l_discount AS totalcost,
+               CASE {' '.join(f"WHEN l_partkey % 13 = {i} THEN '{c}'" for i, c in enumerate(CHARGING_CATEGORIES))} WHEN l_partkey % 13 = 11 THEN 'OTHER' ELSE NULL END AS chargingcategoryname,
+               {_day('l_shipdate')} AS s3_file_date
+        FROM {{lineitem}}""",
     # dedicated accounts
     "account_usage": f"""
         SELECT {_id('l_suppkey')} AS msisdn,

@@ -241,6 +241,9 @@ MONTHLY_REVENUE = {
     ],
 }
 
+# --- fixed values: charging categories of usage records -----------------------------------------
+CHARGING_CATEGORIES = ["", "DATA", "VoLTE", "SMS", "VOICE", "SERVICE_CHARGING (SCAP)", "ROAMING", "VoWIFI", "MMS", "IMS", "VIDEO"]
+
 # --- fixed values: gender codes of the two registries ----------------------------------
 GENDER = {0: ["Nữ", "female", "NỮ / F"], 1: ["Nam", "male", "NAM / M"]}
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollspan.functions.calendar import YMD, as_date, shift_months, ymd
-from rollspan.functions.fixed_values import FINANCE_SENDERS
+from rollspan.functions.fixed_values import CHARGING_CATEGORIES, FINANCE_SENDERS
 from rollspan.functions.text import sanitize
 from rollspan.operators.aggregates import Measure, count_stats, role_swap_stats, sliced_stats
 from rollspan.operators.joins import outer_merge, restrict
@@ -71,8 +71,35 @@ def numeric_monthly_daily(raw: DataFrame, snapshot: str, values, where=None, mon
 
 
 def recharge_monthly(raw: DataFrame, snapshot: str) -> DataFrame:
-    return numeric_monthly(raw, snapshot, {"reillamount": "reillamount"}, {
-        "full": None, "refill": "module = 'RefillRecord'", "adjustment": "module = 'AdjustmentRecord'"})
+    return numeric_monthly(raw, snapshot, {"reillamount": "reillamount"}, RECHARGE_KINDS)
+
+
+RECHARGE_KINDS = {"full": None, "refill": "module = 'RefillRecord'", "adjustment": "module = 'AdjustmentRecord'"}
+
+
+def recharge_monthly_daily(raw: DataFrame, snapshot: str, zero_fill: bool = True) -> DataFrame:
+    """Recharges through daily partials, where a day without a recharge (of the kind) counts as one of 0."""
+    return numeric_monthly_daily(raw, snapshot, {"reillamount": "reillamount"}, RECHARGE_KINDS, zero_fill=zero_fill)
+
+
+#: session values in minutes and megabytes
+SESSION_UNITS = {"duration_minutes": "duration / 60", "data_volume_downlink_mb": "data_volume_downlink / 1000000",
+                 "data_volume_uplink_mb": "data_volume_uplink / 1000000"}
+
+
+def session_monthly(raw: DataFrame, snapshot: str) -> DataFrame:
+    return numeric_monthly(raw, snapshot, SESSION_UNITS)
+
+
+def category_name(category: str) -> str:
+    """Name of a charging category in a column: letters and digits; the empty category is ``none``."""
+    return "_".join("".join(c if c.isalnum() else " " for c in category).split()).lower() or "none"
+
+
+def usage_monthly(raw: DataFrame, snapshot: str, categories: Sequence[str] = CHARGING_CATEGORIES) -> DataFrame:
+    """Cost of usage in all and by charging category, all categories in one scan."""
+    by_category = {category_name(c): "chargingcategoryname = '{}'".format(c.replace("'", "''")) for c in categories}
+    return numeric_monthly(raw, snapshot, {"totalcost": "totalcost"}, {"full": None, **by_category})
 
 
 def calls_monthly(raw: DataFrame, snapshot: str, members: DataFrame | None = None, months: int = 6,
