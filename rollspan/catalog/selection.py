@@ -177,6 +177,17 @@ def _(t):
     return se.select_important(se.importance(t.labelled, FEATURES, "toxic"), top_k=3)
 
 
+@query("importance_cuts", f"""WITH iv AS ({iv_sql()}), r AS (SELECT *, sum(iv) OVER (ORDER BY iv DESC, feature) AS upto FROM iv)
+    SELECT 'top 2' AS cut, feature, {R('iv', 'importance')} FROM (SELECT * FROM iv ORDER BY iv DESC, feature LIMIT 2)
+    UNION ALL SELECT 'floor', feature, {R('iv', 'importance')} FROM iv WHERE iv >= 0.05 UNION ALL SELECT 'sum', feature, {R('iv', 'importance')} FROM r WHERE upto <= 3""")
+def _(t):
+    """The three cuts over an importance with a closed form, the information value."""
+    table = se.iv_table(se.fit_bins(t.labelled, FEATURES, "y", 5)).withColumnRenamed("iv", "importance")
+    cuts = {"top 2": {"top_k": 2}, "floor": {"threshold": 0.05}, "sum": {"accumulate": 3}}
+    parts = [se.select_important(table, **how).select(F.lit(name).alias("cut"), "feature", "importance") for name, how in cuts.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def _mrmr_sql():
     """Three greedy steps over relevance ``r`` and the correlations of the features."""
     rel = " UNION ALL ".join(f"SELECT '{f}' AS f, {i} AS i, abs(corr({f}, y)) AS r FROM ({_L})" for i, f in enumerate(FEATURES))

@@ -282,6 +282,24 @@ def totals_oracle(o: Windowed, prefix: str, kinds, sms, not_answered: bool) -> l
     return stems
 
 
+def shares_of(prefix: str, text: str) -> dict[str, tuple[str, str]]:
+    """Lines ``name: part / whole``, each without the family's prefix."""
+    found = [line.replace(":", " ").replace("/", " ").split() for line in text.strip().splitlines()]
+    return {f"{prefix}_{name}": (f"{prefix}_{part}", f"{prefix}_{whole}") for name, part, whole in found}
+
+
+CALL_SHARES = """
+call_in_ratio: call_in_count / total_call_count
+call_out_ratio: call_out_count / total_call_count
+sms_in_ratio: sms_in_count / total_sms_count
+sms_out_ratio: sms_out_count / total_sms_count
+total_call_ratio: total_call_count / total_count
+total_sms_ratio: total_sms_count / total_count
+"""
+NOT_ANSWERED_SHARE = "total_call_not_answered_ratio: total_call_not_answered_count / total_call_count"
+VOLTE_SHARES = "\n".join(f"{k}_ratio: {k}_count / total_call_count" for k in VOLTE_KINDS)
+
+
 def talk_sql(prefix, kinds, sms, not_answered, ratios, role, source=None):
     o = Windowed(role, HISTORY_D, derive=wk(DAY), source=source)
     kinds_oracle(o, prefix, kinds, sms, not_answered)
@@ -297,12 +315,12 @@ def talk_sql(prefix, kinds, sms, not_answered, ratios, role, source=None):
     return o.sql(final_int=set(totals))
 
 
-@query("family_voice", lambda: talk_sql("voice", CALL_KINDS, SMS_KINDS, True, weekly.call_ratios("voice"), "call"))
+@query("family_voice", lambda: talk_sql("voice", CALL_KINDS, SMS_KINDS, True, shares_of("voice", CALL_SHARES + NOT_ANSWERED_SHARE), "call"))
 def _(t):
     return weekly.VOICE.features(t.back(HISTORY_D).call, HISTORY_D)
 
 
-@query("family_volte", lambda: talk_sql("volte", VOLTE_KINDS, {}, False, weekly.volte_ratios("volte"), "call"))
+@query("family_volte", lambda: talk_sql("volte", VOLTE_KINDS, {}, False, shares_of("volte", VOLTE_SHARES), "call"))
 def _(t):
     from rollspan.sources.tables import cutover_union
     return weekly.VOLTE.features(cutover_union(t.back(HISTORY_D).call, t.back(HISTORY_D).call, "s3_file_date", "20010601"), HISTORY_D)
@@ -476,7 +494,7 @@ def _(t):
     return bts_voice(t)
 
 
-@query("family_bts_volte", lambda: _bts_talk_sql("bts_volte", VOLTE_KINDS, {}, weekly.volte_ratios("bts_volte")))
+@query("family_bts_volte", lambda: _bts_talk_sql("bts_volte", VOLTE_KINDS, {}, shares_of("bts_volte", VOLTE_SHARES)))
 def _(t):
     return bts_volte(t)
 
@@ -521,13 +539,13 @@ def _(t):
     return cells.pn_usage(bts_usage(t))
 
 
-@query("family_pn_voice", lambda: pn_oracle(bts_talk_oracle("bts_voice", CALL_KINDS, SMS_KINDS, {}), weekly.call_ratios("bts_voice", False), 2,
+@query("family_pn_voice", lambda: pn_oracle(bts_talk_oracle("bts_voice", CALL_KINDS, SMS_KINDS, {}), shares_of("bts_voice", CALL_SHARES), 2,
                                             ("bts_voice", CALL_KINDS, SMS_KINDS)))
 def _(t):
     return cells.pn_voice(bts_voice(t))
 
 
-@query("family_pn_volte", lambda: pn_oracle(bts_talk_oracle("bts_volte", VOLTE_KINDS, {}, {}), weekly.volte_ratios("bts_volte"), 2,
+@query("family_pn_volte", lambda: pn_oracle(bts_talk_oracle("bts_volte", VOLTE_KINDS, {}, {}), shares_of("bts_volte", VOLTE_SHARES), 2,
                                             ("bts_volte", VOLTE_KINDS, {})))
 def _(t):
     return cells.pn_volte(bts_volte(t))
