@@ -32,9 +32,22 @@ def spread(df: DataFrame, columns: Sequence[Column], keep: Sequence[str] = ()) -
     return rows.where(F.col("x").isNotNull())
 
 
-def _slot(x: str, cuts: Sequence[float]) -> str:
-    """2 x the number of cuts below ``x``, plus 1 if ``x`` is a cut."""
-    return " + ".join(f"CAST({x} > {number(v)} AS INT) + CAST({x} >= {number(v)} AS INT)" for v in cuts)
+def below(x: str, cuts: Sequence[float], first: int = 0) -> str:
+    """SQL text: ``first`` plus the number of sorted ``cuts`` below ``x``, by bisection, so that many cuts don't nest deeply."""
+    if not cuts:
+        return str(first)
+    mid = len(cuts) // 2
+    return f"CASE WHEN {x} > {number(cuts[mid])} THEN {below(x, cuts[mid + 1:], first + mid + 1)} ELSE {below(x, cuts[:mid], first)} END"
+
+
+def _slot(x: str, cuts: Sequence[float], first: int = 0) -> str:
+    """SQL text: 2 x the number of sorted, distinct ``cuts`` below ``x``, plus 1 if ``x`` is a cut."""
+    if not cuts:
+        return str(2 * first)
+    mid = len(cuts) // 2
+    cut = number(cuts[mid])
+    return (f"CASE WHEN {x} > {cut} THEN {_slot(x, cuts[mid + 1:], first + mid + 1)} WHEN {x} >= {cut} THEN {2 * (first + mid) + 1} "
+            f"ELSE {_slot(x, cuts[:mid], first)} END")
 
 
 def _slotted(values: DataFrame, cuts: Mapping[int, Sequence[float]]) -> DataFrame:
@@ -94,6 +107,13 @@ def order_statistics(df: DataFrame, columns: Sequence[Column], ranks: Callable[[
     return sizes, [[found[i][r] for r in wanted[i]] if i in wanted else [] for i in range(len(columns))]
 
 
+def rows_around(df: DataFrame, column: Column, values: Sequence[float]) -> dict[float, tuple[int, int]]:
+    """For each of some sorted distinct values of a column: how many rows are below it, and how many are equal to it."""
+    counted = _slotted(df.select(column.cast("double").alias("x0")), {0: values}).groupBy("slot").agg(F.count("x").alias("n"))
+    by_slot = {r.slot: r.n for r in counted.collect()}
+    return {v: (sum(n for s, n in by_slot.items() if s < 2 * k + 1), by_slot.get(2 * k + 1, 0)) for k, v in enumerate(values)}
+
+
 def percentiles(df: DataFrame, columns: Sequence[Column], ps: Sequence[float]) -> list[list[float | None]]:
     """Linearly interpolated percentiles of each column; None without values."""
     def ranks(n: int) -> list[int]:

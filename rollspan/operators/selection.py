@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollspan.functions.numeric import ratio
 from rollspan.operators.fill import q
-from rollspan.operators.order_statistics import equal_frequency_edges, number, spread
+from rollspan.operators.order_statistics import below, equal_frequency_edges, number, spread
 from rollspan.operators.windows import exact_percentiles, global_prefix
 from rollspan.session import with_scalars
 
@@ -53,8 +53,7 @@ def _cells(df: DataFrame, edges: dict[str, list[float]], aggregates: Sequence[Co
     pairs = []
     for f, cuts in edges.items():
         x = f"CAST({q(f)} AS DOUBLE)"
-        number_of = " + ".join(["1", *[f"CAST({x} > {number(e)} AS INT)" for e in cuts]])
-        pairs.append(F.struct(F.lit(f).alias("feature"), F.expr(f"CASE WHEN {x} IS NULL THEN 0 ELSE {number_of} END").alias("bin")))
+        pairs.append(F.struct(F.lit(f).alias("feature"), F.expr(f"CASE WHEN {x} IS NULL THEN 0 ELSE {below(x, cuts, 1)} END").alias("bin")))
     rows = df.select(*keep, F.explode(F.array(*pairs)).alias("_p")).select(*keep, "_p.feature", "_p.bin")
     return rows.groupBy("feature", "bin").agg(*aggregates)
 

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rollspan.operators.order_statistics import percentiles
+from rollspan.functions.numeric import quoted
+from rollspan.operators.order_statistics import below, number, order_statistics, percentiles, rows_around
 from rollspan.session import cut_lineage, with_scalars
 
 
@@ -97,21 +98,46 @@ def population_ntile(df: DataFrame, value: str, tie: str, n: int = 100, name: st
                      exact: bool = True) -> DataFrame:
     """``ntile(n)`` over the whole population.
 
-    Exact: global row number and the ntile rule (the first ``rows mod n`` buckets get one
-    row more). Approximate: bucket bounds from a bounded-size quantile sketch; equal
+    Exact: the ntile rule (the first ``rows mod n`` buckets get one row more) over rows ordered by ``value`` as a double, then ``tie``. The values at the
+    ends of buckets are order statistics, so most rows know their bucket where they are; only rows with a value that lies in several
+    buckets are sorted by ``tie``. Finding the ends is an action. Approximate: bucket bounds from a bounded-size quantile sketch; equal
     values share a bucket, no sort and no materialisation.
     """
     if not exact:
         cuts = df.agg(F.percentile_approx(value, [i / n for i in range(1, n)], 100_000).alias("_cuts"))
         bucket = F.size(F.filter("_cuts", lambda c: c < F.col(value))) + 1
         return with_scalars(df, cuts).withColumn(name, bucket).drop("_cuts")
-    ranked = global_prefix(df, [value, tie], rank="_rn")
-    whole = ranked.agg(F.count(F.lit(1)).alias("_total"))
-    small, extra = F.expr(f"_total div {n}"), F.expr(f"_total % {n}")
+    x = F.col(value).cast("double")
+    total, known = df.agg(F.count(F.lit(1)), F.count(x)).first()
+    nulls, (small, extra) = total - known, divmod(total, n)
+    # rank of the last row of each bucket but the last
+    ends = [e for b in range(1, n) if 0 < (e := b * small + min(b, extra)) < total]
+    above = [e - nulls for e in ends if e > nulls]
+    cuts = order_statistics(df, [x], lambda _: above)[1][0] if above else []
+    around = rows_around(df, x, list(dict.fromkeys(cuts))) if cuts else {}
+    # values with rows in several buckets, and the rows before them; None stands for NULL
+    split = {v: nulls + around[v][0] for v, e in zip(cuts, above) if around[v][0] < e < sum(around[v])}
+    if any(e < nulls for e in ends):
+        split = {None: 0} | split
+    passed = sum(e <= nulls for e in ends)
+    text = f"CAST({quoted(value)} AS DOUBLE)"
+    plain = F.expr(f"CASE WHEN {text} IS NULL THEN 1 ELSE {below(text, cuts, 1 + passed)} END")
+    if not split:
+        return df.withColumn(name, plain)
+    values = [v for v in split if v is not None]
+    held = F.coalesce(x.isin(values), F.lit(False)) if values else F.lit(False)
+    held = held | x.isNull() if None in split else held
+    ranked = global_prefix(df.where(held), [value, tie], rank="_rn")
+    # from the place among these rows to the rank in the population
+    before, shift = 0, []
+    for v, start in split.items():
+        shift.append(f"WHEN {text} IS NULL THEN {start - before}" if v is None else f"WHEN {text} <=> {number(v)} THEN {start - before}")
+        before += nulls if v is None else around[v][1]
+    ranked = ranked.withColumn("_rn", F.expr(f"_rn + CASE {' '.join(shift)} END"))
     head = extra * (small + 1)
-    bucket = F.when(F.col("_rn") <= head, F.expr(f"(_rn - 1) div (_total div {n} + 1)") + 1).otherwise(
-        extra + F.floor(F.try_divide(F.col("_rn") - 1 - head, small)) + 1)
-    return with_scalars(ranked, whole).withColumn(name, bucket.cast("int")).drop("_rn", "_total")
+    in_head = f"(_rn - 1) div {small + 1} + 1"
+    bucket = F.expr(f"CASE WHEN _rn <= {head} THEN {in_head} ELSE {extra} + (_rn - 1 - {head}) div {small} + 1 END" if small else in_head)
+    return df.where(~held).withColumn(name, plain).unionByName(ranked.withColumn(name, bucket.cast("int")).drop("_rn"))
 
 
 def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:

@@ -69,3 +69,31 @@ def test_empty_columns_and_names_with_quotes(spark):
     assert bins["none", 0][:2] == (None, None) and ("it's", 0) in bins
     assert se.quantile_edges(df.limit(0), ["none"], 3).first().edges == []
     assert math.isnan(os_.percentiles(spark.createDataFrame([(float("nan"),)], "x double"), [F.col("x")], [0.5])[0][0])
+
+
+def brute_ntile(rows, n):
+    ranked = sorted(rows, key=lambda r: (r[1] is not None, -np.inf if r[1] is None else np.inf if r[1] != r[1] else r[1], r[0]))
+    small, extra = divmod(len(rows), n)
+    sizes = [small + (b < extra) for b in range(n)]
+    return {r[0]: b + 1 for r, b in zip(ranked, [b for b, s in enumerate(sizes) for _ in range(s)])}
+
+
+@pytest.mark.parametrize("kind", ["spread", "ties", "nulls", "one value", "few", "mixed", "empty"])
+def test_population_buckets_are_those_of_sorting(spark, kind):
+    from rollspan.operators.windows import population_ntile
+    r = np.random.default_rng(2)
+    n = {"few": 7, "empty": 0}.get(kind, 700)
+    value = {"spread": lambda i: float(r.random()), "ties": lambda i: float(r.integers(0, 6)), "nulls": lambda i: None if r.random() < .5 else float(r.random()),
+             "one value": lambda i: 3.0, "few": lambda i: float(r.integers(0, 3)), "empty": lambda i: 0.0,
+             "mixed": lambda i: [None, float("nan"), 1.0, float(r.random()), -0.0][i % 5]}[kind]
+    rows = [(f"{i:04d}", value(i)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    for buckets in (10, 100, 3):
+        got = {x.k: x.bucket for x in population_ntile(df, "v", "k", buckets).collect()}
+        assert got == brute_ntile(rows, buckets)
+
+
+def test_rows_with_values_of_their_own_are_not_shuffled(spark):
+    from rollspan.operators.windows import population_ntile
+    df = spark.range(5000).select(F.col("id").cast("string").alias("k"), (F.col("id") * 7 % 5000).cast("double").alias("v"))
+    assert "Exchange" not in population_ntile(df, "v", "k")._jdf.queryExecution().executedPlan().toString()
