@@ -79,8 +79,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.undivided = re.compile("|".join([RARE_SPACE.pattern, *map(re.escape, names)]))
+        self.names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keeps_blanks, self.keep = keeps_blanks, keep
         self._forget()
 
@@ -108,15 +107,18 @@ class PieceEncoder:
         self.used += len(ids)
         self.known = total
 
+    def _undivided(self, text: str) -> bool:
+        return any(name in text for name in self.names) or RARE_SPACE.search(text) is not None
+
     def _numbered(self, pieces: list[str]) -> np.ndarray:
         return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
 
     def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the pieces of all texts one after another; pieces of each text."""
         if self.keeps_blanks:
-            found = [[t] if self.undivided.search(t) else LEADING_BLANK.findall(t) for t in texts]
+            found = [[t] if self._undivided(t) else LEADING_BLANK.findall(t) for t in texts]
             return self._numbered([p for f in found for p in f]), np.array(list(map(len, found)), np.int64)
-        whole = np.array([bool(self.undivided.search(t)) for t in texts], bool)
+        whole = np.array([self._undivided(t) for t in texts], bool)
         words, n = words_between([t.encode() for t, w in zip(texts, whole) if not w])
         coded = words.dictionary_encode()  # each distinct word is looked up once
         counts = np.ones(len(texts), np.int64)
