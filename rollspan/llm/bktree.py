@@ -78,11 +78,12 @@ PAIRS = 1 << 20
 
 
 def linked(shard: np.ndarray, prints: np.ndarray, is_member: np.ndarray, radius: int,
-           accept=None, asked: int = 50_000) -> Labels:
+           accept=None, asked: int = 50_000, pairs: int = PAIRS) -> Labels:
     """Components within each shard.
 
     Rows are sorted by shard, members first. Members are the nodes of the shard's tree; the
     other rows only probe it. ``accept(i, j)`` may refuse pairs, ``asked`` at a time; it isn't asked about pairs that are connected.
+    About ``pairs`` pairs of a probe and a node of its tree are looked at together.
     """
     labels = Labels(len(prints))
     nodes = np.flatnonzero(is_member)
@@ -97,7 +98,7 @@ def linked(shard: np.ndarray, prints: np.ndarray, is_member: np.ndarray, radius:
     cost = np.cumsum(size[probes])
     start = 0
     while start < len(probes):
-        stop = max(start + 1, int(np.searchsorted(cost, (cost[start - 1] if start else 0) + PAIRS)))
+        stop = max(start + 1, int(np.searchsorted(cost, (cost[start - 1] if start else 0) + pairs)))
         own = probes[start:stop]
         for p, node in forest.search(prints[own], where[own], radius):
             i, j = own[p], nodes[node]

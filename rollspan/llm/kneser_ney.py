@@ -37,7 +37,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rollspan.llm.frames import slices, utf8
+from rollspan.llm.frames import release, slices, utf8, with_row_ids
 from rollspan.session import cut_lineage, with_scalars
 
 #: Word classes: 0 starts a text, 1 ends it, the others are hashes of words.
@@ -315,6 +315,7 @@ _ASKED_ARROW = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("rids",
 
 def _asked(batches: Iterator[pa.RecordBatch], tables, shards: int) -> Iterator[pa.RecordBatch]:
     """Per block: a row with what the worker has added up, and one row for each shard that is asked."""
+    release()
     m: Tables = tables.value
     part = TaskContext.get().partitionId() if TaskContext.get() else 0
     for number, (rows, texts) in enumerate(blocks(batches, 3)):
@@ -380,10 +381,10 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(nll, pa.float64(), from_pandas=True)], names=["rid", "doc_id", "lang", "nll"])
 
 
-def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``rid`` (the row's place), ``doc_id``, ``lang``, ``nll`` (mean over words and the end) of every row."""
+def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", rid: str | None = None) -> DataFrame:
+    """``rid`` (column ``rid``, or the row's place in the scan), ``doc_id``, ``lang``, ``nll`` (mean over words and the end) of every row."""
     tables = docs.sparkSession.sparkContext.broadcast(model.tables)  # at most 30 MB, whatever the corpus
-    narrow = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(lang).alias("lang"),
+    narrow = docs.select((F.col(rid) if rid else F.monotonically_increasing_id()).alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(lang).alias("lang"),
                          F.col(text).alias("text"))
     asked = narrow.mapInArrow(partial(_asked, tables=tables, shards=model.shards), _ASKED)
     none = F.lit(None)
@@ -414,9 +415,9 @@ def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float, min_share
     return with_scalars(cut, whole).where(F.col("everyone") | ((F.col("n") >= min_docs) & (F.col("n") >= F.col("_all") * min_share))).select("everyone", "lang", "limit")
 
 
-def _judged(docs: DataFrame, labels: DataFrame, quantile: float, doc_id: str, text: str, lang: str) -> DataFrame:
+def _judged(docs: DataFrame, labels: DataFrame, quantile: float, doc_id: str, text: str, lang: str, rid: str | None = None) -> DataFrame:
     trusted = trusted_ids(labels, doc_id)
-    scored = cut_lineage(score_documents(docs, fit(docs, trusted, doc_id, text), doc_id, text, lang))
+    scored = cut_lineage(score_documents(docs, fit(docs, trusted, doc_id, text), doc_id, text, lang, rid))
     limits = cut_lineage(thresholds(scored, trusted, quantile))
     everyone = limits.where("everyone").agg(F.max("limit").alias("_everyone"))
     own = limits.where(~F.col("everyone")).select(F.col("lang").alias("_lang"), "limit")
@@ -435,8 +436,8 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, doc_id:
 
 def drop_poor(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, doc_id: str = "doc_id", text: str = "text",
               lang: str = "lang") -> DataFrame:
-    """Accepted rows with all their columns."""
-    kept = _judged(docs, labels, quantile, doc_id, text, lang).where("accepted")
+    """Accepted rows with all their columns, whatever their names. Rows are known by their place in the files (:func:`with_row_ids`)."""
     rid = "_rid" + "_" * max(map(len, docs.columns))
-    placed = docs.withColumn(rid, F.monotonically_increasing_id())
+    placed = with_row_ids(docs, rid)
+    kept = _judged(placed, labels, quantile, doc_id, text, lang, rid).where("accepted")
     return placed.join(kept.select(F.col("rid").alias(rid)), rid, "left_semi").select(*docs.columns)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollspan.llm.bktree import linked
 from rollspan.llm.components import connected_components
-from rollspan.llm.frames import slices, utf8
+from rollspan.llm.frames import release, slices, utf8, with_row_ids
 from rollspan.session import cut_lineage
 
 SEED = 42
@@ -167,8 +167,8 @@ def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, doc_id: str
 PERMUTATIONS, BANDS, BAND = 128, 20, 4
 #: Least share of equal min-hashes of a candidate; a pair of similarity 0.8 (standard error 0.035) falls below it once in 60,000.
 LOOSE = 0.65
-#: Bytes of text in one tree of candidates.
-TREE_BYTES = 16 << 20
+#: Bytes of text in one tree of candidates, and pairs of a tree that are looked at together: at 24 bits a probe meets most of it.
+TREE_BYTES, PAIRS = 16 << 20, 1 << 18
 _FACTORS = np.random.default_rng(7).integers(1, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -184,6 +184,7 @@ def min_hashes(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
         texts = utf8(batch.column(2))
         prints, sigs = [], []
@@ -209,9 +210,10 @@ def _far(rid: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+    release()
     for t in whole_shards(batches, 1):
         prints, shard, member, rid = (t.column(c).to_numpy() for c in ("fp", "shard", "is_member", "rid"))
-        yield _far(rid, linked(shard, prints.view(np.uint64), member, radius, _alike(t)).of)
+        yield _far(rid, linked(shard, prints.view(np.uint64), member, radius, _alike(t), asked=10_000, pairs=PAIRS).of)
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -221,6 +223,7 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _similar(batches: Iterator[pa.RecordBatch], radius: int, size: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    release()
     for t in whole_shards(batches, 1):
         prints, shard, member, rid = (t.column(c).to_numpy() for c in ("fp", "shard", "is_member", "rid"))
         sets = [np.unique(h[a:b]) for x in utf8(t.column("text").combine_chunks()) for h, n in hash_slices([x], size) for a, b in [(0, n[0])]]
@@ -231,7 +234,7 @@ def _similar(batches: Iterator[pa.RecordBatch], radius: int, size: int, similari
             ok[ok] = alike(i[ok], j[ok])
             ok[ok] = [jaccard(sets[a], sets[b]) >= similarity for a, b in zip(i[ok].tolist(), j[ok].tolist())]
             return ok
-        yield _far(rid, linked(shard, prints.view(np.uint64), member, radius, accept, asked=2_000).of)
+        yield _far(rid, linked(shard, prints.view(np.uint64), member, radius, accept, asked=2_000, pairs=PAIRS).of)
 
 
 def drop_copies(docs: DataFrame, size: int = 5, radius: int = 24, similarity: float = 0.8, tree_rows: int = 4096,
@@ -245,11 +248,12 @@ def drop_copies(docs: DataFrame, size: int = 5, radius: int = 24, similarity: fl
     the sets of its shingles' hashes are at least ``similarity`` alike. Texts equal but for case and white space share a
     group before that.
 
-    Rows are known by their place in the scan of ``docs``, which should be a stored table. A null id comes
-    after all others; texts without words form one group.
+    Rows are known by their place in the files of ``docs`` (:func:`with_row_ids`). A null id comes
+    after all others; texts without words form one group; extra columns are returned as they are, whatever their names.
     """
-    placed = docs.withColumn("_rid", F.monotonically_increasing_id())
-    narrow = placed.select(F.col("_rid").alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    own_rid = "_rid" + "_" * max(map(len, docs.columns))
+    placed = with_row_ids(docs, own_rid)
+    narrow = placed.select(F.col(own_rid).alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketches = cut_lineage(narrow.mapInArrow(partial(_sketches, size=size), "rid long, doc_id long, same binary, fp long, sig binary, n_bytes long"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")
     firsts = cut_lineage(sketches.groupBy("same").agg(F.min(order).alias("first")))
@@ -269,4 +273,4 @@ def drop_copies(docs: DataFrame, size: int = 5, radius: int = 24, similarity: fl
     own = firsts.select(F.col("first.rid").alias("rid"), "first")
     kept = (own.join(roots, own.rid == roots.node, "left")
                .groupBy(F.coalesce("root", "rid").alias("group")).agg(F.min("first").alias("first")))
-    return placed.join(kept.select(F.col("first.rid").alias("_rid")), "_rid", "left_semi").select(*docs.columns)
+    return placed.join(kept.select(F.col("first.rid").alias(own_rid)), own_rid, "left_semi").select(*docs.columns)
