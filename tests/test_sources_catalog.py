@@ -55,7 +55,7 @@ def test_every_survey_key_is_registered():
     names = set(entry_points.queries())
     assert len(names) > 170 and set(entry_points.oracle_sql()) <= names
     own = set(catalog.queries())
-    assert own <= names and own - set(entry_points.oracle_sql()) == {"importance_selection", "mrmr_selection"}
+    assert own <= names and own - set(entry_points.oracle_sql()) == {"importance_selection"}
 
 
 SAMPLE = ["family_location", "family_money_transfer", "family_bts_mapping", "family_ccbs_no", "family_monthly_cv207", "sliced_aggregates",
