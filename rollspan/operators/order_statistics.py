@@ -107,13 +107,6 @@ def order_statistics(df: DataFrame, columns: Sequence[Column], ranks: Callable[[
     return sizes, [[found[i][r] for r in wanted[i]] if i in wanted else [] for i in range(len(columns))]
 
 
-def rows_around(df: DataFrame, column: Column, values: Sequence[float]) -> dict[float, tuple[int, int]]:
-    """For each of some sorted distinct values of a column: how many rows are below it, and how many are equal to it."""
-    counted = _slotted(df.select(column.cast("double").alias("x0")), {0: values}).groupBy("slot").agg(F.count("x").alias("n"))
-    by_slot = {r.slot: r.n for r in counted.collect()}
-    return {v: (sum(n for s, n in by_slot.items() if s < 2 * k + 1), by_slot.get(2 * k + 1, 0)) for k, v in enumerate(values)}
-
-
 def percentiles(df: DataFrame, columns: Sequence[Column], ps: Sequence[float]) -> list[list[float | None]]:
     """Linearly interpolated percentiles of each column; None without values."""
     def ranks(n: int) -> list[int]:
