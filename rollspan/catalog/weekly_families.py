@@ -414,7 +414,7 @@ def bts_air_oracle() -> Windowed:
 
 
 def bts_air(t):
-    return cells.BTS_AIR.features(cells.at_cells(cells.with_cell_parts(t.back(HISTORY_D).recharge, "cell"), mapping(t)), HISTORY_D)
+    return cells.cell_features(cells.BTS_AIR, cells.with_cell_parts(t.back(HISTORY_D).recharge, "cell"), mapping(t), HISTORY_D)
 
 
 @query("family_bts_air", lambda: bts_air_oracle().sql())
@@ -429,7 +429,7 @@ def bts_ggsn_oracle() -> Windowed:
 
 
 def bts_ggsn(t):
-    return cells.BTS_GGSN.features(cells.at_cells(t.back(HISTORY_D).session, mapping(t)), HISTORY_D)
+    return cells.cell_features(cells.BTS_GGSN, t.back(HISTORY_D).session, mapping(t), HISTORY_D)
 
 
 @query("family_bts_ggsn", lambda: bts_ggsn_oracle().sql())
@@ -457,7 +457,7 @@ def _bts_usage_sql():
 
 
 def bts_usage(t):
-    return cells.bts_usage(cells.at_cells(cells.with_cell_parts(t.back(HISTORY_D).usage, "originatingcellid"), mapping(t)), HISTORY_D)
+    return cells.bts_usage(cells.with_cell_parts(t.back(HISTORY_D).usage, "originatingcellid"), mapping(t), HISTORY_D)
 
 
 @query("family_bts_usage", _bts_usage_sql)
@@ -482,11 +482,11 @@ def _bts_talk_sql(*args):
 
 
 def bts_voice(t):
-    return cells.BTS_VOICE.features(cells.at_cells(t.back(HISTORY_D).call, mapping(t)), HISTORY_D)
+    return cells.cell_features(cells.BTS_VOICE, t.back(HISTORY_D).call, mapping(t), HISTORY_D)
 
 
 def bts_volte(t):
-    return cells.BTS_VOLTE.features(cells.at_cells(t.back(HISTORY_D).call, mapping(t)), HISTORY_D)
+    return cells.cell_features(cells.BTS_VOLTE, t.back(HISTORY_D).call, mapping(t), HISTORY_D)
 
 
 @query("family_bts_voice", lambda: _bts_talk_sql("bts_voice", CALL_KINDS, SMS_KINDS, {}))

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollspan.functions.calendar import as_date, ymd
 from rollspan.functions.fixed_values import CALL_KINDS, SMS_KINDS, VOLTE_KINDS
+from rollspan.functions.numeric import quoted
 from rollspan.functions.text import part_of
-from rollspan.operators.aggregates import Measure, slices
+from rollspan.operators.aggregates import Measure, sliced_stats, slices
 from rollspan.operators.joins import enrich, restrict, spread_join
-from rollspan.operators.rollups import WEEKS, add_ratios, collapse, lookback, trend_ratios
+from rollspan.operators.rollups import WEEKS, add_ratios, collapse, lookback, trend_ratios, widen_rings
 from rollspan.operators.windows import keep_max
 from rollspan.plans.family import Family
 from rollspan.plans.weekly import (
@@ -51,6 +52,29 @@ def with_cell_parts(df: DataFrame, cell: str) -> DataFrame:
     return df.where(F.col(cell) != "").withColumns({"lac": part_of(cell, "-", 3), "cell_id": part_of(cell, "-", 4)})
 
 
+def reduced_at_cells(rows: DataFrame, cells: DataFrame, by: Sequence[str], measures: Sequence[Measure],
+                     heavy_share: float | None = None) -> DataFrame:
+    """All measures per (msisdn, bts_id) and ``by`` of rows with ``lac`` and ``cell_id``.
+
+    A cell may belong to many stations, so rows are reduced per cell before they meet the map: the map multiplies a few rows per subscriber and cell,
+    not events. The reduced rows are placed by subscriber first. A map that Spark broadcasts leaves them there, and so all that groups
+    by subscriber afterwards runs in place. The number of partitions is set, since merging them by the size of the reduced rows would
+    make tasks that are too large once the rows are multiplied.
+    """
+    per_cell = sliced_stats(rows, ["msisdn", "lac", "cell_id", *by], measures)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = at_cells(per_cell.repartition(parts, "msisdn"), cells, heavy_share)
+    return sliced_stats(placed, [*KEYS, *by], [Measure(m.name, m.roll, quoted(m.name)) for m in measures])
+
+
+def cell_features(family: Family, events: DataFrame, cells: DataFrame, snapshot: str, windows: Sequence[int] = WEEKS,
+                  heavy_share: float | None = None) -> DataFrame:
+    """:meth:`Family.features` per (msisdn, bts_id) of events with ``lac`` and ``cell_id``."""
+    rows = lookback(family.prepare(events), family.day, snapshot, max(windows), bands=windows)
+    rings = reduced_at_cells(rows, cells, ["week_back"], family.measures, heavy_share)
+    return family.finish(widen_rings(rings, KEYS, family.stored, windows, placed=True), windows)
+
+
 def _keep(wide: DataFrame, windows: Sequence[int]) -> DataFrame:
     return wide
 
@@ -65,16 +89,22 @@ BTS_GGSN = Family("bts_ggsn", session_rows, BTS_SESSION_MEASURES, _keep, KEYS)
 BTS_USAGE_MEASURES = usage_measures("bts_usage")
 
 
-def bts_usage(raw: DataFrame, snapshot: str, windows: Sequence[int] = WEEKS) -> DataFrame:
-    """Sums per window plus the mean over active days of the newest week."""
-    family = Family("bts_usage", usage_rows, BTS_USAGE_MEASURES, _keep, KEYS)
-    daily = family.daily(raw)
+def bts_usage(events: DataFrame, cells: DataFrame, snapshot: str, windows: Sequence[int] = WEEKS,
+              heavy_share: float | None = None) -> DataFrame:
+    """Sums per window plus the mean over active days of the newest week.
+
+    Days are kept apart in the newest week only; older rows are reduced to their ring of weeks.
+    """
+    bands = sorted({1, *windows})
+    rows = lookback(usage_rows(events), "s3_file_date", snapshot, max(bands), bands=bands)
+    rows = rows.withColumn("active_day", F.when(F.col("week_back") < 1, F.col("s3_file_date")))
+    days = reduced_at_cells(rows, cells, ["week_back", "active_day"], BTS_USAGE_MEASURES, heavy_share)
     names = [m.name for m in BTS_USAGE_MEASURES]
-    rows = lookback(daily, "s3_file_date", snapshot, max(windows))
-    aggs = [F.expr(f"sum(CASE WHEN week_back < {n} THEN {c} END) AS {c}_l{n}w") for n in windows for c in names]
-    aggs += [F.expr(f"avg(CASE WHEN week_back < 1 THEN {c} END) AS " + c.replace("count", "count_davg").replace("sum", "sum_davg") + "_l1w")
-             for c in names]
-    return rows.groupBy(*KEYS).agg(*aggs)
+    means = {c: c.replace("count", "count_davg").replace("sum", "sum_davg") for c in names}
+    stored = [*[Measure(c, "sum", c) for c in names], *[Measure(d, "avg", c) for c, d in means.items()]]
+    rings = sliced_stats(days, [*KEYS, "week_back"], stored)
+    kept = [f"{c}_l{n}w" for n in windows for c in names] + [f"{d}_l1w" for d in means.values()]
+    return widen_rings(rings, KEYS, stored, bands, placed=True).select(*KEYS, *kept)
 
 
 BTS_VOICE_MEASURES = call_measures("bts_voice", not_answered=False)
