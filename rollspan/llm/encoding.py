@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import islice
+from collections.abc import Iterable
+from itertools import chain, islice
 from zlib import crc32
 
 import numpy as np
@@ -21,11 +22,11 @@ from rollspan.llm.frames import held, slices
 
 #: White space beyond blanks, tabs and line ends; a text with any of it is encoded undivided.
 RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: Letters after which a full stop or comma begins a new word in both vocabularies.
+#: Letters after which an ASCII character that is neither letter, digit nor white space begins a new word in the vocabulary that keeps blanks.
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 #: A blank goes with the word after it; a line end before a word stands alone.
 LEADING_BLANK = re.compile(
-    rf" ?[{LETTERS}]+(?=[.,])| ?[^ \t\n\r]+|\n(?=[^ \t\n\r])|[ \t\n\r]+?(?= [^ \t\n\r]|\n[^ \t\n\r])"
+    rf" ?(?:[{LETTERS}]++(?=[!-/:-@\[-`{{-~])|[^ \t\n\r]++)|\n(?=[^ \t\n\r])|[ \t\n\r]+?(?= [^ \t\n\r]|\n[^ \t\n\r])"
     r"|[ \t\n\r]+[^ \t\n\r]+|[ \t\n\r]+")
 #: Bytes in lower case (the vocabulary without blanks lower-cases), and their kinds.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -110,22 +111,23 @@ class PieceEncoder:
     def _undivided(self, text: str) -> bool:
         return any(name in text for name in self.names) or RARE_SPACE.search(text) is not None
 
-    def _numbered(self, pieces: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+    def _numbered(self, pieces: Iterable[str], n: int) -> np.ndarray:
+        return np.fromiter(map(self.index.__getitem__, pieces), np.int64, n)
 
     def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the pieces of all texts one after another; pieces of each text."""
         if self.keeps_blanks:
             found = [[t] if self._undivided(t) else LEADING_BLANK.findall(t) for t in texts]
-            return self._numbered([p for f in found for p in f]), np.array(list(map(len, found)), np.int64)
+            counts = np.array(list(map(len, found)), np.int64)
+            return self._numbered(chain.from_iterable(found), int(counts.sum())), counts
         whole = np.array([self._undivided(t) for t in texts], bool)
         words, n = words_between([t.encode() for t, w in zip(texts, whole) if not w])
         coded = words.dictionary_encode()  # each distinct word is looked up once
         counts = np.ones(len(texts), np.int64)
         counts[~whole] = n
         at, own = np.empty(counts.sum(), np.int64), np.repeat(whole, counts)
-        at[~own] = self._numbered(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        at[own] = self._numbered([t for t, w in zip(texts, whole) if w])
+        at[~own] = self._numbered(coded.dictionary.to_pylist(), len(coded.dictionary))[coded.indices.to_numpy()]
+        at[own] = self._numbered([t for t, w in zip(texts, whole) if w], int(whole.sum()))
         return at, counts
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -33,6 +33,12 @@ def test_ids_are_those_of_the_plain_call(file, keeps_blanks):
             assert ids[a:b].tolist() == [*whole.encode(text, add_special_tokens=False).ids, 7], text
 
 
+def test_words_are_known_before_any_punctuation():
+    enc = PieceEncoder(vocabularies.path("byte_bpe_50k.json"), True)
+    enc.encode([" word word! word$$$ word) word- word' word~ word] word_"], 0)
+    assert set(enc.index) == {" word", "!", "$$$", ")", "-", "'", "~", "]", "_"}
+
+
 def test_a_worker_holds_one_object():
     made = []
     for key in ("a", "a", "b", "a"):
