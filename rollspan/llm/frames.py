@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -68,10 +70,40 @@ def held(key, make: Callable):
     return _HELD[key]
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return memory that isn't used any more to the system; the C library and Arrow otherwise keep a task's most for a worker's life."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def release() -> None:
     """Drop what a worker keeps; called where a task begins that needs none of it, since workers outlive stages."""
     _HELD.clear()
-    pa.default_memory_pool().release_unused()
+    give_back()
+
+
+def giving_back(work: Callable) -> Callable:
+    """``work`` on a task's batches; its memory is given back when it ends, since idle workers live on beside busy ones."""
+    @wraps(work)
+    def run(*args, **settings):
+        try:
+            yield from work(*args, **settings)
+        finally:
+            give_back()
+    return run
+
+
+def task(work: Callable) -> Callable:
+    """As :func:`giving_back`, for work that needs nothing a worker keeps: that is dropped first."""
+    @wraps(work)
+    def run(*args, **settings):
+        release()
+        yield from giving_back(work)(*args, **settings)
+    return run
 
 
 def utf8(column: pa.Array) -> list[bytes]:

@@ -37,7 +37,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rollspan.llm.frames import release, slices, utf8, with_row_ids
+from rollspan.llm.frames import give_back, slices, task, utf8, with_row_ids
 from rollspan.session import cut_lineage, with_scalars
 
 #: Word classes: 0 starts a text, 1 ends it, the others are hashes of words.
@@ -53,8 +53,8 @@ BIN = 1000
 #: Ranges of word classes that are added up apart.
 PARTS = 16
 
-#: Bits and hashes of the filter that spares most untrusted texts the shuffle to their labels.
-FILTER_BITS, FILTER_HASHES = 1 << 26, 3
+#: Bits and hashes of the filter that finds trusted texts in the scan, and most ids of others which it lets pass that workers are told.
+FILTER_BITS, FILTER_HASHES, STRANGERS = 1 << 26, 6, 1 << 18
 
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\s]+")
 #: An odd factor spreads bigrams evenly over the keys; its inverse gives the bigram back.
@@ -131,7 +131,7 @@ def blocks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.Ta
         if size >= BLOCK:
             yield pa.Table.from_batches(held), texts
             held, texts, size = [], [], 0
-            pa.default_memory_pool().release_unused()
+            give_back()
     if held:
         yield pa.Table.from_batches(held), texts
 
@@ -148,6 +148,7 @@ def added_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+@task
 def _block_counts(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     for _, texts in blocks(batches, 0):
         found = [keys_of(*word_pairs(texts[a:b])[:2]) for a, b in slices(texts, 1_000_000)]
@@ -158,6 +159,7 @@ def _block_counts(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(bodies, pa.binary())], names=["shard", "body"])
 
 
+@task
 def _shard_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All counts of each shard, added up whenever as many new ones have come as there are."""
     for shard, rows in groupby(rows_of(batches), lambda r: r[0]):
@@ -180,6 +182,7 @@ def unpack_counts(body: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(d, dtype=np.uint64), n.astype(np.int64)
 
 
+@task
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """By class: total as a first word, kinds of bigrams seen once, twice and more, and kinds of words before it."""
     sums = np.zeros((5, CLASSES), np.int64)
@@ -195,6 +198,7 @@ def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                      names=["part", "body"])
 
 
+@task
 def _parts_added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, rows in groupby(rows_of(batches), lambda r: r[0]):
         total = np.zeros((5, CLASSES // PARTS), np.uint64)
@@ -203,6 +207,7 @@ def _parts_added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([pack(*total)], pa.binary())], names=["part", "body"])
 
 
+@task
 def _heavy(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     for body, in rows_of(batches):
         keys, n = unpack_counts(body)
@@ -249,36 +254,54 @@ def trusted_ids(labels: DataFrame, doc_id: str = "doc_id", label: str = "quality
     return ids.withColumn("measures", F.expr("pmod(xxhash64(_id), 8) = 0"))
 
 
-def _sifted(batches: Iterator[pa.RecordBatch], bits) -> Iterator[pa.RecordBatch]:
+def _sifted(batches: Iterator[pa.RecordBatch], sieve, columns: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        there = np.ones(batch.num_rows, bool)
-        for i in range(2, 2 + FILTER_HASHES):
-            at = batch.column(i).to_numpy()
-            there &= (bits.value[at >> 6] >> (at & 63)) & 1 == 1
-        yield batch.select([0, 1]).filter(pa.array(there))
+        bits, strangers = sieve.value
+        there = ~_found(batch.column("_id").to_numpy(), strangers)[1]
+        for i in range(FILTER_HASHES):
+            at = batch.column(f"_p{i}").to_numpy()
+            there &= (bits[at >> 6] >> (at & 63)) & 1 == 1
+        yield batch.select(columns).filter(pa.array(there))
 
 
-def sifted(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """``_id`` and ``text`` of all rows whose id is in ``ids``, and some others; the filter has 8 MB, whatever the corpus."""
-    places = [F.expr(f"pmod(xxhash64(_id, {k}), {FILTER_BITS}L)") for k in range(FILTER_HASHES)]
+def _sifted_counts(batches: Iterator[pa.RecordBatch], sieve, shards: int) -> Iterator[pa.RecordBatch]:
+    return _block_counts(_sifted(batches, sieve, ["text"]), shards)
+
+
+def block_counts(texts: DataFrame, ids: DataFrame, shards: int) -> DataFrame:
+    """Counts by block and shard of the bigrams of all rows of ``texts`` (``_id``, ``text``) whose id is in ``ids``, one row per id.
+
+    A filter of 8 MB, whatever the corpus, is sent to the workers and lets these rows pass, and some others. The ids of the others are found
+    without their texts. While they are at most ``STRANGERS``, they are sent to the workers, and no text is shuffled; if there are more (with
+    over 10 million trusted documents), the texts that pass the filter are shuffled to ``ids``.
+    """
+    places = [F.expr(f"pmod(xxhash64(_id, {k}), {FILTER_BITS}L)").alias(f"_p{k}") for k in range(FILTER_HASHES)]
     found = (ids.select(F.explode(F.array(*places)).alias("p")).groupBy(F.expr("p div 64").alias("word"))
                 .agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")).toPandas())
     bits = np.zeros(FILTER_BITS // 64, np.int64)
     bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    sent = texts.sparkSession.sparkContext.broadcast(bits)
-    placed = texts.where(F.col("_id").isNotNull()).select("_id", "text", *[p.alias(f"p{k}") for k, p in enumerate(places)])
-    return placed.mapInArrow(partial(_sifted, bits=sent), "_id long, text string")
+    send = texts.sparkSession.sparkContext.broadcast
+    sieve = send((bits, np.zeros(0, np.int64)))
+    known = texts.where(F.col("_id").isNotNull())
+    passed = known.select("_id", *places).mapInArrow(partial(_sifted, sieve=sieve, columns=["_id"]), "_id long")
+    strangers = passed.join(ids, "_id", "left_anti").distinct().limit(STRANGERS + 1).toPandas()["_id"].to_numpy(np.int64)
+    placed = known.where("length(text) > 0").select("_id", "text", *places)
+    if len(strangers) <= STRANGERS:
+        return placed.mapInArrow(partial(_sifted_counts, sieve=send((bits, np.sort(strangers))), shards=shards), _COUNTED)
+    whole = placed.mapInArrow(partial(_sifted, sieve=sieve, columns=["_id", "text"]), "_id long, text string").join(ids, "_id", "left_semi")
+    return whole.select("text").mapInArrow(partial(_block_counts, shards=shards), _COUNTED)
+
+
+_COUNTED = "shard long, body binary"
 
 
 def fit(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
     spark = docs.sparkSession
     shards = shards_for(docs, text)
-    texts = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("text")).where("length(text) > 0")
-    taught = trusted.where("not measures")
-    texts = sifted(texts, taught).join(taught, "_id", "left_semi").select("text")
-    sent = texts.mapInArrow(partial(_block_counts, shards=shards), "shard long, body binary")
+    texts = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("text"))
+    sent = block_counts(texts, trusted.where("not measures").select("_id"), shards)
     counts = cut_lineage(sent.repartition("shard").sortWithinPartitions("shard")
-                             .mapInArrow(_shard_counts, "shard long, body binary, n1 long, n2 long, n3 long, n4 long, total long"))
+                             .mapInArrow(_shard_counts, "shard long, body binary, n1 long, n2 long, n3 long, n4 long, total long"), drops_shuffles=True)
     kinds = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n1", "n2", "n3", "n4", "total")]).first()
     parts = (counts.select("body").mapInArrow(_class_counts, "part int, body binary").repartition("part").sortWithinPartitions("part")
                    .mapInArrow(_parts_added, "part int, body binary").collect())  # PARTS rows
@@ -313,9 +336,9 @@ _ASKED_ARROW = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("rids",
                           ("langs", pa.list_(pa.string())), ("body", pa.binary())])
 
 
+@task
 def _asked(batches: Iterator[pa.RecordBatch], tables, shards: int) -> Iterator[pa.RecordBatch]:
     """Per block: a row with what the worker has added up, and one row for each shard that is asked."""
-    release()
     m: Tables = tables.value
     part = TaskContext.get().partitionId() if TaskContext.get() else 0
     for number, (rows, texts) in enumerate(blocks(batches, 3)):
@@ -335,10 +358,14 @@ def _asked(batches: Iterator[pa.RecordBatch], tables, shards: int) -> Iterator[p
         del pairs
         places.sort()
         once = np.flatnonzero(np.r_[True, places[1:] != places[:-1]]) if len(places) else np.zeros(0, np.int64)
-        n, places = np.diff(np.append(once, len(places))), places[once]
-        keys, doc = places >> np.uint64(DOC_BITS), places & np.uint64((1 << DOC_BITS) - 1)
+        n, places = np.diff(np.append(once, len(places))).astype(np.uint32), places[once]
+        del once
+        doc = (places & np.uint64((1 << DOC_BITS) - 1)).astype(np.uint32)
+        places >>= np.uint64(DOC_BITS)
+        keys = places
+        del places
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-        holders = np.diff(np.append(first, len(keys)))
+        holders = np.diff(np.append(first, len(keys))).astype(np.uint32)
         cuts, wide = shard_bounds(keys[first], shards), shard_bounds(keys, shards)
         named = [list(x) for x in (rows.column(i).to_pylist() for i in range(3))]
         out = [(-1 - block, block, *named, pack(np.concatenate(own).view(np.uint64), np.concatenate(sizes)))] if texts else []
@@ -348,6 +375,7 @@ def _asked(batches: Iterator[pa.RecordBatch], tables, shards: int) -> Iterator[p
         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), _ASKED_ARROW)], schema=_ASKED_ARROW)
 
 
+@task
 def _answered(batches: Iterator[pa.RecordBatch], tables) -> Iterator[pa.RecordBatch]:
     """Sums of the gains by document; a shard's counts come before what it is asked."""
     held, keys, gains = None, None, None
@@ -368,6 +396,7 @@ def _answered(batches: Iterator[pa.RecordBatch], tables) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((shard, block, rids, ids, langs, body), _ASKED_ARROW)], schema=_ASKED_ARROW)
 
 
+@task
 def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, rows in groupby(rows_of(batches), lambda r: r[1]):
         _, _, rids, ids, langs, body = next(rows)  # what the worker has added up has a number below zero
@@ -417,7 +446,7 @@ def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float, min_share
 
 def _judged(docs: DataFrame, labels: DataFrame, quantile: float, doc_id: str, text: str, lang: str, rid: str | None = None) -> DataFrame:
     trusted = trusted_ids(labels, doc_id)
-    scored = cut_lineage(score_documents(docs, fit(docs, trusted, doc_id, text), doc_id, text, lang, rid))
+    scored = cut_lineage(score_documents(docs, fit(docs, trusted, doc_id, text), doc_id, text, lang, rid), drops_shuffles=True)
     limits = cut_lineage(thresholds(scored, trusted, quantile))
     everyone = limits.where("everyone").agg(F.max("limit").alias("_everyone"))
     own = limits.where(~F.col("everyone")).select(F.col("lang").alias("_lang"), "limit")

@@ -28,6 +28,7 @@ def make_session(app: str = "rollspan", master: str | None = None, **conf: str)
 
 _SHIPPED: set[str] = set()
 _LOCAL: dict[str, str] = {}
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
@@ -68,13 +69,23 @@ def shared_folder(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint directory (see :func:`shared_folder`)."""
+def cut_lineage(df: DataFrame, drops_shuffles: bool = False) -> DataFrame:
+    """Materialise ``df`` in the reliable checkpoint directory (see :func:`shared_folder`).
+
+    ``drops_shuffles``: the shuffle files of this job go as soon as it has ended, not when the driver happens to collect its garbage.
+    """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    if not drops_shuffles:
+        return df.checkpoint()
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        return df.select("*").checkpoint()  # a plan of its own: only its shuffles are dropped
+    finally:
+        spark.conf.unset(_DROP_SHUFFLES) if before is None else spark.conf.set(_DROP_SHUFFLES, before)
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:

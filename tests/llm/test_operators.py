@@ -243,6 +243,28 @@ def test_kneser_ney(spark, docs, empty):
     assert kneser_ney.drop_poor(docs, none).columns == docs.columns
 
 
+def test_trusted_texts_are_counted_where_they_are_scanned(spark, monkeypatch):
+    """No shuffle of texts, whether the filter lets others pass or not; too many others: the same counts by a join."""
+    frames.prepare(spark)
+    monkeypatch.setattr(kneser_ney, "FILTER_BITS", 1024)  # many others pass
+    rows = [(i, words(30, i)) for i in range(300)] + [(5, words(30, 5)), (7, ""), (8, None), (None, words(30, 9))]
+    texts = spark.createDataFrame(rows, "_id long, text string").repartition(3)
+    trusted = set(range(0, 200, 2)) | {5, 7, 8, 1000}
+    ids = spark.createDataFrame([(i,) for i in trusted], "_id long")
+    first, second, _ = kneser_ney.word_pairs([t.encode() for i, t in rows if i in trusted and t])
+    want = Counter(kneser_ney.keys_of(first, second).tolist())
+    for most in (1 << 18, 3):
+        monkeypatch.setattr(kneser_ney, "STRANGERS", most)
+        counted = kneser_ney.block_counts(texts, ids, 64)
+        got = Counter()
+        for r in counted.collect():
+            for key, n in zip(*(x.tolist() for x in kneser_ney.unpack_counts(r.body))):
+                got[key] += n
+        assert got == want
+        joins = counted._jdf.queryExecution().optimizedPlan().toString().count("Join")
+        assert joins == (most == 3)
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
