@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from rollspan.llm.encoding import encoder, ids_crc
+from rollspan.llm.frames import giving_back
 from rollspan.session import cut_lineage
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence long, offset long, is_open boolean"
@@ -62,6 +63,7 @@ class OpenWindows:
         return seq, self.length - room, n
 
 
+@giving_back
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, keeps_blanks: bool, end: int, length: int, windows: int,
             gap: int) -> Iterator[pa.RecordBatch]:
     enc = encoder(path, keeps_blanks)
@@ -102,6 +104,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, keeps_blanks: bool, en
         yield rows(left)
 
 
+@giving_back
 def _merge(batches: Iterator[pa.RecordBatch], length: int, windows: int) -> Iterator[pa.RecordBatch]:
     packer = OpenWindows(windows, length, 0, lambda seq: None)
     first: dict[int, int] = {}  # merged sequence to that of its first part

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollspan.llm.bktree import linked
 from rollspan.llm.components import connected_components
-from rollspan.llm.frames import release, slices, utf8, with_row_ids
+from rollspan.llm.frames import slices, task, utf8, with_row_ids
 from rollspan.session import cut_lineage
 
 SEED = 42
@@ -68,6 +68,7 @@ def majority_bits(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+@task
 def _prints(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [majority_bits(h, n) for h, n in hash_slices(utf8(batch.column(1)), size)]
@@ -183,8 +184,8 @@ def min_hashes(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+@task
 def _sketches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    release()
     for batch in batches:
         texts = utf8(batch.column(2))
         prints, sigs = [], []
@@ -209,8 +210,8 @@ def _far(rid: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rid[far]), pa.array(rid[root[far]])], names=["a", "b"])
 
 
+@task
 def _candidates(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    release()
     for t in whole_shards(batches, 1):
         prints, shard, member, rid = (t.column(c).to_numpy() for c in ("fp", "shard", "is_member", "rid"))
         yield _far(rid, linked(shard, prints.view(np.uint64), member, radius, _alike(t), asked=10_000, pairs=PAIRS).of)
@@ -222,8 +223,8 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / max(1, len(a) + len(b) - both)
 
 
+@task
 def _similar(batches: Iterator[pa.RecordBatch], radius: int, size: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    release()
     for t in whole_shards(batches, 1):
         prints, shard, member, rid = (t.column(c).to_numpy() for c in ("fp", "shard", "is_member", "rid"))
         sets = [np.unique(h[a:b]) for x in utf8(t.column("text").combine_chunks()) for h, n in hash_slices([x], size) for a, b in [(0, n[0])]]

@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from rollspan.llm.frames import release
+from rollspan.llm.frames import task
 from rollspan.session import cut_lineage
 
 WORD = re.compile(r"[^\W_]+(?:[*@$][^\W_]+)*")
@@ -210,9 +210,9 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
 
 
+@task
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per document and feature: the class, the context of its first place, the word."""
-    release()
     for batch in batches:
         rows = []
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -230,8 +230,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["feature", "toxic", "context", "word"])
 
 
+@task
 def _sample_hits(batches: Iterator[pa.RecordBatch], terms: list[str]) -> Iterator[pa.RecordBatch]:
-    release()
     scorer = Scorer({(t, 0): 1.0 for t in terms})
     for batch in batches:
         rows = [(term, edits, toxic) for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
@@ -295,8 +295,8 @@ def select_terms(found: list[tuple[str, int]]) -> list[str]:
     return [f for f, _ in found if not f.endswith("*") or f[:-1] in kept]
 
 
+@task
 def _scores(batches: Iterator[pa.RecordBatch], weights: dict) -> Iterator[pa.RecordBatch]:
-    release()
     scorer = Scorer(weights)
     for batch in batches:
         found = [scorer.score(t or "") for t in batch.column(1).to_pylist()]
@@ -308,8 +308,8 @@ def score_documents(docs: DataFrame, weights: dict, doc_id: str = "doc_id", text
     return narrow.mapInArrow(partial(_scores, weights=weights), "doc_id long, score double")
 
 
+@task
 def _kept(batches: Iterator[pa.RecordBatch], weights: dict, at: int, limit: float) -> Iterator[pa.RecordBatch]:
-    release()
     scorer = Scorer(weights)
     for batch in batches:
         ok = np.array([not t or scorer.score(t) < limit for t in batch.column(at).to_pylist()], bool)
